@@ -96,3 +96,8 @@ def avg_delay_positive(digits: int = 2) -> Column:
 def avg_delay_minutes(digits: int | None = 1) -> Column:
     """Mean of the non-negative arrival delay, zeros included."""
     return mean("arr_delay_minutes", digits)
+
+
+def cancel_share() -> Column:
+    """Cancelled flights as a ratio of every row in scope, unrounded."""
+    return F.avg(flag(F.col("cancelled") == 1))

@@ -42,3 +42,17 @@ def asc(*names: str) -> list[Column]:
 def desc(*names: str) -> list[Column]:
     """Descending sort keys with nulls last."""
     return [F.col(name).desc_nulls_last() for name in names]
+
+
+def in_units(value: Column, digits: int) -> Column:
+    """A value that carries ``digits`` decimals, as a whole number of its last place."""
+    return round_to(value * F.lit(float(10**digits)), 0).cast("long")
+
+
+def rounded_mean(units: Column, count: Column, digits: int) -> Column:
+    """Mean of values given in whole units, rounded to the same number of decimals.
+
+    Summing whole units keeps the sum exact in any order, so a mean that falls
+    exactly between two roundings goes the same way on every run.
+    """
+    return round_to(ratio(units, count), 0) / F.lit(float(10**digits))

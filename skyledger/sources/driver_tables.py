@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.functions.fixed_values import CARRIER_NAMES, CAUSE_LABELS
+from skyledger.functions.fixed_values import CARRIER_NAMES, CAUSE_LABELS, RAW_TO_COLUMN
 from skyledger.sources.dimensions import calendar_dimension, carrier_names
 from skyledger.sources.raw_flights import derive
 
@@ -173,3 +173,14 @@ def _fly(items: DataFrame) -> DataFrame:
         "CAST(200 + h % 2400 AS DOUBLE) AS distance",
         *causes,
     )
+
+
+def raw_text(flights: DataFrame) -> DataFrame:
+    """Flights written back as the text of a raw file, with its trailing blank column."""
+    texts = []
+    for header, name in RAW_TO_COLUMN.items():
+        text = F.col(name).cast("string")
+        if name == "flight_date":
+            text = F.concat(F.date_format(name, "M/d/yyyy"), F.lit(" 12:00:00 AM"))
+        texts.append(text.alias(header))
+    return flights.select(*texts, F.lit(None).cast("string").alias("_c28"))
