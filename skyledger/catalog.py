@@ -31,6 +31,7 @@ from skyledger.session import run_sql, work_path
 from skyledger.sources import raw_flights
 from skyledger.sources.dimensions import carrier_dimension
 from skyledger.sources.driver_tables import DriverTables, raw_text
+from skyledger.sources.schema import SOURCE_COLUMNS
 from skyledger.sources.sinks import read_flights, write_flights, write_table
 
 AIRPORT_MIN_FLIGHTS = 2000
@@ -57,8 +58,7 @@ def _flags_as_double(df: DataFrame) -> DataFrame:
 
 
 def clean_raw_text(t: DriverTables) -> DataFrame:
-    cleaned = raw_flights.clean(raw_text(t.flights))
-    return cleaned.select(*raw_flights.RAW_TO_COLUMN.values())
+    return raw_flights.clean(raw_text(t.flights)).select(*SOURCE_COLUMNS)
 
 
 def derived_columns(t: DriverTables) -> DataFrame:
@@ -86,11 +86,11 @@ def csv_export_reread(t: DriverTables) -> DataFrame:
 
 
 def capped_sql(t: DriverTables) -> DataFrame:
-    t.departures.createOrReplaceTempView("skyledger_departures")
+    t.flights.createOrReplaceTempView("skyledger_flights")
     return run_sql(
         t.spark,
         "SELECT origin, count(*) AS flights, max(arr_delay) AS longest"
-        " FROM skyledger_departures WHERE arr_delay >= :minutes"
+        " FROM skyledger_flights WHERE arr_delay >= :minutes"
         " GROUP BY origin ORDER BY flights DESC, origin",
         {"minutes": 60},
         max_rows=5,
@@ -99,21 +99,21 @@ def capped_sql(t: DriverTables) -> DataFrame:
 
 def dataset_csv_reread(t: DriverTables) -> DataFrame:
     path = work_path(t.spark, "carriers-csv")
-    exports.export_dataset("carriers", path, t.measures, t.carriers, t.airports, "csv")
-    schema = exports.carriers_dataset(t.measures, t.carriers, t.airports).schema
+    exports.export_dataset("carriers", path, t.flights, t.carriers, t.airports, "csv")
+    schema = exports.carriers_dataset(t.flights, t.carriers, t.airports).schema
     return t.spark.read.csv(path, header=True, schema=schema)
 
 
 def dataset_json_reread(t: DriverTables) -> DataFrame:
     path = work_path(t.spark, "trends-json")
-    exports.export_dataset("trends", path, t.measures, t.carriers, t.airports, "json")
-    schema = exports.trends(t.measures, t.carriers, t.airports).schema
+    exports.export_dataset("trends", path, t.flights, t.carriers, t.airports, "json")
+    schema = exports.trends(t.flights, t.carriers, t.airports).schema
     return t.spark.read.schema(schema).json(path)
 
 
 def report_table_reread(t: DriverTables) -> DataFrame:
     folder = work_path(t.spark, "report")
-    paths = exports.export_report(folder, t.departures, t.carriers, t.airports, "parquet")
+    paths = exports.export_report(folder, t.flights, t.carriers, t.airports, "parquet")
     return t.spark.read.parquet(next(p for p in paths if p.endswith("Carrier_Performance")))
 
 
@@ -127,17 +127,16 @@ def asked(t: DriverTables) -> DataFrame:
 
 
 def classify_questions(t: DriverTables) -> DataFrame:
-    return asked(t).withColumn("intent", questions.classify("question"))
+    return questions.with_intent(asked(t), "question")
 
 
 def classify_documents(t: DriverTables) -> DataFrame:
-    return t.read("documents").select("doc_id", questions.classify("text").alias("intent"))
+    return questions.with_intent(t.read("documents"), "text").select("doc_id", "intent")
 
 
 def classify_conversations(t: DriverTables) -> DataFrame:
-    return t.read("conversations").select(
-        "conv_id", "turn", questions.classify("text").alias("intent")
-    )
+    classified = questions.with_intent(t.read("conversations"), "text")
+    return classified.select("conv_id", "turn", "intent")
 
 
 def sample_question_use(t: DriverTables) -> DataFrame:
@@ -150,15 +149,8 @@ def _intent(name: str) -> Query:
     return lambda t: questions.INTENT_ROWS[name](t.flights, t.carriers, t.airports, t.calendar)
 
 
-def _intent_without_airports(name: str) -> Query:
-    return lambda t: questions.INTENT_ROWS[name](t.measures, t.carriers, t.airports, t.calendar)
-
-
 def _dataset(name: str) -> Query:
-    needs_airport = name == "airports"
-    return lambda t: exports.dataset(
-        name, t.departures if needs_airport else t.measures, t.carriers, t.airports
-    )
+    return lambda t: exports.dataset(name, t.flights, t.carriers, t.airports)
 
 
 def features(t: DriverTables) -> DataFrame:
@@ -208,83 +200,83 @@ QUERIES: dict[str, Query] = {
     "s6_s10_derived_columns": derived_columns,
     "s11_s12_parquet_by_month": parquet_by_month,
     "s13_airports": lambda t: t.airports,
-    "s14_carriers": lambda t: carrier_dimension(t.measures, t.carriers),
+    "s14_carriers": lambda t: carrier_dimension(t.flights, t.carriers),
     "s15_calendar": lambda t: t.calendar,
     "s17_load_profile": lambda t: quality.load_profile(t.flights),
-    "s17_flights_by_month": lambda t: quality.load_flights_by_month(t.measures),
-    "s17_top_origins": lambda t: quality.load_top_origins(t.departures),
-    "s17_top_carriers": lambda t: quality.load_top_carriers(t.measures, t.carriers),
+    "s17_flights_by_month": lambda t: quality.load_flights_by_month(t.flights),
+    "s17_top_origins": lambda t: quality.load_top_origins(t.flights),
+    "s17_top_carriers": lambda t: quality.load_top_carriers(t.flights, t.carriers),
     "s18_csv_export_reread": csv_export_reread,
     "s21_dataset_csv_reread": dataset_csv_reread,
     "s22_dataset_json_reread": dataset_json_reread,
     "s24_report_table_reread": report_table_reread,
     "s25_capped_sql": capped_sql,
     # Rollups
-    "v1_daily_airport_summary": lambda t: rollups.daily_airport_summary(t.departures),
+    "v1_daily_airport_summary": lambda t: rollups.daily_airport_summary(t.flights),
     "v2_monthly_carrier_performance": lambda t: rollups.monthly_carrier_performance(
-        t.measures, t.carriers
+        t.flights, t.carriers
     ),
     "v3_route_reliability": lambda t: rollups.route_reliability(t.flights),
     # Quality
     "q1_volume_by_month": lambda t: quality.volume_by_month(t.flights),
-    "q2_null_profile": lambda t: quality.null_profile(t.measures),
-    "q3_delay_distribution": lambda t: quality.delay_distribution(t.measures),
-    "q4_cancellation_codes": lambda t: quality.cancellation_codes(t.measures),
-    "q5_orphan_airports": lambda t: quality.orphan_airports(t.departures, t.airports),
-    "q6_daily_volume_distribution": lambda t: quality.daily_volume_distribution(t.measures),
+    "q2_null_profile": lambda t: quality.null_profile(t.flights),
+    "q3_delay_distribution": lambda t: quality.delay_distribution(t.flights),
+    "q4_cancellation_codes": lambda t: quality.cancellation_codes(t.flights),
+    "q5_orphan_airports": lambda t: quality.orphan_airports(t.flights, t.airports),
+    "q6_daily_volume_distribution": lambda t: quality.daily_volume_distribution(t.flights),
     # Exploratory
-    "x1_kpi_summary": lambda t: explore.kpi_summary(t.measures),
-    "x2_delay_by_hour": lambda t: explore.delay_by_hour(t.measures),
-    "x3_delay_by_day_of_week": lambda t: explore.delay_by_day_of_week(t.measures),
-    "x4_delay_by_month": lambda t: explore.delay_by_month(t.measures),
-    "x5_busiest_airports": lambda t: explore.busiest_airports(t.departures, t.airports),
+    "x1_kpi_summary": lambda t: explore.kpi_summary(t.flights),
+    "x2_delay_by_hour": lambda t: explore.delay_by_hour(t.flights),
+    "x3_delay_by_day_of_week": lambda t: explore.delay_by_day_of_week(t.flights),
+    "x4_delay_by_month": lambda t: explore.delay_by_month(t.flights),
+    "x5_busiest_airports": lambda t: explore.busiest_airports(t.flights, t.airports),
     "x6_most_delayed_airports": lambda t: explore.most_delayed_airports(
-        t.departures, t.airports, AIRPORT_MIN_FLIGHTS
+        t.flights, t.airports, AIRPORT_MIN_FLIGHTS
     ),
-    "x7_carrier_on_time": lambda t: explore.carrier_on_time(t.measures, t.carriers),
-    "x8_delay_causes": lambda t: explore.delay_causes(t.measures),
+    "x7_carrier_on_time": lambda t: explore.carrier_on_time(t.flights, t.carriers),
+    "x8_delay_causes": lambda t: explore.delay_causes(t.flights),
     "x9_busiest_routes": lambda t: explore.busiest_routes(t.flights),
-    "x10_weekend_vs_weekday": lambda t: explore.weekend_vs_weekday(t.measures),
+    "x10_weekend_vs_weekday": lambda t: explore.weekend_vs_weekday(t.flights),
     "x11_worst_routes": lambda t: explore.worst_routes(t.flights, ROUTE_MIN_FLIGHTS),
-    "x12_primary_cause_distribution": lambda t: explore.primary_cause_distribution(t.measures),
+    "x12_primary_cause_distribution": lambda t: explore.primary_cause_distribution(t.flights),
     # Advanced
-    "a1_top_carriers": lambda t: advanced.top_carriers(t.measures, t.carriers),
-    "a2_month_over_month": lambda t: advanced.month_over_month(t.measures),
-    "a3_airport_congestion": lambda t: advanced.airport_congestion(t.departures, t.airports),
-    "a4_delay_cascade": lambda t: advanced.delay_cascade(t.measures, t.carriers),
+    "a1_top_carriers": lambda t: advanced.top_carriers(t.flights, t.carriers),
+    "a2_month_over_month": lambda t: advanced.month_over_month(t.flights),
+    "a3_airport_congestion": lambda t: advanced.airport_congestion(t.flights, t.airports),
+    "a4_delay_cascade": lambda t: advanced.delay_cascade(t.flights, t.carriers),
     "a5_route_decomposition": lambda t: advanced.route_decomposition(t.flights),
     "a6_hub_efficiency": lambda t: advanced.hub_efficiency(t.flights, t.airports, HUBS),
-    "a7_heatmap_long": lambda t: advanced.heatmap_long(t.measures),
-    "a7_heatmap_wide": lambda t: advanced.heatmap_wide(t.measures),
+    "a7_heatmap_long": lambda t: advanced.heatmap_long(t.flights),
+    "a7_heatmap_wide": lambda t: advanced.heatmap_wide(t.flights),
     "a8_market_share_vs_delay": lambda t: advanced.market_share_vs_delay(t.flights, t.carriers),
     "a9_cancellations_by_season": lambda t: advanced.cancellations_by_season(
-        t.measures, t.calendar
+        t.flights, t.calendar
     ),
-    "a10_rolling_delay": lambda t: advanced.rolling_delay(t.measures),
-    "a11_year_over_year": lambda t: advanced.year_over_year(t.measures),
+    "a10_rolling_delay": lambda t: advanced.rolling_delay(t.flights),
+    "a11_year_over_year": lambda t: advanced.year_over_year(t.flights),
     "a12_route_severity": lambda t: advanced.route_severity(
         t.flights, t.airports, min_flights=SEVERITY_MIN_FLIGHTS
     ),
     "a13_connections": lambda t: connections(t.flights, origin=None, date=None),
-    "a14_severity_distribution": lambda t: advanced.severity_distribution(t.measures),
-    "a15_carrier_momentum": lambda t: advanced.carrier_momentum(t.measures, t.carriers),
+    "a14_severity_distribution": lambda t: advanced.severity_distribution(t.flights),
+    "a15_carrier_momentum": lambda t: advanced.carrier_momentum(t.flights, t.carriers),
     # Dashboard
-    "r1_overview": lambda t: service.overview(t.measures),
-    "r2_delays_by_hour": lambda t: service.delays_by_hour(t.measures),
-    "r3_delays_by_carrier": lambda t: service.delays_by_carrier(t.measures, t.carriers),
-    "r4_delays_by_airport": lambda t: service.delays_by_airport(t.departures, t.airports),
-    "r5_delay_causes": lambda t: service.delay_causes(t.measures),
-    "r6_monthly_trends": lambda t: service.monthly_trends(t.measures),
-    "r7_day_of_week_patterns": lambda t: service.day_of_week_patterns(t.measures),
-    "r8_delay_heatmap": lambda t: service.delay_heatmap(t.measures),
+    "r1_overview": lambda t: service.overview(t.flights),
+    "r2_delays_by_hour": lambda t: service.delays_by_hour(t.flights),
+    "r3_delays_by_carrier": lambda t: service.delays_by_carrier(t.flights, t.carriers),
+    "r4_delays_by_airport": lambda t: service.delays_by_airport(t.flights, t.airports),
+    "r5_delay_causes": lambda t: service.delay_causes(t.flights),
+    "r6_monthly_trends": lambda t: service.monthly_trends(t.flights),
+    "r7_day_of_week_patterns": lambda t: service.day_of_week_patterns(t.flights),
+    "r8_delay_heatmap": lambda t: service.delay_heatmap(t.flights),
     "r9_worst_routes": lambda t: service.top_routes(
         t.flights, "worst", min_flights=ROUTE_MIN_FLIGHTS
     ),
     "r9_best_routes": lambda t: service.top_routes(
         t.flights, "best", min_flights=ROUTE_MIN_FLIGHTS
     ),
-    "r10_cancellations": lambda t: service.cancellations(t.measures),
-    "r11_carrier_ranking": lambda t: service.carrier_ranking(t.measures, t.carriers),
+    "r10_cancellations": lambda t: service.cancellations(t.flights),
+    "r11_carrier_ranking": lambda t: service.carrier_ranking(t.flights, t.carriers),
     # Export datasets
     "d1_overview": _dataset("overview"),
     "d2_carriers": _dataset("carriers"),
@@ -297,69 +289,69 @@ QUERIES: dict[str, Query] = {
     "n0_classify_questions": classify_questions,
     "n0_classify_documents": classify_documents,
     "n0_classify_conversations": classify_conversations,
-    "n1_best_airline": _intent_without_airports("best_airline"),
-    "n2_worst_airline": _intent_without_airports("worst_airline"),
-    "n3_airline_ranking": _intent_without_airports("airline_ranking"),
-    "n4_peak_delay_hours": _intent_without_airports("peak_delay_hours"),
-    "n5_delay_causes": _intent_without_airports("delay_causes"),
-    "n6_weather_delays": _intent_without_airports("weather_delays"),
+    "n1_best_airline": _intent("best_airline"),
+    "n2_worst_airline": _intent("worst_airline"),
+    "n3_airline_ranking": _intent("airline_ranking"),
+    "n4_peak_delay_hours": _intent("peak_delay_hours"),
+    "n5_delay_causes": _intent("delay_causes"),
+    "n6_weather_delays": _intent("weather_delays"),
     "n7_airport_comparison": _intent("airport_comparison"),
     "n8_busiest_airport": _intent("busiest_airport"),
-    "n9_cancellation_info": _intent_without_airports("cancellation_info"),
-    "n10_monthly_trends": _intent_without_airports("monthly_trends"),
-    "n11_seasonal": _intent_without_airports("seasonal"),
+    "n9_cancellation_info": _intent("cancellation_info"),
+    "n10_monthly_trends": _intent("monthly_trends"),
+    "n11_seasonal": _intent("seasonal"),
     "n12_route_analysis": lambda t: questions.route_analysis(
         t.flights, t.carriers, t.airports, t.calendar, ROUTE_MIN_FLIGHTS
     ),
-    "n13_general_stats": _intent_without_airports("general_stats"),
+    "n13_general_stats": _intent("general_stats"),
     "n14_insights": lambda t: questions.insights(t.flights, t.carriers),
     "n15_answer_questions": lambda t: questions.answer_questions(
         asked(t), t.flights, t.carriers
     ),
     "n16_sample_questions": sample_question_use,
     # Chart data
-    "p1_delay_histogram": lambda t: charts.delay_histogram(t.measures),
-    "p2_delay_stats": lambda t: charts.delay_stats(t.measures),
-    "p3_delay_box": lambda t: charts.delay_box(t.measures),
-    "p4_correlation_matrix": lambda t: charts.correlation_matrix(t.measures),
+    "p1_delay_histogram": lambda t: charts.delay_histogram(t.flights),
+    "p2_delay_stats": lambda t: charts.delay_stats(t.flights),
+    "p3_delay_box": lambda t: charts.delay_box(t.flights),
+    "p4_correlation_matrix": lambda t: charts.correlation_matrix(t.flights),
     "p5_missing_values": lambda t: charts.missing_values(t.flights),
-    "p6_daily_volume": lambda t: charts.daily_volume(t.measures),
-    "p6_peak_day": lambda t: charts.peak_day(t.measures),
-    "p7_carrier_delay_rates": lambda t: charts.carrier_delay_rates(t.measures),
-    "p8_dep_arr_sample": lambda t: charts.departure_arrival_sample(t.measures),
-    "p8_axis_limit": lambda t: charts.axis_limit(charts.departure_arrival_sample(t.measures)),
-    "p9_dep_arr_correlation": lambda t: charts.departure_arrival_correlation(t.measures),
+    "p6_daily_volume": lambda t: charts.daily_volume(t.flights),
+    "p6_peak_day": lambda t: charts.peak_day(t.flights),
+    "p7_carrier_delay_rates": lambda t: charts.carrier_delay_rates(t.flights),
+    "p8_dep_arr_sample": lambda t: charts.departure_arrival_sample(t.flights),
+    "p8_axis_limit": lambda t: charts.axis_limit(charts.departure_arrival_sample(t.flights)),
+    "p9_dep_arr_correlation": lambda t: charts.departure_arrival_correlation(t.flights),
     "p10_dataset_overview": lambda t: charts.dataset_overview(t.flights),
-    "p11_hourly_profile": lambda t: charts.hourly_profile(t.measures),
-    "p11_peak_hour": lambda t: charts.peak_hour(t.measures),
-    "p12_cause_shares": lambda t: charts.cause_shares(t.measures),
-    "p13_carrier_cause_means": lambda t: charts.carrier_cause_means(t.measures),
-    "p14_carrier_delay_boxes": lambda t: charts.carrier_delay_boxes(t.measures),
-    "p15_delayed_median": lambda t: charts.delayed_median(t.measures),
-    "p16_severity_breakdown": lambda t: charts.severity_breakdown(t.measures),
-    "p16_severe_total": lambda t: charts.severe_total(t.measures),
-    "p17_monthly_profile": lambda t: charts.monthly_profile(t.measures),
-    "p18_weekend_profile": lambda t: charts.weekend_profile(t.measures),
-    "p19_day_of_week_profile": lambda t: charts.day_of_week_profile(t.measures),
+    "p11_hourly_profile": lambda t: charts.hourly_profile(t.flights),
+    "p11_peak_hour": lambda t: charts.peak_hour(t.flights),
+    "p12_cause_shares": lambda t: charts.cause_shares(t.flights),
+    "p13_carrier_cause_means": lambda t: charts.carrier_cause_means(t.flights),
+    "p14_carrier_delay_boxes": lambda t: charts.carrier_delay_boxes(t.flights),
+    "p15_delayed_median": lambda t: charts.delayed_median(t.flights),
+    "p16_severity_breakdown": lambda t: charts.severity_breakdown(t.flights),
+    "p16_severe_total": lambda t: charts.severe_total(t.flights),
+    "p17_monthly_profile": lambda t: charts.monthly_profile(t.flights),
+    "p18_weekend_profile": lambda t: charts.weekend_profile(t.flights),
+    "p19_day_of_week_profile": lambda t: charts.day_of_week_profile(t.flights),
     "p20_busiest_airports": lambda t: charts.busiest_airports(t.flights),
     "p21_most_delayed_airports": lambda t: charts.most_delayed_airports(
-        t.departures, AIRPORT_MIN_FLIGHTS
+        t.flights, AIRPORT_MIN_FLIGHTS
     ),
-    "p22_airport_quadrants": lambda t: charts.airport_quadrants(t.departures),
-    "p23_hub_comparison": lambda t: charts.hub_comparison(t.departures, NAMED_HUBS),
-    "p24_geographic_delay": lambda t: charts.geographic_delay(t.departures, t.airports),
-    "p25_monthly_trend": lambda t: charts.monthly_trend(t.measures),
-    "p26_day_of_week_pattern": lambda t: charts.day_of_week_pattern(t.measures),
-    "p27_day_hour_matrix": lambda t: charts.day_hour_matrix(t.measures),
-    "p28_weekly_trend": lambda t: charts.weekly_trend(t.measures),
-    "p29_holiday_periods": lambda t: charts.holiday_periods(t.measures, WINDOWS),
+    "p22_airport_quadrants": lambda t: charts.airport_quadrants(t.flights),
+    "p23_hub_comparison": lambda t: charts.hub_comparison(t.flights, NAMED_HUBS),
+    "p24_geographic_delay": lambda t: charts.geographic_delay(t.flights, t.airports),
+    "p25_monthly_trend": lambda t: charts.monthly_trend(t.flights),
+    "p26_day_of_week_pattern": lambda t: charts.day_of_week_pattern(t.flights),
+    "p27_day_hour_matrix": lambda t: charts.day_hour_matrix(t.flights),
+    "p28_weekly_trend": lambda t: charts.weekly_trend(t.flights),
+    "p29_holiday_periods": lambda t: charts.holiday_periods(t.flights, WINDOWS),
     # Report tables
-    "e1_summary": lambda t: reports.summary(t.departures),
-    "e2_hourly": lambda t: reports.hourly(t.measures),
-    "e3_carrier_performance": lambda t: reports.carrier_performance(t.measures, t.carriers),
-    "e4_airport_performance": lambda t: reports.airport_performance(t.departures, t.airports),
-    "e5_monthly": lambda t: reports.monthly(t.measures),
-    "e6_delay_causes": lambda t: reports.delay_causes(t.measures),
+    "e1_summary": lambda t: reports.summary(t.flights),
+    "e2_hourly": lambda t: reports.hourly(t.flights),
+    "e3_carrier_performance": lambda t: reports.carrier_performance(t.flights, t.carriers),
+    "e4_airport_performance": lambda t: reports.airport_performance(t.flights, t.airports),
+    "e5_monthly": lambda t: reports.monthly(t.flights),
+    "e6_delay_causes": lambda t: reports.delay_causes(t.flights),
     # Model
     "m2_m5_features": features,
     "m6_split_counts": split_counts,
@@ -371,12 +363,12 @@ QUERIES: dict[str, Query] = {
     "m12_permutation_importance": permutation_importance,
     "m13_saved_metrics": saved_metrics,
     # BI measures and chart reshapes
-    "b1_b4_measures_by_carrier": lambda t: bi.bi_measures(t.measures, "carrier_code"),
-    "b1_b4_measures_overall": lambda t: bi.bi_measures(t.measures),
-    "b5_yoy_delay_change": lambda t: bi.yoy_delay_change(t.measures),
+    "b1_b4_measures_by_carrier": lambda t: bi.bi_measures(t.flights, "carrier_code"),
+    "b1_b4_measures_overall": lambda t: bi.bi_measures(t.flights),
+    "b5_yoy_delay_change": lambda t: bi.yoy_delay_change(t.flights),
     "f1_carriers_by_delay": lambda t: bi.carriers_by_delay(
-        service.carrier_ranking(t.measures, t.carriers)
+        service.carrier_ranking(t.flights, t.carriers)
     ),
-    "f2_normalised_heatmap": lambda t: bi.normalised_heatmap(service.delay_heatmap(t.measures)),
-    "f3_month_labels": lambda t: bi.month_labels(service.monthly_trends(t.measures)),
+    "f2_normalised_heatmap": lambda t: bi.normalised_heatmap(service.delay_heatmap(t.flights)),
+    "f3_month_labels": lambda t: bi.month_labels(service.monthly_trends(t.flights)),
 }

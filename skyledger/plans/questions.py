@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,22 +27,36 @@ from skyledger.plans import service
 from skyledger.session import MAX_ROWS
 
 
-def classify(text: str | Column) -> Column:
-    """The first intent, in registry order, with a pattern found in the lower-cased text.
+def with_intent(questions: DataFrame, text: str) -> DataFrame:
+    """Add ``intent``: the first one, in registry order, with a pattern found in the text.
 
-    ``(?d)`` ends ``.`` at newlines only and ``(?U)`` makes word boundaries
-    respect accented letters.
+    Texts are lower-cased once, in a projection of their own.
     """
-    lowered = F.lower(F.trim(F.col(text) if isinstance(text, str) else text))
-    return F.coalesce(
-        *[
-            F.when(lowered.rlike("(?dU)" + "|".join(patterns)), F.lit(intent))
-            for intent, patterns in INTENT_PATTERNS.items()
-        ],
-        F.lit(FALLBACK_INTENT),
+    lowered = questions.withColumn("lowered", F.lower(F.trim(text)))
+    intents = [
+        F.when(reduce(Column.__or__, [_found(p) for p in patterns]), F.lit(intent))
+        for intent, patterns in INTENT_PATTERNS.items()
+    ]
+    return lowered.withColumn("intent", F.coalesce(*intents, F.lit(FALLBACK_INTENT))).drop(
+        "lowered"
     )
 
 
+def _found(pattern: str) -> Column:
+    """Whether a pattern occurs in ``lowered``.
+
+    Plain substring tests for the fixed words of the pattern come first, and
+    decide alone if it is nothing but a word, so that few long texts reach the
+    regular expression.  ``(?d)`` ends ``.`` at newlines only and ``(?U)`` makes
+    word boundaries respect accented letters.
+    """
+    words = re.split(r"\\b|\.\*|\.\?", pattern)
+    tests = [F.contains(F.col("lowered"), F.lit(word)) for word in words if word]
+    if words != [pattern]:
+        tests.append(F.col("lowered").rlike("(?dU)" + pattern))
+    return reduce(Column.__and__, tests)
+
+
 def sample_questions(spark: SparkSession) -> DataFrame:
     return spark.range(len(SAMPLE_QUESTIONS)).select(
         F.col("id").alias("question_id"),
@@ -314,5 +330,5 @@ def answer_questions(
     broadcast and the questions are neither shuffled nor collected.  The rows
     behind an answer come from ``INTENT_ROWS``.
     """
-    classified = questions.withColumn("intent", classify(text))
+    classified = with_intent(questions, text)
     return classified.join(F.broadcast(answers(flights, carriers)), "intent")

@@ -1,11 +1,14 @@
 """A flights-shaped view of the order tables, and the dimensions that go with it.
 
-Every value is arithmetic on the keys of one line item, so the projection is
-narrow apart from the lookups that give the two airports.  Those lookups are
-left joins on unique keys: they can neither add nor drop a flight, so a query
-that reads no airport column skips them.  No broadcast is forced, since orders,
-customers and suppliers grow with the data; Spark broadcasts a side only while
-its size stays under ``spark.sql.autoBroadcastJoinThreshold``.
+Every value is arithmetic on the keys of one line item, apart from the lookups
+that give the two airports.  Those are left joins on unique keys, so they neither
+add nor drop a flight.  No broadcast is forced, since orders, customers and
+suppliers grow with the data: Spark broadcasts a side only while its size stays
+under ``spark.sql.autoBroadcastJoinThreshold``.
+
+The projected flights are written once per session and folder, as the load step
+of any flights warehouse does.  Queries then scan that table, reading only their
+columns and pushing their filters down to it.
 """
 
 from __future__ import annotations
@@ -16,14 +19,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.functions.fixed_values import CARRIER_NAMES, CAUSE_LABELS, RAW_TO_COLUMN
+from skyledger.session import work_path
 from skyledger.sources.dimensions import calendar_dimension, carrier_names
 from skyledger.sources.raw_flights import derive
+from skyledger.sources.sinks import read_flights, write_flights
 
 # One carrier code stays outside the carrier dimension.
 UNKNOWN_CARRIER = "ZZ"
 # One nation key stays outside the airport dimension.
 AIRPORT_KEYS = 24
 
+_loaded: dict[tuple[str, str], DataFrame] = {}
+
 
 @dataclass(frozen=True)
 class DriverTables:
@@ -37,18 +44,17 @@ class DriverTables:
 
     @property
     def flights(self) -> DataFrame:
-        """All columns, both airports."""
-        return derive(self._legs(origin=True, dest=True))
-
-    @property
-    def departures(self) -> DataFrame:
-        """Flights with the origin airport only; dest and route are null."""
-        return derive(self._legs(origin=True, dest=False))
-
-    @property
-    def measures(self) -> DataFrame:
-        """Flights for queries that read no airport; origin, dest and route are null."""
-        return derive(self._legs(origin=False, dest=False))
+        """The written flights table; the first use in a session loads it."""
+        key = (self.spark.sparkContext.applicationId, self.folder)
+        if key not in _loaded:
+            path = work_path(self.spark, "flights")
+            write_flights(self.project_flights(), path)
+            _loaded[key] = read_flights(self.spark, path)
+        return _loaded[key]
+
+    def project_flights(self) -> DataFrame:
+        """Flights computed from the order tables."""
+        return derive(_fly(self._with_dest(self._with_origin(self.read("lineitem")))))
 
     @property
     def airports(self) -> DataFrame:
@@ -75,13 +81,7 @@ class DriverTables:
 
     @property
     def calendar(self) -> DataFrame:
-        return calendar_dimension(self.measures)
-
-    def _legs(self, origin: bool, dest: bool) -> DataFrame:
-        items = self.read("lineitem")
-        items = self._with_origin(items) if origin else _without_airport(items, "origin")
-        items = self._with_dest(items) if dest else _without_airport(items, "dest")
-        return _fly(items)
+        return calendar_dimension(self.flights)
 
     def _with_origin(self, items: DataFrame) -> DataFrame:
         supplier = self.read("supplier").select(
@@ -109,11 +109,6 @@ def _name_airport(items: DataFrame, end: str) -> DataFrame:
     )
 
 
-def _without_airport(items: DataFrame, end: str) -> DataFrame:
-    empty = F.lit(None).cast("string")
-    return items.withColumns({end: empty, f"{end}_city": empty, f"{end}_state": empty})
-
-
 def _fly(items: DataFrame) -> DataFrame:
     """Schedule, delays, clock times and causes from the hash of a line item's keys."""
     codes = ", ".join(f"'{code}'" for code in [*CARRIER_NAMES, UNKNOWN_CARRIER])
@@ -145,14 +140,20 @@ def _fly(items: DataFrame) -> DataFrame:
         "IF(arr IS NULL, NULL, (left_at + 40 + h % 200) % 1440) AS in_at",
         "IF(arr >= 15, arr, NULL) AS late",
     )
+    shared = timed.selectExpr(
+        "*",
+        "h % 5 AS main_cause",
+        "CASE WHEN h % 89 = 0 THEN late * 0 WHEN h % 7 = 0 THEN late DIV 2 ELSE late DIV 3 END"
+        " AS second_part",
+        "CASE WHEN h % 89 = 0 THEN late * 0 WHEN h % 7 = 0 THEN late DIV 2"
+        " ELSE late - late DIV 3 END AS main_part",
+    )
     causes = [
-        f"CAST(IF(h % 89 = 0, late * 0,"
-        f" IF(h % 5 = {i}, IF(h % 7 = 0, late DIV 2, late - late DIV 3), 0)"
-        f" + IF((h + 2) % 5 = {i}, IF(h % 7 = 0, late DIV 2, late DIV 3), 0))"
-        f" * IF(late IS NULL, NULL, 1) AS DOUBLE) AS {name}"
+        f"CAST(CASE main_cause WHEN {i} THEN main_part WHEN {(i + 3) % 5} THEN second_part"
+        f" ELSE late * 0 END AS DOUBLE) AS {name}"
         for i, name in enumerate(CAUSE_LABELS)
     ]
-    return timed.selectExpr(
+    return shared.selectExpr(
         "CAST(year(flight_date) AS INT) AS year",
         "CAST(month(flight_date) AS INT) AS month",
         "CAST(day(flight_date) AS INT) AS day_of_month",

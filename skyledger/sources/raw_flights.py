@@ -8,20 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.functions.fixed_values import CAUSE_LABELS, RAW_TO_COLUMN
+from skyledger.sources.schema import DERIVED, DOUBLE_COLUMNS, INT_COLUMNS, SOURCE_COLUMNS
 
-INT_COLUMNS = ("year", "month", "day_of_month", "day_of_week", "cancelled")
-DOUBLE_COLUMNS = (
-    "crs_dep_time",
-    "dep_time",
-    "dep_delay",
-    "dep_delay_minutes",
-    "crs_arr_time",
-    "arr_time",
-    "arr_delay",
-    "arr_delay_minutes",
-    "distance",
-    *CAUSE_LABELS,
-)
 DATE_FORMATS = (
     "M/d/yyyy h:mm:ss a",
     "yyyy-MM-dd",
@@ -46,8 +34,8 @@ def clean(raw: DataFrame) -> DataFrame:
     renamed = raw.withColumnsRenamed(RAW_TO_COLUMN)
     present = set(renamed.columns)
     typed = [
-        _typed(name).alias(name) if name in present else _missing(name).alias(name)
-        for name in RAW_TO_COLUMN.values()
+        (_typed(name) if name in present else F.lit(None).cast(kind)).alias(name)
+        for name, kind in SOURCE_COLUMNS.items()
     ]
     return derive(renamed.select(*typed))
 
@@ -63,15 +51,8 @@ def _typed(name: str) -> Column:
     return text
 
 
-def _missing(name: str) -> Column:
-    kinds = {"flight_date": "date"}
-    kinds |= dict.fromkeys(INT_COLUMNS, "int") | dict.fromkeys(DOUBLE_COLUMNS, "double")
-    return F.lit(None).cast(kinds.get(name, "string"))
-
-
 def _number(text: Column) -> Column:
-    value = F.trim(text.cast("string")).try_cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.nullif(F.trim(text).try_cast("double"), F.lit(float("nan")))
 
 
 def parse_date(text: Column) -> Column:
@@ -82,7 +63,22 @@ def parse_date(text: Column) -> Column:
 
 def derive(flights: DataFrame) -> DataFrame:
     """Add the eight derived columns. Narrow: every value comes from its own row."""
-    return flights.withColumns(
+    minutes = {name: F.coalesce(F.col(name), F.lit(0.0)) for name in CAUSE_LABELS}
+    with_causes = flights.withColumns(
+        {
+            "largest_cause": F.greatest(*minutes.values()),
+            "cause_minutes": reduce(Column.__add__, minutes.values()),
+        }
+    )
+    explained = (F.col("arr_delay") >= DELAYED_FROM_MINUTES) & (F.col("cause_minutes") != 0)
+    # The earlier cause wins a tie.
+    largest = F.coalesce(
+        *[
+            F.when(minutes[name] == F.col("largest_cause"), F.lit(label))
+            for name, label in CAUSE_LABELS.items()
+        ]
+    )
+    return with_causes.withColumns(
         {
             "arr_del15": _late("arr_delay"),
             "dep_del15": _late("dep_delay"),
@@ -96,26 +92,12 @@ def derive(flights: DataFrame) -> DataFrame:
             "is_delayed": F.when(
                 (F.col("cancelled") == 0) & (F.col("arr_delay") >= DELAYED_FROM_MINUTES), 1
             ).otherwise(0),
-            "primary_delay_cause": primary_delay_cause(),
+            "primary_delay_cause": F.when(explained, largest),
         }
-    )
+    ).select(*flights.columns, *DERIVED)
 
 
 def _late(delay: str) -> Column:
     return F.when(
         F.col(delay).isNotNull(), (F.col(delay) >= DELAYED_FROM_MINUTES).cast("int")
     )
-
-
-def primary_delay_cause() -> Column:
-    """The label of the largest cause of a late arrival; the earlier column wins a tie."""
-    minutes = {name: F.coalesce(F.col(name), F.lit(0.0)) for name in CAUSE_LABELS}
-    largest = F.greatest(*minutes.values())
-    total = reduce(Column.__add__, minutes.values())
-    applies = (F.col("arr_delay") >= DELAYED_FROM_MINUTES) & (total != 0)
-    return F.coalesce(
-        *[
-            F.when(applies & (minutes[name] == largest), F.lit(label))
-            for name, label in CAUSE_LABELS.items()
-        ]
-    )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skyledger.sources.schema import FLIGHTS_SCHEMA
+
 PARTITION_COLUMNS = ("year", "month")
 
 
@@ -20,8 +22,8 @@ def write_flights(flights: DataFrame, path: str, mode: str = "errorifexists") ->
 
 
 def read_flights(spark: SparkSession, path: str, view: str | None = None) -> DataFrame:
-    """Read written flights, optionally registering them as a view."""
-    flights = spark.read.parquet(path)
+    """Read written flights by their declared schema, optionally registering a view."""
+    flights = spark.read.schema(FLIGHTS_SCHEMA).parquet(path)
     if view:
         flights.createOrReplaceTempView(view)
     return flights
