@@ -12,6 +12,8 @@ the same, and what is joined per hub and day is a short staircase per route.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,7 +36,9 @@ def connections(
     14:50 + 60 is 15:10; ``clock_minutes=True`` counts real minutes instead.
     The connection has to be strictly longer than ``min_connect``.
     """
-    legs = flights.filter((F.col("cancelled") == 0) & F.col("arr_time").isNotNull())
+    # Stated for both sides of the join, so that Spark computes the shared part once.
+    placed = [F.col(c).isNotNull() for c in ("flight_date", "origin", "dest", "arr_time")]
+    legs = flights.filter(reduce(Column.__and__, placed, F.col("cancelled") == 0))
     if date is not None:
         legs = legs.filter(F.col("flight_date") == F.lit(date).cast("date"))
     clock = _minutes if clock_minutes else F.col
@@ -58,7 +62,8 @@ def connections(
         F.col("arrives").alias("last_arrival"),
         F.col("arr_delay").alias("total_delay"),
     )
-    frontier = _undominated_arrivals(frontier, best)
+    # The path is the same throughout a group here, so delay alone decides.
+    frontier = _undominated_arrivals(frontier, _delay(), best)
     found = frontier
 
     for leg_number in range(2, max_legs + 1):
@@ -85,7 +90,8 @@ def connections(
             )
         )
         if not last:
-            frontier = _undominated_arrivals(frontier, best)
+            by_delay_and_path = F.struct(_delay().alias("delay"), "path")
+            frontier = _undominated_arrivals(frontier, by_delay_and_path, best)
         found = found.unionByName(frontier)
 
     in_order = Window.partitionBy(*DAY_START, "at").orderBy(
@@ -110,17 +116,22 @@ def _minutes(clock: str) -> Column:
     return (hours * 60 + F.col(clock) - hours * 100).alias(clock)
 
 
-def _undominated_arrivals(frontier: DataFrame, depth: int) -> DataFrame:
+def _delay() -> Column:
+    """Total delay so far; an unknown one is worse than any other."""
+    return F.coalesce("total_delay", F.lit(float("inf")))
+
+
+def _undominated_arrivals(frontier: DataFrame, cost: Column, depth: int) -> DataFrame:
     group = [*DAY_START, "at"]
-    cost = F.struct(F.coalesce("total_delay", F.lit(float("inf"))).alias("delay"), "path")
-    costed = frontier.withColumn("cost", cost)
-    kept = _first_rows(costed, [*group, "last_arrival"], F.col("cost"), depth)
+    kept = _first_rows(
+        frontier.withColumn("cost", cost), [*group, "last_arrival"], F.col("cost"), depth
+    )
     return _staircase(kept, group, F.col("last_arrival").asc(), depth).drop("cost")
 
 
 def _undominated_departures(legs: DataFrame, depth: int) -> DataFrame:
     group = ["flight_date", "origin", "dest"]
-    costed = legs.withColumn("cost", F.struct(F.col("added_delay").alias("delay")))
+    costed = legs.withColumn("cost", F.col("added_delay"))
     kept = _first_rows(costed, [*group, "leaves"], F.col("cost"), depth)
     return _staircase(kept, group, F.col("leaves").desc(), depth).drop("cost")
 

@@ -100,23 +100,22 @@ def correlation_matrix(
 ) -> DataFrame:
     """Pearson r of every pair, each over the rows where both are known.
 
-    All pairs come from one aggregate.  By default every row counts; pass
-    ``sample=50_000`` for the sampled figure.
+    Every row gives one small record per pair, which is combined at once into a
+    running correlation.  By default every row counts; pass ``sample=50_000``
+    for the sampled figure.
     """
     rows = flights if sample is None else sample_rows(flights, sample, seed)
-    pairs = list(combinations(columns, 2))
-    one_row = rows.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
-    return rows_from_columns(
-        one_row,
-        [
-            {
-                "col_a": F.lit(a),
-                "col_b": F.lit(b),
-                "r": round_to(F.col(f"`{a}|{b}`"), 4),
-            }
-            for a, b in pairs
-        ],
-    )
+    pairs = [
+        F.struct(
+            F.lit(a).alias("col_a"),
+            F.lit(b).alias("col_b"),
+            F.col(a).alias("x"),
+            F.col(b).alias("y"),
+        )
+        for a, b in combinations(columns, 2)
+    ]
+    long = rows.select(F.inline(F.array(*pairs)))
+    return long.groupBy("col_a", "col_b").agg(round_to(F.corr("x", "y"), 4).alias("r"))
 
 
 def missing_values(df: DataFrame) -> DataFrame:

@@ -26,6 +26,9 @@ def get_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # The JVM never compiles a method above 8000 bytecodes; Spark then does
+        # better with an operator's code split into small methods.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     if master:
         builder = builder.master(master)

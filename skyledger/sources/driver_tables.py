@@ -22,7 +22,7 @@ from skyledger.functions.fixed_values import CARRIER_NAMES, CAUSE_LABELS, RAW_TO
 from skyledger.session import work_path
 from skyledger.sources.dimensions import calendar_dimension, carrier_names
 from skyledger.sources.raw_flights import derive
-from skyledger.sources.sinks import read_flights, write_flights
+from skyledger.sources.sinks import PARTITION_COLUMNS, read_flights, write_flights
 
 # One carrier code stays outside the carrier dimension.
 UNKNOWN_CARRIER = "ZZ"
@@ -48,13 +48,14 @@ class DriverTables:
         key = (self.spark.sparkContext.applicationId, self.folder)
         if key not in _loaded:
             path = work_path(self.spark, "flights")
-            write_flights(self.project_flights(), path)
+            by_month = self._keys().hint("rebalance", *PARTITION_COLUMNS)
+            write_flights(derive(_fly(by_month)), path, rebalance=False)
             _loaded[key] = read_flights(self.spark, path)
         return _loaded[key]
 
     def project_flights(self) -> DataFrame:
         """Flights computed from the order tables."""
-        return derive(_fly(self._with_dest(self._with_origin(self.read("lineitem")))))
+        return derive(_fly(self._keys()))
 
     @property
     def airports(self) -> DataFrame:
@@ -83,43 +84,48 @@ class DriverTables:
     def calendar(self) -> DataFrame:
         return calendar_dimension(self.flights)
 
-    def _with_origin(self, items: DataFrame) -> DataFrame:
+    def _keys(self) -> DataFrame:
+        """Date, carrier, both airport keys and the hash of a line item's keys.
+
+        Seven narrow columns hold all that a flight is computed from, so this
+        is the place to shuffle.
+        """
         supplier = self.read("supplier").select(
             F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("origin_key")
         )
-        return _name_airport(items.join(supplier, "l_suppkey", "left"), "origin")
-
-    def _with_dest(self, items: DataFrame) -> DataFrame:
         orders = self.read("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
         customer = self.read("customer").select(
             F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("dest_key")
         )
-        joined = items.join(orders, "l_orderkey", "left").join(customer, "o_custkey", "left")
-        return _name_airport(joined, "dest")
-
-
-def _name_airport(items: DataFrame, end: str) -> DataFrame:
-    key = F.col(f"{end}_key")
-    return items.withColumns(
-        {
-            end: F.concat(F.lit("N"), F.lpad(key.cast("string"), 2, "0")),
-            f"{end}_city": F.concat(F.lit("City "), key.cast("string")),
-            f"{end}_state": F.concat(F.lit("S"), (key % 5).cast("string")),
-        }
-    )
+        joined = (
+            self.read("lineitem")
+            .join(supplier, "l_suppkey", "left")
+            .join(orders, "l_orderkey", "left")
+            .join(customer, "o_custkey", "left")
+        )
+        codes = ", ".join(f"'{code}'" for code in [*CARRIER_NAMES, UNKNOWN_CARRIER])
+        return joined.selectExpr(
+            "CAST(l_shipdate AS DATE) AS flight_date",
+            f"element_at(array({codes}), CAST(l_suppkey % 16 AS INT) + 1) AS carrier_code",
+            "origin_key",
+            "dest_key",
+            "31 * l_orderkey + 17 * l_partkey + 13 * l_suppkey"
+            " + 7 * CAST(l_linenumber AS BIGINT) + 101 * CAST(l_quantity AS BIGINT) AS h",
+        ).selectExpr("*", "year(flight_date) AS year", "month(flight_date) AS month")
+
+
+def _airport(end: str) -> list[str]:
+    key = f"CAST({end}_key AS STRING)"
+    return [
+        f"concat('N', lpad({key}, 2, '0')) AS {end}",
+        f"concat('City ', {key}) AS {end}_city",
+        f"concat('S', CAST({end}_key % 5 AS STRING)) AS {end}_state",
+    ]
 
 
-def _fly(items: DataFrame) -> DataFrame:
-    """Schedule, delays, clock times and causes from the hash of a line item's keys."""
-    codes = ", ".join(f"'{code}'" for code in [*CARRIER_NAMES, UNKNOWN_CARRIER])
-    keyed = items.selectExpr(
-        "origin", "origin_city", "origin_state", "dest", "dest_city", "dest_state",
-        "CAST(l_shipdate AS DATE) AS flight_date",
-        f"element_at(array({codes}), CAST(l_suppkey % 16 AS INT) + 1) AS carrier_code",
-        "31 * l_orderkey + 17 * l_partkey + 13 * l_suppkey + 7 * CAST(l_linenumber AS BIGINT)"
-        " + 101 * CAST(l_quantity AS BIGINT) AS h",
-    )
-    scheduled = keyed.selectExpr(
+def _fly(keys: DataFrame) -> DataFrame:
+    """Schedule, delays, clock times and causes from the hash."""
+    scheduled = keys.selectExpr(
         "*",
         "h % 24 AS dep_hour",
         "(h DIV 24) % 60 AS dep_minute",
@@ -154,12 +160,13 @@ def _fly(items: DataFrame) -> DataFrame:
         for i, name in enumerate(CAUSE_LABELS)
     ]
     return shared.selectExpr(
-        "CAST(year(flight_date) AS INT) AS year",
-        "CAST(month(flight_date) AS INT) AS month",
+        "year",
+        "month",
         "CAST(day(flight_date) AS INT) AS day_of_month",
         "CAST(weekday(flight_date) + 1 AS INT) AS day_of_week",
         "flight_date", "carrier_code",
-        "origin", "origin_city", "origin_state", "dest", "dest_city", "dest_state",
+        *_airport("origin"),
+        *_airport("dest"),
         "CAST(dep_hour * 100 + dep_minute AS DOUBLE) AS crs_dep_time",
         "CAST(left_at DIV 60 * 100 + left_at % 60 AS DOUBLE) AS dep_time",
         "CAST(dep AS DOUBLE) AS dep_delay",

@@ -9,16 +9,18 @@ from skyledger.sources.schema import FLIGHTS_SCHEMA
 PARTITION_COLUMNS = ("year", "month")
 
 
-def write_flights(flights: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def write_flights(
+    flights: DataFrame, path: str, mode: str = "errorifexists", rebalance: bool = True
+) -> None:
     """Write flights as Parquet in one folder per month.
 
     The rebalance hint shuffles by month but lets adaptive execution split a
     large month over many tasks and pack small ones together, so files come
-    out even whatever the skew.
+    out even whatever the skew.  Pass False for rows already dealt that way.
     """
-    flights.hint("rebalance", *PARTITION_COLUMNS).write.partitionBy(*PARTITION_COLUMNS).mode(
-        mode
-    ).parquet(path)
+    if rebalance:
+        flights = flights.hint("rebalance", *PARTITION_COLUMNS)
+    flights.write.partitionBy(*PARTITION_COLUMNS).mode(mode).parquet(path)
 
 
 def read_flights(spark: SparkSession, path: str, view: str | None = None) -> DataFrame:
