@@ -131,6 +131,7 @@ SELECT origin, dest, route, COUNT(*) AS total_flights, {share(LATE15)} AS delay_
     {rnd("AVG(distance)", 0)} AS avg_distance,
     COUNT(DISTINCT carrier_code) AS num_carriers
 FROM flights WHERE cancelled = 0 GROUP BY ALL HAVING COUNT(*) >= 100"""
+SQL["s16_view_of_routes"] = SQL["v3_route_reliability"]
 
 # Quality
 

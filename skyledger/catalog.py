@@ -29,7 +29,7 @@ from skyledger.plans import (
 )
 from skyledger.session import run_sql, work_path
 from skyledger.sources import raw_flights
-from skyledger.sources.dimensions import carrier_dimension
+from skyledger.sources.dimensions import calendar_dimension, carrier_dimension
 from skyledger.sources.driver_tables import DriverTables, raw_text
 from skyledger.sources.schema import SOURCE_COLUMNS
 from skyledger.sources.sinks import read_flights, write_flights, write_table
@@ -117,6 +117,11 @@ def report_table_reread(t: DriverTables) -> DataFrame:
     return t.spark.read.parquet(next(p for p in paths if p.endswith("Carrier_Performance")))
 
 
+def view_of_routes(t: DriverTables) -> DataFrame:
+    rollups.install_views(t.flights, t.carriers)
+    return t.spark.table("v_route_reliability")
+
+
 def asked(t: DriverTables) -> DataFrame:
     """One question per event: the sample questions in turn, by event number."""
     texts = F.array(*[F.lit(text) for text in SAMPLE_QUESTIONS])
@@ -201,7 +206,8 @@ QUERIES: dict[str, Query] = {
     "s11_s12_parquet_by_month": parquet_by_month,
     "s13_airports": lambda t: t.airports,
     "s14_carriers": lambda t: carrier_dimension(t.flights, t.carriers),
-    "s15_calendar": lambda t: t.calendar,
+    "s15_calendar": lambda t: calendar_dimension(t.flights),
+    "s16_view_of_routes": view_of_routes,
     "s17_load_profile": lambda t: quality.load_profile(t.flights),
     "s17_flights_by_month": lambda t: quality.load_flights_by_month(t.flights),
     "s17_top_origins": lambda t: quality.load_top_origins(t.flights),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.functions.fixed_values import MONTH_ABBREVIATIONS
@@ -50,12 +50,12 @@ def yoy_delay_change(flights: DataFrame) -> DataFrame:
     or with a prior mean of zero, the change is 0.
     """
     monthly = flights.groupBy("year", "month").agg(avg_delay().alias("avg_delay_min"))
-    prior = monthly.select(
-        (F.col("year") + 1).alias("year"), "month", F.col("avg_delay_min").alias("prior_year")
-    )
+    same_month = Window.partitionBy("month").orderBy("year")
+    is_prior = F.lag("year").over(same_month) == F.col("year") - 1
+    prior = F.when(is_prior, F.lag("avg_delay_min").over(same_month))
     change = F.col("avg_delay_min") - F.col("prior_year")
     return (
-        monthly.join(prior, ["year", "month"], "left")
+        monthly.withColumn("prior_year", prior)
         .withColumn(
             "yoy_delay_change", F.coalesce(ratio(change, F.col("prior_year")), F.lit(0.0))
         )

@@ -22,14 +22,16 @@ from skyledger.functions.fixed_values import CARRIER_NAMES, CAUSE_LABELS, RAW_TO
 from skyledger.session import work_path
 from skyledger.sources.dimensions import calendar_dimension, carrier_names
 from skyledger.sources.raw_flights import derive
-from skyledger.sources.sinks import PARTITION_COLUMNS, read_flights, write_flights
+from skyledger.sources.sinks import dealt, read_flights, write_flights, write_table
 
 # One carrier code stays outside the carrier dimension.
 UNKNOWN_CARRIER = "ZZ"
 # One nation key stays outside the airport dimension.
 AIRPORT_KEYS = 24
+# Folders of the loaded table; within them files are in date order.
+LOADED_BY = ("year",)
 
-_loaded: dict[tuple[str, str], DataFrame] = {}
+_loaded: dict[tuple[str, str, str], DataFrame] = {}
 
 
 @dataclass(frozen=True)
@@ -45,11 +47,11 @@ class DriverTables:
     @property
     def flights(self) -> DataFrame:
         """The written flights table; the first use in a session loads it."""
-        key = (self.spark.sparkContext.applicationId, self.folder)
+        key = (self.spark.sparkContext.applicationId, self.folder, "flights")
         if key not in _loaded:
             path = work_path(self.spark, "flights")
-            by_month = self._keys().hint("rebalance", *PARTITION_COLUMNS)
-            write_flights(derive(_fly(by_month)), path, rebalance=False)
+            keys = dealt(self._keys(), LOADED_BY)
+            write_flights(derive(_fly(keys)), path, partition_by=LOADED_BY, deal=False)
             _loaded[key] = read_flights(self.spark, path)
         return _loaded[key]
 
@@ -82,7 +84,14 @@ class DriverTables:
 
     @property
     def calendar(self) -> DataFrame:
-        return calendar_dimension(self.flights)
+        """The written calendar, one row per day; the first use in a session loads it."""
+        key = (self.spark.sparkContext.applicationId, self.folder, "calendar")
+        if key not in _loaded:
+            path = work_path(self.spark, "calendar")
+            days = calendar_dimension(self.flights)
+            write_table(days, path, "parquet")
+            _loaded[key] = self.spark.read.schema(days.schema).parquet(path)
+        return _loaded[key]
 
     def _keys(self) -> DataFrame:
         """Date, carrier, both airport keys and the hash of a line item's keys.

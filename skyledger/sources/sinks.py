@@ -9,23 +9,32 @@ from skyledger.sources.schema import FLIGHTS_SCHEMA
 PARTITION_COLUMNS = ("year", "month")
 
 
-def write_flights(
-    flights: DataFrame, path: str, mode: str = "errorifexists", rebalance: bool = True
-) -> None:
-    """Write flights as Parquet in one folder per month.
+def dealt(flights: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
+    """Rows shuffled by the folders they go to and put in date order.
 
-    The rebalance hint shuffles by month but lets adaptive execution split a
-    large month over many tasks and pack small ones together, so files come
-    out even whatever the skew.  Pass False for rows already dealt that way.
+    The rebalance hint lets adaptive execution split a large folder over many
+    tasks and pack small ones together, so files come out even whatever the
+    skew.  Date order lets a reader skip row groups outside its dates.
     """
-    if rebalance:
-        flights = flights.hint("rebalance", *PARTITION_COLUMNS)
-    flights.write.partitionBy(*PARTITION_COLUMNS).mode(mode).parquet(path)
+    together = flights.hint("rebalance", *partition_by)
+    return together.sortWithinPartitions(*partition_by, "flight_date")
+
+
+def write_flights(
+    flights: DataFrame,
+    path: str,
+    mode: str = "errorifexists",
+    partition_by: tuple[str, ...] = PARTITION_COLUMNS,
+    deal: bool = True,
+) -> None:
+    """Write flights as Parquet folders. Pass ``deal=False`` for rows already dealt."""
+    rows = dealt(flights, partition_by) if deal else flights
+    rows.write.partitionBy(*partition_by).mode(mode).parquet(path)
 
 
 def read_flights(spark: SparkSession, path: str, view: str | None = None) -> DataFrame:
     """Read written flights by their declared schema, optionally registering a view."""
-    flights = spark.read.schema(FLIGHTS_SCHEMA).parquet(path)
+    flights = spark.read.schema(FLIGHTS_SCHEMA).parquet(path).select(*FLIGHTS_SCHEMA.names)
     if view:
         flights.createOrReplaceTempView(view)
     return flights

@@ -35,12 +35,15 @@ def table(columns: list[str], rows) -> list[tuple[str, ...]]:
     return sorted(tuple(cell(row[i]) for i in order) for row in rows)
 
 
-def difference(spark_df, con, sql: str) -> str | None:
+def difference(spark_df, con, sql: str, seconds: dict | None = None) -> str | None:
     """None if equal, otherwise what differs first."""
     ours = spark_df.collect()
+    start = time.time()
     result = con.execute(sql)
     theirs_columns = [d[0] for d in result.description]
     theirs = result.fetchall()
+    if seconds is not None:
+        seconds["oracle"] = time.time() - start
     if sorted(spark_df.columns) != sorted(theirs_columns):
         return f"columns {sorted(spark_df.columns)} != {sorted(theirs_columns)}"
     if len(ours) != len(theirs):
@@ -77,13 +80,13 @@ def main() -> None:
     for name, query in queries().items():
         if only and name not in only:
             continue
-        start = time.time()
+        start, seconds = time.time(), {}
         try:
             df = query(spark, folder)
             if name in oracle:
-                problem = difference(df, con, oracle[name])
+                problem = difference(df, con, oracle[name], seconds)
                 note = "ok" if problem is None else f"FAIL {problem}"
-                rows = ""
+                rows = f" (oracle {seconds['oracle']:.2f}s)"
             else:
                 problem, note, rows = None, "rows only", f" {df.count()} rows"
         except Exception as error:  # noqa: BLE001
