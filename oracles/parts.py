@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# The carrier codes, carrier names and cause labels in it are fixed values.
 FLIGHTS = """
 WITH keyed AS (
     SELECT li.*,

@@ -472,6 +472,7 @@ trip AS (
 SELECT *, ROW_NUMBER() OVER (PARTITION BY flight_date, start_airport, final_dest
     ORDER BY total_delay, stops, path)::BIGINT AS route_rank
 FROM trip QUALIFY route_rank <= 3"""
+# Bucket edges and labels.
 EDGES = [
     (-15, "01: >15min Early"),
     (0, "02: On Time / Early"),
@@ -606,6 +607,8 @@ SQL["n13_general_stats"] = SQL["r1_overview"]
 
 # Questions
 
+# Sample questions with their intents, intent patterns in matching order,
+# and the opening sentence and chart of each answer.
 QUESTIONS = [
     ("Which airline has the best on-time performance?", "best_airline"),
     ("What are the main causes of flight delays?", "delay_causes"),
@@ -794,6 +797,7 @@ FROM (SELECT carrier_code, {BOX}, COUNT(*) AS n FROM flights
       WHERE {SHORT_DELAYS} GROUP BY carrier_code)"""
 SQL["p15_delayed_median"] = f"""
 SELECT {q(0.5, "arr_delay_minutes")} AS med FROM flights WHERE {SHORT_DELAYS}"""
+# Severity labels.
 SEVERITY = ["On-time / Early", "Minor (1-15)", "Moderate (16-60)", "Severe (61-120)",
             "Extreme (>120)"]
 SQL["p16_severity_breakdown"] = f"""
