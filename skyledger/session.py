@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,19 +39,32 @@ def get_session(
 
 
 def work_path(spark: SparkSession, label: str) -> str:
-    """A fresh path for a written table, inside the folder named by ``spark.checkpoint.dir``.
+    """A fresh path for a written table in the folder all executors share.
 
-    Only a local-mode session without that setting falls back to a temporary
-    folder; a cluster session has to name shared storage.
+    That is ``spark.checkpoint.dir``, or the warehouse where it is unset.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="skyledger-")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir"
+    )
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def write_shared(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Write ``df`` to shared storage and read it back: the lineage ends at the files."""
+    spark = df.sparkSession
+    path = work_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def drop_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Remove tables that ``write_shared`` wrote and nothing reads any more."""
+    jvm = spark._jvm
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def run_sql(
     spark: SparkSession, sql: str, args: dict | list | None = None, max_rows: int = MAX_ROWS
 ) -> DataFrame:
