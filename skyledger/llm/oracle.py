@@ -1,3 +1,19 @@
 """DuckDB SQL of the queries that SQL can express."""
 
-ORACLE_SQL: dict[str, str] = {}
+OP9 = """
+WITH payloads AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+           sha256(coalesce(html, '')) AS payload_digest
+    FROM pages
+), first AS (
+    SELECT payload_digest, min(page_id) AS first_id
+    FROM payloads WHERE payload_bytes >= 100 GROUP BY ALL
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first_id IS DISTINCT FROM page_id AND first_id IS NOT NULL
+            THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first_id IS DISTINCT FROM page_id THEN first_id END AS refers_to
+FROM payloads LEFT JOIN first USING (payload_digest)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op9_warc": OP9}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm import bpe
+from skyledger.llm import bpe, warc
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -16,6 +16,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(table(spark, folder, "pages"))
+
+
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.token_digests(
         table(spark, folder, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN
@@ -23,5 +27,6 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op9_warc": op9_warc,
     "op10_byte_bpe": op10_byte_bpe,
 }
