@@ -1,5 +1,36 @@
 """DuckDB SQL of the queries that SQL can express."""
 
+OP4 = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id,
+           regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                         'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, list_slice(w, i, i + 4) AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i
+          FROM words WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM pairs o JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * o.n >= 75 * (x.n + y.n - o.n)
+), reach(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION
+    SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other
+), labels AS (
+    SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM labels LEFT JOIN sizes USING (doc_id)
+"""
+
 OP9 = """
 WITH payloads AS (
     SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
@@ -16,4 +47,7 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM payloads LEFT JOIN first USING (payload_digest)
 """
 
-ORACLE_SQL: dict[str, str] = {"op9_warc": OP9}
+ORACLE_SQL: dict[str, str] = {
+    "op4_near_duplicates": OP4,
+    "op9_warc": OP9,
+}
