@@ -29,7 +29,7 @@ from skyledger.llm.text import slices
 
 #: Pieces given to one recursive query, and pieces a worker remembers (two generations).
 QUERY_PIECES = 40_000
-KEPT_PIECES = 250_000
+KEPT_PIECES = 600_000
 DUCKDB_MEMORY = "256MB"
 
 ENCODE = """
