@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm import bpe, neardup, warc
+from skyledger.llm import bpe, neardup, suffix_dedup, warc
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -16,6 +16,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.span_digests(table(spark, folder, "documents"))
+
+
 def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents"))
 
@@ -31,6 +35,7 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op4_near_duplicates": op4_near_duplicates,
     "op9_warc": op9_warc,
     "op10_byte_bpe": op10_byte_bpe,
