@@ -31,6 +31,31 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id
 FROM labels LEFT JOIN sizes USING (doc_id)
 """
 
+OP5 = r"""
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), windows AS (
+    SELECT doc_id, i, list_slice(w, i, i + 19) AS run
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM words WHERE len(w) >= 20)
+), later AS (
+    SELECT doc_id, i FROM (
+        SELECT doc_id, i, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS n FROM windows
+    ) WHERE n > 1
+), removed AS (
+    SELECT DISTINCT doc_id, i + k AS i FROM later, range(20) t(k)
+), single AS (
+    SELECT doc_id, i, w[i] AS word
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM words)
+), kept AS (
+    SELECT s.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY s.i) AS text
+    FROM single s ANTI JOIN removed r ON r.doc_id = s.doc_id AND r.i = s.i GROUP BY s.doc_id
+)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
 OP9 = """
 WITH payloads AS (
     SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
@@ -49,5 +74,6 @@ FROM payloads LEFT JOIN first USING (payload_digest)
 
 ORACLE_SQL: dict[str, str] = {
     "op4_near_duplicates": OP4,
+    "op5_doubling_dedup": OP5,
     "op9_warc": OP9,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm import bpe, neardup, suffix_dedup, warc
+from skyledger.llm import bpe, doubling_dedup, neardup, suffix_dedup, warc
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -24,6 +24,10 @@ def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents"))
 
 
+def op5_doubling_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return doubling_dedup.word_digests(table(spark, folder, "documents"))
+
+
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(table(spark, folder, "pages"))
 
@@ -37,6 +41,7 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op4_near_duplicates": op4_near_duplicates,
+    "op5_doubling_dedup": op5_doubling_dedup,
     "op9_warc": op9_warc,
     "op10_byte_bpe": op10_byte_bpe,
 }
