@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm import bpe, doubling_dedup, neardup, suffix_dedup, warc
+from skyledger.llm import bpe, doubling_dedup, neardup, quality_trees, suffix_dedup, warc
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -16,6 +16,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op1_quality_trees(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_trees.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.span_digests(table(spark, folder, "documents"))
 
@@ -39,6 +43,7 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_trees": op1_quality_trees,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_doubling_dedup": op5_doubling_dedup,
