@@ -8,12 +8,19 @@ above it). Pigeonhole: of 16 chunks of four symbols one differs in at most one s
 signature is indexed under every chunk with every one of its symbols left out: 64 keys of three
 symbols, and such a pair shares a key.
 
-Equal sets are one class first, so copies cost one row. Pairs under a key are not spelled out.
-First every member of a key is compared with the smallest one; the links that hold on the full
-sets give components. Then only keys whose members are still in several components are
-compared, in blocks of bounded size inside tasks, and only pairs of different components whose
-signatures are within the distance go on to be confirmed on full sets. So every link between
-different components is found or refuted, whatever the size of a key.
+Equal sets are one class first, so copies cost one row. Pairs under a key are not spelled out:
+
+1. every member of a key is held against its smallest member, by signature. Near ones are joined
+   to clusters;
+2. keys whose members are still in several clusters are compared in blocks of bounded size
+   inside tasks, and a block returns a spanning forest of what is near, not its pairs. Now two
+   documents with near signatures are always in one cluster;
+3. texts meet once for each cluster, in blocks again; tasks compare full sets through an inverted
+   index and return a spanning forest of the true links, whose components are the result.
+
+Rows that move are in proportion to documents and keys. The comparisons inside a block are in
+numpy; they grow with the square of a group of near copies that are all different, because any
+two of them can be the one link between two components.
 
 Defined cases: a document without words or with null text has no shingles and is linked with
 nothing; a null id is linked with nothing, its ``component_id`` is null and it is kept;
@@ -26,9 +33,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.graph import components
@@ -49,8 +55,9 @@ SYMBOLS = 64
 CHUNK = 4
 MAX_DIFFERENT = 31
 PERCENT = 75
-#: Members of one key that meet in a task: at most about twice this many.
-BLOCK = 4096
+#: Members of a key, and texts of a cluster, that meet at once: at most about twice as many.
+KEY_BLOCK = 4096
+BLOCK = 1024
 
 _XOR, _MUL = constants(SYMBOLS, 11), constants(SYMBOLS, 12)
 _SET_A, _SET_B = constants(2, 13)
@@ -102,7 +109,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _symbols(column: pa.Array) -> np.ndarray:
+def _symbols(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     data = b"".join(column.to_pylist())
     return np.frombuffer(data, np.uint16).reshape(-1, SYMBOLS)
 
@@ -121,59 +128,167 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (a, b, text_a, text_b), the pairs linked on their full sets."""
+def _whole_groups(
+    batches: Iterator[pa.RecordBatch], keys: list[str]
+) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups of rows that lie sorted by ``keys``, and where each group begins."""
+    rest: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rest.append(batch)
+        starts = _starts(pa.Table.from_batches(rest), keys)
+        if len(starts) > 1 and sum(x.num_rows for x in rest) - starts[-1] < starts[-1]:
+            table = pa.Table.from_batches(rest).combine_chunks()
+            yield table.slice(0, starts[-1]), starts[:-1]
+            rest = table.slice(starts[-1]).to_batches()
+    if rest:
+        table = pa.Table.from_batches(rest).combine_chunks()
+        yield table, _starts(table, keys)
 
-    def sets(column: pa.Array) -> Iterator[np.ndarray]:
-        for part in slices(column):
-            row, value = shingles(part)
-            yield from np.split(value, np.searchsorted(row, np.arange(1, len(part))))
 
+def _starts(table: pa.Table, keys: list[str]) -> np.ndarray:
+    change = np.zeros(table.num_rows, bool)
+    change[:1] = True
+    for key in keys:
+        value = table[key].to_numpy()
+        change[1:] |= value[1:] != value[:-1]
+    return np.flatnonzero(change)
+
+
+class _Forest:
+    """Spanning forest over the places of a block, some of which are joined from the start."""
+
+    def __init__(self, labels: np.ndarray) -> None:
+        self.tree = np.unique(labels, return_inverse=True)[1]
+        self.edges: list[tuple[int, int]] = []
+
+    def apart(self, place: int, others: np.ndarray) -> np.ndarray:
+        return others[self.tree[others] != self.tree[place]]
+
+    def join(self, place: int, others: np.ndarray) -> None:
+        """Add an edge to each tree that ``others`` lie in."""
+        trees, first = np.unique(self.tree[others], return_index=True)
+        for tree, other in zip(trees, others[first], strict=True):
+            if tree != self.tree[place]:
+                self.edges.append((place, int(other)))
+        self.tree[np.isin(self.tree, trees)] = self.tree[place]
+
+
+def _edge_batch(a: list, b: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]
+    )
+
+
+def _close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (a, b, size_a, size_b, signature_a, signature_b), the near pairs."""
     for batch in batches:
-        linked = np.zeros(batch.num_rows, bool)
-        for i, (x, y) in enumerate(zip(sets(batch.column(2)), sets(batch.column(3)), strict=True)):
-            if len(x) and len(y):
-                at = np.searchsorted(x, y)
-                common = int((x[np.minimum(at, len(x) - 1)] == y).sum())
-                linked[i] = 100 * common >= PERCENT * (len(x) + len(y) - common)
-        keep = pa.array(linked)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"]
+        x, y = (batch.column(i).to_numpy() for i in (2, 3))
+        near = 100 * np.minimum(x, y) >= PERCENT * np.maximum(x, y)
+        different = _symbols(batch.column(4)) != _symbols(batch.column(5))
+        near &= different.sum(axis=1) <= MAX_DIFFERENT
+        yield batch.select(["a", "b"]).filter(pa.array(near))
+
+
+def _close_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spanning forests of the near signatures of each (key, i, j)."""
+    for table, starts in _whole_groups(batches, ["key", "i", "j"]):
+        node, side, label, size = (
+            table[c].to_numpy() for c in ("node", "side", "label", "n_shingles")
         )
+        symbols = _symbols(table["signature"])
+        crossed = table["i"].to_numpy() != table["j"].to_numpy()
+        a, b = [], []
+        for at, to in zip(starts, [*starts[1:], table.num_rows], strict=True):
+            order = at + np.argsort(size[at:to], kind="stable")
+            forest, sizes = _Forest(label[order]), size[order]
+            for i in range(len(order) - 1):
+                last = np.searchsorted(sizes, sizes[i] * 100 // PERCENT, side="right")
+                near = forest.apart(i, np.arange(i + 1, last))
+                if crossed[at]:
+                    near = near[side[order[near]] != side[order[i]]]
+                if len(near):
+                    different = (symbols[order[near]] != symbols[order[i]]).sum(axis=1)
+                    near = near[different <= MAX_DIFFERENT]
+                    if len(near):
+                        forest.join(i, near)
+            for i, j in forest.edges:
+                a.append(node[order[i]])
+                b.append(node[order[j]])
+        yield _edge_batch(a, b)
+
+
+def _links_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spanning forests of the links, on full sets, of each (label, i, j)."""
+    for table, starts in _whole_groups(batches, ["label", "i", "j"]):
+        sets: list[np.ndarray] = []
+        for part in slices(table["text"]):
+            row, value = shingles(part)
+            sets += np.split(value, np.searchsorted(row, np.arange(1, len(part))))
+        node, side = table["node"].to_numpy(), table["side"].to_numpy()
+        crossed = table["i"].to_numpy() != table["j"].to_numpy()
+        a, b = [], []
+        for at, to in zip(starts, [*starts[1:], table.num_rows], strict=True):
+            own = sets[at:to]
+            sizes = np.array([len(x) for x in own])
+            forest = _Forest(np.arange(len(own)))
+            known, code = np.unique(np.concatenate(own), return_inverse=True)
+            member = np.repeat(np.arange(len(own)), sizes)
+            order = np.argsort(code, kind="stable")
+            owners, ends = member[order], np.searchsorted(code[order], np.arange(len(known) + 1))
+            begin = np.cumsum(sizes) - sizes
+            for i in range(len(own) - 1):
+                mine = code[begin[i] : begin[i] + sizes[i]]
+                n = ends[mine + 1] - ends[mine]
+                within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                shared = owners[np.repeat(ends[mine], n) + within]
+                common = np.bincount(shared, minlength=len(own))
+                near = np.flatnonzero(100 * common >= PERCENT * (sizes + sizes[i] - common))
+                near = forest.apart(i, near[near > i])
+                if crossed[at]:
+                    near = near[side[at + near] != side[at + i]]
+                if len(near):
+                    forest.join(i, near)
+            for i, j in forest.edges:
+                a.append(node[at + i])
+                b.append(node[at + j])
+        yield _edge_batch(a, b)
 
 
-def _close(block: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one block that could be linked: other label, size and signature near enough."""
-    block = block.sort_values(["n_shingles", "node"], ignore_index=True)
-    symbols = np.frombuffer(b"".join(block["signature"]), np.uint16).reshape(-1, SYMBOLS)
-    sizes, label = block["n_shingles"].to_numpy(), block["label"].to_numpy()
-    node, side = block["node"].to_numpy(), block["side"].to_numpy()
-    same_block = bool((block["i"] == block["j"]).all())
-    left, right = [], []
-    for at in range(len(block) - 1):
-        to = np.searchsorted(sizes, sizes[at] * 100 // PERCENT, side="right")
-        near = np.arange(at + 1, to)
-        near = near[label[near] != label[at]]
-        if not same_block:
-            near = near[side[near] != side[at]]
-        if len(near):
-            near = near[(symbols[near] != symbols[at]).sum(axis=1) <= MAX_DIFFERENT]
-            left.append(np.full(len(near), node[at]))
-            right.append(node[near])
-    a = np.concatenate([np.zeros(0, np.int64), *left])
-    b = np.concatenate([np.zeros(0, np.int64), *right])
-    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-
-def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    rows = pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
-    return rows.mapInArrow(_confirm, "a bigint, b bigint")
-
-
-def _remaining(shared: DataFrame, reps: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs under a common key that the labels leave apart and the signatures do not."""
+def _in_blocks(rows: DataFrame, key: str, blocks: Column) -> DataFrame:
+    """Rows dealt to the pairs (i, j) of blocks of their group, sorted for ``_whole_groups``."""
+    return (
+        rows.withColumn("blocks", blocks)
+        .withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumns({"i": F.least("side", "other"), "j": F.greatest("side", "other")})
+        .drop("other", "blocks")
+        .repartition(key, "i", "j")
+        .sortWithinPartitions(key, "i", "j", "node")
+    )
+
+
+def _clusters(shared: DataFrame, reps: DataFrame) -> DataFrame:
+    """(node, label): documents whose signatures are near are in one cluster."""
+    measured = reps.select("node", "n_shingles", "signature")
+    a, b = (
+        measured.select(
+            F.col("node").alias(x),
+            F.col("n_shingles").alias(f"size_{x}"),
+            F.col("signature").alias(f"signature_{x}"),
+        )
+        for x in "ab"
+    )
+    star = shared.where("node <> leader").selectExpr("leader AS a", "node AS b").distinct()
+    near, near_path = write_shared(
+        star.join(b, "b")
+        .join(a, "a")
+        .select("a", "b", "size_a", "size_b", "signature_a", "signature_b")
+        .mapInArrow(_close_pairs, "a bigint, b bigint"),
+        "near",
+    )
+    labels = components(near)
     named = shared.join(labels, "node", "left").select(
         "key", "node", F.coalesce("label", "node").alias("label")
     )
@@ -181,17 +296,20 @@ def _remaining(shared: DataFrame, reps: DataFrame, labels: DataFrame) -> DataFra
         named.groupBy("key")
         .agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"))
         .where("lo < hi AND n > 2")
-        .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        .select("key", "n")
     )
-    rows = (
-        named.join(mixed, "key")
-        .join(reps.select("node", "n_shingles", "signature"), "node")
-        .withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumns({"i": F.least("side", "other"), "j": F.greatest("side", "other")})
-        .drop("other", "blocks")
+    rows = named.join(mixed, "key").join(measured, "node")
+    rest, rest_path = write_shared(
+        _in_blocks(rows, "key", F.ceil(F.col("n") / KEY_BLOCK).cast("int"))
+        .select("key", "i", "j", "side", "node", "label", "n_shingles", "signature")
+        .mapInArrow(_close_in_blocks, "a bigint, b bigint")
+        .distinct(),
+        "near",
     )
-    return rows.groupBy("key", "i", "j").applyInPandas(_close, "a bigint, b bigint").distinct()
+    if not rest.isEmpty():
+        labels = components(near.union(rest))
+    drop_paths(shared.sparkSession, [near_path, rest_path])
+    return labels
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -220,20 +338,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .drop("last")
     )
     shared, shared_path = write_shared(keys.join(leaders, "key"), "shared-keys")
-    star = shared.where("node <> leader").select(
-        F.col("leader").alias("a"), F.col("node").alias("b")
+    clusters = _clusters(shared, reps)
+    sizes = clusters.groupBy("label").count()
+    rows = clusters.join(sizes, "label").join(docs, F.col("node") == F.col("doc_id"))
+    links, links_path = write_shared(
+        _in_blocks(rows, "label", F.ceil(F.col("count") / BLOCK).cast("int"))
+        .select("label", "i", "j", "side", "node", "text")
+        .mapInArrow(_links_in_blocks, "a bigint, b bigint"),
+        "links",
     )
-    star, star_path = write_shared(star.distinct(), "pairs")
-    members = shared.select(F.col("node").alias("doc_id")).distinct()
-    texts, texts_path = write_shared(docs.join(members, "doc_id"), "texts")
-    links, links_path = write_shared(_linked(star, texts), "links")
     labels = components(links)
-    rest, rest_path = write_shared(
-        _remaining(shared, reps, labels).join(star, ["a", "b"], "left_anti"), "pairs"
-    )
-    if not rest.isEmpty():
-        labels = components(links.union(_linked(rest, texts)))
-    drop_paths(spark, [shared_path, star_path, texts_path, links_path, rest_path])
+    drop_paths(spark, [shared_path, links_path])
     named = (
         reps.select("node", *same)
         .join(labels, "node", "left")

@@ -79,6 +79,7 @@ def test_one_large_group_and_a_shared_passage(spark):
 
 def test_blocks_of_a_large_key(spark, monkeypatch):
     monkeypatch.setattr(neardup, "BLOCK", 8)
+    monkeypatch.setattr(neardup, "KEY_BLOCK", 8)
     rng = random.Random(7)
     passage = [f"p{i}" for i in range(50)]
     rows = [
@@ -88,6 +89,17 @@ def test_blocks_of_a_large_key(spark, monkeypatch):
     assert run(spark, rows) == brute(rows)
 
 
+def test_group_on_both_sides_of_the_threshold(spark, monkeypatch):
+    """Near copies of one text with few to many edits: links, near misses and chains."""
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(120)]
+    rows = [(i, " ".join(edited(rng, base, rng.random() * 0.08))) for i in range(250)]
+    assert len({r[2] for r in brute(rows)}) > 20
+    assert run(spark, rows) == brute(rows)
+    monkeypatch.setattr(neardup, "BLOCK", 40)
+    assert run(spark, rows) == brute(rows)
+
+
 def test_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, " \n\t "), (4, "one"), (5, "ONE"), (6, "one two"), (None, "one"),
             (8, "one"), (8, "one"), (9, "É é"), (10, "é é"), (11, "a b c d e"), (12, "a b c d"),
