@@ -7,7 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm import bpe, doubling_dedup, neardup, quality_trees, suffix_dedup, warc
+from skyledger.llm import (
+    bpe,
+    doubling_dedup,
+    neardup,
+    ngram_rules,
+    quality_trees,
+    suffix_dedup,
+    warc,
+)
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -32,6 +40,10 @@ def op5_doubling_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return doubling_dedup.word_digests(table(spark, folder, "documents"))
 
 
+def op6_ngram_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_rules.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(table(spark, folder, "pages"))
 
@@ -47,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_doubling_dedup": op5_doubling_dedup,
+    "op6_ngram_rules": op6_ngram_rules,
     "op9_warc": op9_warc,
     "op10_byte_bpe": op10_byte_bpe,
 }
