@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from skyledger.llm import (
     bpe,
     doubling_dedup,
+    language_mixture,
     neardup,
     ngram_rules,
     quality_trees,
@@ -44,6 +45,10 @@ def op6_ngram_rules(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_rules.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op7_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    return language_mixture.identify(table(spark, folder, "documents"))
+
+
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(table(spark, folder, "pages"))
 
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_near_duplicates": op4_near_duplicates,
     "op5_doubling_dedup": op5_doubling_dedup,
     "op6_ngram_rules": op6_ngram_rules,
+    "op7_language_mixture": op7_language_mixture,
     "op9_warc": op9_warc,
     "op10_byte_bpe": op10_byte_bpe,
 }
