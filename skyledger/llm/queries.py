@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.llm import (
     bpe,
+    decontaminate,
     doubling_dedup,
     language_mixture,
     neardup,
@@ -49,6 +50,12 @@ def op7_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return language_mixture.identify(table(spark, folder, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+
+
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(table(spark, folder, "pages"))
 
@@ -66,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_doubling_dedup": op5_doubling_dedup,
     "op6_ngram_rules": op6_ngram_rules,
     "op7_language_mixture": op7_language_mixture,
+    "op8_decontamination": op8_decontamination,
     "op9_warc": op9_warc,
     "op10_byte_bpe": op10_byte_bpe,
 }
