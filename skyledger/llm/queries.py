@@ -16,6 +16,7 @@ from skyledger.llm import (
     ngram_rules,
     quality_trees,
     suffix_dedup,
+    url_rules,
     warc,
 )
 
@@ -34,6 +35,10 @@ def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.span_digests(table(spark, folder, "documents"))
 
 
+def op3_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return url_rules.judge(table(spark, folder, "pages"), table(spark, folder, "labels"))
+
+
 def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents"))
 
@@ -69,6 +74,7 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_trees": op1_quality_trees,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_url_rules": op3_url_rules,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_doubling_dedup": op5_doubling_dedup,
     "op6_ngram_rules": op6_ngram_rules,
