@@ -38,6 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.graph import components
+from skyledger.llm.prune import key_bitmap, may_have, without
 from skyledger.llm.text import (
     LOWER,
     Slice,
@@ -340,7 +341,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shared, shared_path = write_shared(keys.join(leaders, "key"), "shared-keys")
     clusters = _clusters(shared, reps)
     sizes = clusters.groupBy("label").count()
-    rows = clusters.join(sizes, "label").join(docs, F.col("node") == F.col("doc_id"))
+    bitmap, bitmap_path = key_bitmap(clusters, F.xxhash64("node"))
+    texts = may_have(docs, F.xxhash64("doc_id"), bitmap).hint("merge")
+    rows = clusters.join(sizes, "label").join(texts, F.col("node") == F.col("doc_id"))
     links, links_path = write_shared(
         _in_blocks(rows, "label", F.ceil(F.col("count") / BLOCK).cast("int"))
         .select("label", "i", "j", "side", "node", "text")
@@ -348,7 +351,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "links",
     )
     labels = components(links)
-    drop_paths(spark, [shared_path, links_path])
+    drop_paths(spark, [shared_path, bitmap_path, links_path])
     named = (
         reps.select("node", *same)
         .join(labels, "node", "left")
@@ -363,3 +366,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return found.select(
         "doc_id", "n_shingles", "component_id", F.expr("doc_id <=> component_id").alias("kept")
     )
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without near duplicates of a smaller id, with all their columns."""
+    dropped = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("__gone"))
+    on = F.expr("CAST(doc_id AS bigint) = __gone")
+    return without(
+        docs, dropped.distinct(), on, "xxhash64(CAST(doc_id AS bigint))", "xxhash64(__gone)"
+    )
