@@ -43,12 +43,11 @@ def _emit(part: Slice, hulls: bool, window: int = WINDOW) -> tuple:
     anchor = window // 4
     grams = gram_hashes(hashes, anchor)
     row, at, first, last = runs.runs(grams, words.begin, window, anchor)
-    hull = []
+    lo, hi, hull = at - last, at - first, None
     if hulls:
         view = memoryview(hashes).cast("B")
-        ends = zip((8 * first).tolist(), (8 * (last + window)).tolist(), strict=True)
-        hull = [xxhash.xxh3_128_digest(view[a:b]) for a, b in ends]
-    return row, at - words.begin[row], at - last, at - first, grams[at], hull
+        hull = runs.hull_digests(view, 8 * first, 8 * (last + window), lo, hi)
+    return row, at - words.begin[row], lo, hi, grams[at], hull
 
 
 def _open_windows(column: pa.Array, first: int, count: int) -> tuple[np.ndarray, ...]:
@@ -96,14 +95,10 @@ def later_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     ``docs`` is what ``runs.documents`` returns. Spans are as found, and overlap.
     """
     found, paths = runs.candidate_runs(docs, partial(_emit, window=window))
-    groups = runs.hull_groups(found)
-    firsts, firsts_path = write_shared(
-        groups.where("n > 1").select("key", "lo", "hi", "hull", "first"), "hulls"
-    )
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "at")
+    groups, groups_path = runs.hull_groups(found)
     whole = (
-        found.join(firsts, ["key", "lo", "hi", "hull"])
-        .where(place > F.col("first"))
+        found.join(groups.where("n > 1").select(*runs.HULL, "first"), runs.HULL)
+        .where(runs.place("at") > F.col("first"))
         .select(
             "doc_id",
             "text_hash",
@@ -112,9 +107,11 @@ def later_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         )
     )
     open_runs = runs.open_groups(groups, F.lit(False))
-    gathered = runs.by_document(open_runs, ["at", "lo", "hi"], "open_runs")
+    gathered, gathered_path = write_shared(
+        runs.by_document(open_runs, ["at", "lo", "hi"], "open_runs"), "open-runs"
+    )
     windows, windows_path = write_shared(
-        docs.join(gathered, F.expr(runs.SAME_DOCUMENT))
+        runs.with_rows(docs, gathered, "inner")
         .select("text", "doc_id", "text_hash", "open_runs")
         .mapInArrow(
             partial(_levels, window),
@@ -132,12 +129,7 @@ def later_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         .select("half", "before")
     )
     longer = windows.join(halves, ["half", "before"])
-    own = F.struct(
-        F.col("doc_id").isNull().alias("no_id"),
-        "doc_id",
-        "text_hash",
-        (F.col("at") - F.col("l")).alias("start"),
-    )
+    own = runs.place(F.col("at") - F.col("l"))
     earliest = (
         longer.groupBy("whole")
         .agg(F.count("*").alias("n"), F.min(own).alias("earliest"))
@@ -153,7 +145,7 @@ def later_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     spans, _ = write_shared(
         runs.by_document(whole.union(single), ["start", "end"], "spans"), "later-spans"
     )
-    drop_paths(docs.sparkSession, [*paths, firsts_path, windows_path])
+    drop_paths(docs.sparkSession, [*paths, groups_path, gathered_path, windows_path])
     return spans
 
 
@@ -194,7 +186,7 @@ def word_digests(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             )
 
     return (
-        docs.join(spans, F.expr(runs.SAME_DOCUMENT), "left")
+        runs.with_rows(docs, spans, "left")
         .select("doc_id", "text", "spans")
         .mapInArrow(
             digest, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"

@@ -17,17 +17,19 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.llm.prune import key_bitmap, may_have, surely_not
 from skyledger.llm.text import Slice, signed, sliding_min, slices
 from skyledger.session import write_shared
 
-#: Rows of the bitmap of repeated keys: 2**19 rows of 64 bits, 8 MB whatever the input.
-BITMAP_ROWS = 1 << 19
 RUN_SCHEMA = (
-    "doc_id bigint, text_hash bigint, at bigint, lo int, hi int, key bigint, hull binary"
+    "doc_id bigint, text_hash bigint, at bigint, lo int, hi int, key bigint, hull_a bigint,"
+    " hull_b bigint"
 )
+HULL = ["hull_a", "hull_b"]
 _POSITION = np.uint64(0xFFFFFFFF)
 
 
@@ -62,7 +64,17 @@ def documents(docs: DataFrame) -> DataFrame:
     )
 
 
-Emit = Callable[[Slice], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, list]]
+def hull_digests(
+    data: memoryview, start: np.ndarray, end: np.ndarray, lo: np.ndarray, hi: np.ndarray
+) -> np.ndarray:
+    """128 bits of each stretch of ``data`` together with its offsets, as two columns."""
+    seeds = (lo.astype(np.int64) << 32) | hi
+    places = zip(start.tolist(), end.tolist(), seeds.tolist(), strict=True)
+    found = b"".join([xxhash.xxh3_128_digest(data[a:b], seed) for a, b, seed in places])
+    return np.frombuffer(found, "<i8").reshape(-1, 2)
+
+
+Emit = Callable[[Slice], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
 
 def run_rows(docs: DataFrame, emit: Emit, hulls: bool) -> DataFrame:
@@ -84,9 +96,10 @@ def run_rows(docs: DataFrame, emit: Emit, hulls: bool) -> DataFrame:
                         pa.array(lo.astype(np.int32)),
                         pa.array(hi.astype(np.int32)),
                         pa.array(signed(key)),
-                        pa.array(hull, pa.binary()),
+                        pa.array(hull[:, 0]),
+                        pa.array(hull[:, 1]),
                     ],
-                    names=["doc_id", "text_hash", "at", "lo", "hi", "key", "hull"],
+                    names=["doc_id", "text_hash", "at", "lo", "hi", "key", *HULL],
                 )
 
     if not hulls:
@@ -94,14 +107,6 @@ def run_rows(docs: DataFrame, emit: Emit, hulls: bool) -> DataFrame:
     return docs.select("text", "doc_id", "text_hash").mapInArrow(scan, RUN_SCHEMA)
 
 
-def _bit(key: Column) -> tuple[Column, Column]:
-    """Row and bit of a key in the bitmap."""
-    return (
-        key.bitwiseAND(F.lit(BITMAP_ROWS - 1)),
-        F.shiftrightunsigned(key, 19).bitwiseAND(F.lit(63)).cast("int"),
-    )
-
-
 def candidate_runs(docs: DataFrame, emit: Emit) -> tuple[DataFrame, list[str]]:
     """The runs whose key occurs at least twice, written to shared storage; paths to drop.
 
@@ -110,35 +115,35 @@ def candidate_runs(docs: DataFrame, emit: Emit) -> tuple[DataFrame, list[str]]:
     hits the bitmap by chance has a hull and key of its own and drops out later.
     """
     repeated = run_rows(docs, emit, False).groupBy("key").count().where("count > 1")
-    row, bit = _bit(F.col("key"))
-    one = F.expr("shiftleft(1L, bit)")
-    bitmap, bitmap_path = write_shared(
-        repeated.select(row.alias("bits_row"), bit.alias("bit"))
-        .groupBy("bits_row")
-        .agg(F.bit_or(one).alias("bits")),
-        "key-bitmap",
-    )
-    found = (
-        run_rows(docs, emit, True)
-        .withColumns({"bits_row": row, "bit": bit})
-        .join(F.broadcast(bitmap), "bits_row")
-        .where("getbit(bits, bit) = 1")
-        .drop("bits_row", "bits", "bit")
-    )
+    bitmap, bitmap_path = key_bitmap(repeated, F.col("key"))
+    found = may_have(run_rows(docs, emit, True), F.col("key"), bitmap)
     written, path = write_shared(found, "runs")
     return written, [bitmap_path, path]
 
 
-def hull_groups(found: DataFrame) -> DataFrame:
-    """One row for each (key, lo, hi, hull): n occurrences and the first (doc_id, text_hash, at).
+def hull_groups(found: DataFrame) -> tuple[DataFrame, str]:
+    """One row for each hull: n occurrences, key, lo, hi and the first (doc_id, text_hash, at).
 
-    A null id comes last. A group of any size is combined before the shuffle.
+    Written to shared storage. A null id comes last, as the largest. A group of any size is
+    combined before the shuffle.
     """
-    place = F.struct(
-        F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "at"
+    groups = found.groupBy(*HULL).agg(
+        F.count("*").alias("n"),
+        F.max("key").alias("key"),
+        F.max("lo").alias("lo"),
+        F.max("hi").alias("hi"),
+        F.min(place("at")).alias("first"),
     )
-    return found.groupBy("key", "lo", "hi", "hull").agg(
-        F.count("*").alias("n"), F.min(place).alias("first")
+    return write_shared(groups, "hulls")
+
+
+def place(at: str | Column) -> Column:
+    """What documents and places in them are ordered by."""
+    return F.struct(
+        F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_order"),
+        "text_hash",
+        (F.col(at) if isinstance(at, str) else at).alias("at"),
+        "doc_id",
     )
 
 
@@ -153,7 +158,9 @@ def open_groups(groups: DataFrame, settled: Column) -> DataFrame:
         .where("hulls > 1 AND NOT settled")
         .select("key")
     )
-    return groups.join(keys, "key").select("key", "lo", "hi", "n", "first.*").drop("no_id")
+    return groups.join(keys, "key").select(
+        "lo", "hi", "n", "first.doc_id", "first.text_hash", "first.at"
+    )
 
 
 def by_document(rows: DataFrame, columns: list[str], name: str) -> DataFrame:
@@ -164,3 +171,21 @@ def by_document(rows: DataFrame, columns: list[str], name: str) -> DataFrame:
 
 
 SAME_DOCUMENT = "doc_id <=> own_id AND text_hash = own_hash"
+
+
+def _document_key(doc_id: str, text_hash: str) -> Column:
+    return F.xxhash64(doc_id, text_hash)
+
+
+def with_rows(docs: DataFrame, gathered: DataFrame, how: str) -> DataFrame:
+    """``docs`` joined to their rows of ``by_document``, "inner" or "left".
+
+    Documents without any do not move: a bitmap of the others' keys tells most of them.
+    """
+    bitmap, _ = key_bitmap(gathered, _document_key("own_id", "own_hash"))
+    key = _document_key("doc_id", "text_hash")
+    found = may_have(docs, key, bitmap).hint("merge").join(gathered, F.expr(SAME_DOCUMENT), how)
+    if how == "inner":
+        return found
+    others = surely_not(docs, key, bitmap)
+    return found.unionByName(others, allowMissingColumns=True)

@@ -8,8 +8,8 @@ neighbouring suffixes move through the first passes as one run:
 
 1. the anchor's 100 bytes; runs whose anchor occurs once are finished. Runs with equal hulls
    are repeated throughout and need no further digit; one of each goes on as a partner;
-2. the core that 16 neighbouring windows have in common, at least 385 bytes;
-3. the rest of each window to the left and right of the core: at most 15 bytes, by themselves.
+2. the core that 32 neighbouring windows have in common, 369 bytes;
+3. the rest of each window to the left and right of the core: 31 bytes, by themselves.
 
 Every pass counts equal keys with a combine before the shuffle, so a passage or a group of
 copies that fills a third of the input is a count, not a group in one task. Positions go back to
@@ -41,19 +41,16 @@ from skyledger.session import drop_paths, write_shared
 WINDOW = 400
 ANCHOR = 100
 #: Windows that share a core in the second pass.
-NEAR = 16
+NEAR = 32
 
 
 def _emit(part: Slice, hulls: bool, window: int = WINDOW, anchor: int = ANCHOR) -> tuple:
     """The runs of a slice: row, place of the anchor, offsets, anchor hash, hull digest."""
     grams = SpanHash(part.data).grams(anchor)
     row, at, first, last = runs.runs(grams, part.offsets, window, anchor)
-    hull = []
-    if hulls:
-        view = memoryview(part.data)
-        ends = zip(first.tolist(), (last + window).tolist(), strict=True)
-        hull = [xxhash.xxh3_128_digest(view[a:b]) for a, b in ends]
-    return row, at - part.offsets[row], at - last, at - first, grams[at], hull
+    lo, hi = at - last, at - first
+    hull = runs.hull_digests(memoryview(part.data), first, last + window, lo, hi) if hulls else None
+    return row, at - part.offsets[row], lo, hi, grams[at], hull
 
 
 def _core_rows(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,9 +91,10 @@ def _core_batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
 def _spans_of_cores(cores: DataFrame, window: int) -> DataFrame:
     """Repeated stretches (doc_id, text_hash, start, end) that the second and third pass find."""
     same = ["core", "l0", "lo", "hi", "left", "right"]
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "at")
     groups = cores.groupBy(*same).agg(
-        F.count("*").alias("n"), F.min(place).alias("first"), F.some("lone").alias("lone")
+        F.count("*").alias("n"),
+        F.min(runs.place("at")).alias("first"),
+        F.some("lone").alias("lone"),
     )
     spans = F.col("at") - F.col("hi"), F.col("at") - F.col("lo") + window
     equal = (
@@ -134,13 +132,13 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     """
     emit = partial(_emit, window=window, anchor=anchor)
     found, paths = runs.candidate_runs(docs, emit)
-    groups, groups_path = write_shared(
-        runs.hull_groups(found).where("n > 1").select("key", "lo", "hi", "hull"), "hulls"
+    groups, groups_path = runs.hull_groups(found)
+    open_runs = runs.open_groups(groups, F.col("n") > 1)
+    gathered, gathered_path = write_shared(
+        runs.by_document(open_runs, ["at", "lo", "hi", "n"], "open_runs"), "open-runs"
     )
-    open_runs = runs.open_groups(runs.hull_groups(found), F.col("n") > 1)
-    gathered = runs.by_document(open_runs, ["at", "lo", "hi", "n"], "open_runs")
     cores, cores_path = write_shared(
-        docs.join(gathered, F.expr(runs.SAME_DOCUMENT))
+        runs.with_rows(docs, gathered, "inner")
         .select("text", "doc_id", "text_hash", "open_runs")
         .mapInArrow(
             partial(_core_rows, window),
@@ -149,7 +147,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
         ),
         "cores",
     )
-    whole = found.join(groups, ["key", "lo", "hi", "hull"]).select(
+    whole = found.join(groups.where("n > 1").select(*runs.HULL), runs.HULL).select(
         "doc_id",
         "text_hash",
         (F.col("at") - F.col("hi")).alias("start"),
@@ -159,7 +157,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     spans, _ = write_shared(
         runs.by_document(stretches, ["start", "end"], "spans"), "repeated-spans"
     )
-    drop_paths(docs.sparkSession, [*paths, groups_path, cores_path])
+    drop_paths(docs.sparkSession, [*paths, groups_path, gathered_path, cores_path])
     return spans
 
 
@@ -214,7 +212,7 @@ def span_digests(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) ->
             )
 
     return (
-        docs.join(spans, F.expr(runs.SAME_DOCUMENT), "left")
+        runs.with_rows(docs, spans, "left")
         .select("doc_id", "text", "spans")
         .mapInArrow(
             digest,
@@ -243,15 +241,12 @@ def _without(texts: pd.Series, spans: pd.Series) -> pd.Series:
 def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """``docs`` with all columns, the repeated windows cut out of ``text``."""
     spans = repeated_spans(runs.documents(docs), window, anchor)
-    on = F.expr(
-        "CAST(doc_id AS bigint) <=> __own_id AND xxhash64(text) = __own_hash"
+    rows = docs.select(
+        F.struct(*docs.columns).alias("own"),
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.xxhash64("text").alias("text_hash"),
     )
-    spans = spans.select(
-        F.col("own_id").alias("__own_id"), F.col("own_hash").alias("__own_hash"),
-        F.col("spans").alias("__spans"),
-    )
-    return (
-        docs.join(spans, on, "left")
-        .withColumn("text", _without(F.col("text"), F.col("__spans")))
-        .select(*docs.columns)
+    cut = _without(F.col("own.text"), F.col("spans")).alias("text")
+    return runs.with_rows(rows, spans, "left").select(
+        *(cut if c == "text" else F.col(f"own.`{c}`") for c in docs.columns)
     )
