@@ -186,9 +186,14 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text") ->
 
 
 def token_digests(
-    docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    key: str = "doc_id",
+    text: str = "text",
+    with_ids: bool = False,
 ) -> DataFrame:
-    """Encode and decode every text: key, n_tokens, ids_sha256, decoded_sha256.
+    """Encode and decode every text: key, n_tokens, ids_sha256, decoded_sha256, if asked ids.
 
     The decoded digest is that of the bytes DuckDB decodes from the ids alone.
     """
@@ -202,16 +207,19 @@ def token_digests(
                 texts = [part.bytes_of(i).decode() for i in range(len(part))]
                 ids = codec.encode(texts)
                 sha = lambda rows: [hashlib.sha256(x).hexdigest() for x in rows]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(part.first, len(part)),
-                        pa.array([len(x) // 4 for x in ids], pa.int64()),
-                        pa.array(sha(ids), pa.string()),
-                        pa.array(sha(codec.decode(ids)), pa.string()),
-                    ],
-                    names=[key, "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
+                columns = {
+                    key: batch.column(0).slice(part.first, len(part)),
+                    "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()),
+                    "ids_sha256": pa.array(sha(ids), pa.string()),
+                    "decoded_sha256": pa.array(sha(codec.decode(ids)), pa.string()),
+                }
+                if with_ids:
+                    rows = [np.frombuffer(x, "<i4") for x in ids]
+                    columns["ids"] = pa.array(rows, pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_pydict(columns)
 
     return docs.select(F.col(key), F.col(text)).mapInArrow(
-        run, f"`{key}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+        run,
+        f"`{key}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+        + ", ids array<int>" * with_ids,
     )

@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.runs import BITMAP_ROWS, documents
+from skyledger.llm.prune import BITMAP_ROWS, without
+from skyledger.llm.runs import documents
 from skyledger.llm.text import LOWER, Slice, Words, gram_hashes, signed, slices
 from skyledger.session import drop_paths, write_shared
 
@@ -301,4 +302,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.col("doc_id").alias("__bad_id"), F.col("text_hash").alias("__bad_hash")
     )
     on = F.expr("CAST(doc_id AS bigint) <=> __bad_id AND xxhash64(text) = __bad_hash")
-    return docs.join(bad, on, "left_anti")
+    return without(docs, bad.distinct(), on, "xxhash64(text)", "__bad_hash")
