@@ -68,6 +68,16 @@ SQL["s6_s10_derived_columns"] = (
 )
 SQL["s11_s12_parquet_by_month"] = f"SELECT {BASE_COLUMNS}, {DERIVED_COLUMNS} FROM flights"
 SQL["s18_csv_export_reread"] = f"SELECT {BASE_COLUMNS}, {DERIVED_COLUMNS} FROM flights"
+SQL["s1_s5_raw_csv_files"] = (
+    "SELECT * REPLACE (CASE WHEN \"month\" % 3 = 2 THEN NULL ELSE distance END AS distance,"
+    " CASE WHEN day_of_month IN (13, 27) THEN NULL ELSE dep_delay END AS dep_delay)"
+    f" FROM (SELECT {BASE_COLUMNS} FROM flights)"
+)
+SQL["s13_airports_csv_file"] = (
+    "SELECT * REPLACE (airport_name || ', \"' || iso_region || '\"' AS airport_name,"
+    " CASE WHEN iata_code = 'N01' THEN NULL ELSE longitude END AS longitude)"
+    " FROM dim_airports WHERE substr(iata_code, 2)::INTEGER % 4 <> 3"
+)
 SQL["s13_airports"] = "SELECT * FROM dim_airports"
 SQL["s14_carriers"] = """
 SELECT carrier_code, carrier_name, COUNT(flight_date) AS total_flights
@@ -131,6 +141,8 @@ SELECT origin, dest, route, COUNT(*) AS total_flights, {share(LATE15)} AS delay_
     {rnd("AVG(distance)", 0)} AS avg_distance,
     COUNT(DISTINCT carrier_code) AS num_carriers
 FROM flights WHERE cancelled = 0 GROUP BY ALL HAVING COUNT(*) >= 100"""
+SQL["s16_view_of_airports"] = SQL["v1_daily_airport_summary"]
+SQL["s16_view_of_carriers"] = SQL["v2_monthly_carrier_performance"]
 SQL["s16_view_of_routes"] = SQL["v3_route_reliability"]
 
 # Quality
@@ -762,7 +774,19 @@ SQL["p7_carrier_delay_rates"] = f"""
         {FLAG_RATIO} AS delay_rate
     FROM flights GROUP BY ALL
 )
-SELECT *, (delay_rate > (SELECT MEDIAN(delay_rate) FROM r))::INTEGER AS above_median FROM r"""
+SELECT *, (delay_rate > (SELECT MEDIAN(delay_rate) FROM r))::INTEGER AS above_median,
+    (SELECT {rnd("AVG(delay_rate)", 6)} FROM r) AS mean_rate
+FROM r"""
+SQL["p8_dep_arr_sample"] = """
+SELECT dep_delay_minutes, arr_delay_minutes FROM flights
+WHERE dep_delay_minutes IS NOT NULL AND arr_delay_minutes IS NOT NULL
+ORDER BY md5(concat_ws('|', flight_date::VARCHAR, carrier_code, origin, dest,
+    coalesce(crs_dep_time::VARCHAR, '~'), coalesce(dep_delay::VARCHAR, '~'),
+    coalesce(arr_delay::VARCHAR, '~'), coalesce(distance::VARCHAR, '~')))
+LIMIT 5000"""
+SQL["p8_axis_limit"] = f"""
+SELECT greatest({q(0.99, "dep_delay_minutes")}, {q(0.99, "arr_delay_minutes")}) AS axis_limit
+FROM flights WHERE dep_delay_minutes IS NOT NULL AND arr_delay_minutes IS NOT NULL"""
 SQL["p9_dep_arr_correlation"] = f"""
 SELECT {rnd("CORR(dep_delay_minutes, arr_delay_minutes)", 4)} AS r FROM flights"""
 SQL["p10_dataset_overview"] = """
@@ -948,6 +972,11 @@ SQL["e6_delay_causes"] = (
     + " FROM flights WHERE is_delayed = 1 GROUP BY carrier_code"
 )
 SQL["s24_report_table_reread"] = SQL["e3_carrier_performance"]
+SQL["s24_summary_reread"] = SQL["e1_summary"]
+SQL["s24_hourly_reread"] = SQL["e2_hourly"]
+SQL["s24_airports_reread"] = SQL["e4_airport_performance"]
+SQL["s24_monthly_reread"] = SQL["e5_monthly"]
+SQL["s24_causes_reread"] = SQL["e6_delay_causes"]
 
 # BI measures and chart reshapes
 

@@ -6,6 +6,7 @@ functions keep their published defaults.  The oracle SQL uses the same values.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -29,8 +30,17 @@ from skyledger.plans import (
 )
 from skyledger.session import run_sql, work_path
 from skyledger.sources import raw_flights
-from skyledger.sources.dimensions import calendar_dimension, carrier_dimension
-from skyledger.sources.driver_tables import DriverTables, raw_text
+from skyledger.sources.dimensions import (
+    airports_from_csv,
+    calendar_dimension,
+    carrier_dimension,
+)
+from skyledger.sources.driver_tables import (
+    DriverTables,
+    raw_text,
+    write_airports_file,
+    write_raw_files,
+)
 from skyledger.sources.schema import SOURCE_COLUMNS
 from skyledger.sources.sinks import read_flights, write_flights, write_table
 
@@ -57,6 +67,19 @@ def _flags_as_double(df: DataFrame) -> DataFrame:
     return df.withColumns(flags)
 
 
+def raw_csv_files(t: DriverTables) -> DataFrame:
+    """Raw files of three headers and five date layouts, with bad numbers, read and cleaned."""
+    path = work_path(t.spark, "raw-csv")
+    write_raw_files(t.flights, path)
+    return raw_flights.clean(raw_flights.read_raw_csv(t.spark, path)).select(*SOURCE_COLUMNS)
+
+
+def airports_csv_file(t: DriverTables) -> DataFrame:
+    path = work_path(t.spark, "airports-csv")
+    write_airports_file(t.airports, path)
+    return airports_from_csv(t.spark, path)
+
+
 def clean_raw_text(t: DriverTables) -> DataFrame:
     return raw_flights.clean(raw_text(t.flights)).select(*SOURCE_COLUMNS)
 
@@ -86,11 +109,12 @@ def csv_export_reread(t: DriverTables) -> DataFrame:
 
 
 def capped_sql(t: DriverTables) -> DataFrame:
-    t.flights.createOrReplaceTempView("skyledger_flights")
+    view = f"skyledger_flights_{uuid.uuid4().hex}"
+    t.flights.createOrReplaceTempView(view)
     return run_sql(
         t.spark,
         "SELECT origin, count(*) AS flights, max(arr_delay) AS longest"
-        " FROM skyledger_flights WHERE arr_delay >= :minutes"
+        f" FROM {view} WHERE arr_delay >= :minutes"
         " GROUP BY origin ORDER BY flights DESC, origin",
         {"minutes": 60},
         max_rows=5,
@@ -111,15 +135,25 @@ def dataset_json_reread(t: DriverTables) -> DataFrame:
     return t.spark.read.schema(schema).json(path)
 
 
-def report_table_reread(t: DriverTables) -> DataFrame:
-    folder = work_path(t.spark, "report")
-    paths = exports.export_report(folder, t.flights, t.carriers, t.airports, "parquet")
-    return t.spark.read.parquet(next(p for p in paths if p.endswith("Carrier_Performance")))
+def _report_reread(table: str) -> Query:
+    """The whole report written, and one of its tables read back."""
+
+    def read(t: DriverTables) -> DataFrame:
+        folder = work_path(t.spark, "report")
+        paths = exports.export_report(folder, t.flights, t.carriers, t.airports, "parquet")
+        return t.spark.read.parquet(next(p for p in paths if p.endswith(f"/{table}")))
+
+    return read
+
+
+def _view(place: int) -> Query:
+    """One of the three views, under names of its own so that no view of a user is replaced."""
 
+    def read(t: DriverTables) -> DataFrame:
+        names = rollups.install_views(t.flights, t.carriers, prefix="skyledger_v_")
+        return t.spark.table(names[place])
 
-def view_of_routes(t: DriverTables) -> DataFrame:
-    rollups.install_views(t.flights, t.carriers)
-    return t.spark.table("v_route_reliability")
+    return read
 
 
 def asked(t: DriverTables) -> DataFrame:
@@ -202,12 +236,16 @@ def permutation_importance(t: DriverTables) -> DataFrame:
 QUERIES: dict[str, Query] = {
     # Sources, sinks and dimensions
     "s1_s5_clean_raw_text": clean_raw_text,
+    "s1_s5_raw_csv_files": raw_csv_files,
     "s6_s10_derived_columns": derived_columns,
     "s11_s12_parquet_by_month": parquet_by_month,
     "s13_airports": lambda t: t.airports,
+    "s13_airports_csv_file": airports_csv_file,
     "s14_carriers": lambda t: carrier_dimension(t.flights, t.carriers),
     "s15_calendar": lambda t: calendar_dimension(t.flights),
-    "s16_view_of_routes": view_of_routes,
+    "s16_view_of_airports": _view(0),
+    "s16_view_of_carriers": _view(1),
+    "s16_view_of_routes": _view(2),
     "s17_load_profile": lambda t: quality.load_profile(t.flights),
     "s17_flights_by_month": lambda t: quality.load_flights_by_month(t.flights),
     "s17_top_origins": lambda t: quality.load_top_origins(t.flights),
@@ -215,7 +253,12 @@ QUERIES: dict[str, Query] = {
     "s18_csv_export_reread": csv_export_reread,
     "s21_dataset_csv_reread": dataset_csv_reread,
     "s22_dataset_json_reread": dataset_json_reread,
-    "s24_report_table_reread": report_table_reread,
+    "s24_report_table_reread": _report_reread("Carrier_Performance"),
+    "s24_summary_reread": _report_reread("Summary"),
+    "s24_hourly_reread": _report_reread("Hourly_Delays"),
+    "s24_airports_reread": _report_reread("Airport_Performance"),
+    "s24_monthly_reread": _report_reread("Monthly_Trends"),
+    "s24_causes_reread": _report_reread("Delay_Causes"),
     "s25_capped_sql": capped_sql,
     # Rollups
     "v1_daily_airport_summary": lambda t: rollups.daily_airport_summary(t.flights),
@@ -325,7 +368,7 @@ QUERIES: dict[str, Query] = {
     "p6_peak_day": lambda t: charts.peak_day(t.flights),
     "p7_carrier_delay_rates": lambda t: charts.carrier_delay_rates(t.flights),
     "p8_dep_arr_sample": lambda t: charts.departure_arrival_sample(t.flights),
-    "p8_axis_limit": lambda t: charts.axis_limit(charts.departure_arrival_sample(t.flights)),
+    "p8_axis_limit": lambda t: charts.axis_limit(t.flights),
     "p9_dep_arr_correlation": lambda t: charts.departure_arrival_correlation(t.flights),
     "p10_dataset_overview": lambda t: charts.dataset_overview(t.flights),
     "p11_hourly_profile": lambda t: charts.hourly_profile(t.flights),

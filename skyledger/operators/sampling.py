@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from math import sqrt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -19,3 +19,12 @@ def sample_rows(df: DataFrame, n: int, seed: int) -> DataFrame:
     margin = n + 6 * sqrt(n) + 20
     kept = df.filter(F.rand(seed) * total < F.lit(float(margin)))
     return kept.orderBy(F.rand(seed + 1)).limit(n)
+
+
+def row_hash(columns: tuple[str, ...] | list[str]) -> Column:
+    """md5 of some columns of a row as text; numbers count as whole, null as ``~``."""
+
+    def text(name: str) -> Column:
+        return F.coalesce(F.expr(f"CAST(`{name}` AS STRING)"), F.lit("~"))
+
+    return F.md5(F.concat_ws("|", *[text(c) for c in columns]))

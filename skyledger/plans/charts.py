@@ -27,10 +27,11 @@ from skyledger.operators.quantiles import (
     weighted_mean,
     whiskers,
 )
-from skyledger.operators.sampling import sample_rows
+from skyledger.operators.sampling import row_hash, sample_rows
 from skyledger.operators.scoring import over_all
 from skyledger.operators.topk import top_k
 
+# The columns of the correlation matrix, in order.
 CORRELATED = (
     "arr_delay_minutes",
     "dep_delay_minutes",
@@ -39,6 +40,13 @@ CORRELATED = (
 )
 
 
+# Columns that make up a flight, for samples by hash.
+SAMPLED_BY = (
+    "flight_date", "carrier_code", "origin", "dest", "crs_dep_time", "dep_delay", "arr_delay",
+    "distance",
+)
+
+
 def _profile(*extra: Column) -> list[Column]:
     """Mean delay, share of delayed flights and count, unrounded."""
     return [
@@ -100,22 +108,19 @@ def correlation_matrix(
 ) -> DataFrame:
     """Pearson r of every pair, each over the rows where both are known.
 
-    Every row gives one small record per pair, which is combined at once into a
-    running correlation.  By default every row counts; pass ``sample=50_000``
-    for the sampled figure.
+    One aggregate holds a running correlation per pair, and its single row becomes a row per
+    pair.  By default every row counts; pass ``sample=50_000`` for the sampled figure.
     """
     rows = flights if sample is None else sample_rows(flights, sample, seed)
-    pairs = [
-        F.struct(
-            F.lit(a).alias("col_a"),
-            F.lit(b).alias("col_b"),
-            F.col(a).alias("x"),
-            F.col(b).alias("y"),
-        )
-        for a, b in combinations(columns, 2)
-    ]
-    long = rows.select(F.inline(F.array(*pairs)))
-    return long.groupBy("col_a", "col_b").agg(round_to(F.corr("x", "y"), 4).alias("r"))
+    pairs = list(combinations(columns, 2))
+    wide = rows.agg(*[round_to(F.corr(a, b), 4).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    return rows_from_columns(
+        wide,
+        [
+            {"col_a": F.lit(a), "col_b": F.lit(b), "r": F.col(f"r{i}")}
+            for i, (a, b) in enumerate(pairs)
+        ],
+    )
 
 
 def missing_values(df: DataFrame) -> DataFrame:
@@ -168,27 +173,43 @@ def carrier_delay_rates(flights: DataFrame) -> DataFrame:
         m.delay_share_flag().alias("delay_rate"),
     )
     median = F.percentile("delay_rate", F.lit(0.5)).over(over_all())
-    return by_carrier.withColumn(
-        "above_median", (F.col("delay_rate") > median).cast("int")
+    mean = F.avg("delay_rate").over(over_all())
+    return by_carrier.withColumns(
+        {
+            "above_median": (F.col("delay_rate") > median).cast("int"),
+            "mean_rate": round_to(mean, 6),
+        }
     ).orderBy(*asc("delay_rate", "carrier_code"))
 
 
-def departure_arrival_sample(flights: DataFrame, n: int = 5000, seed: int = 42) -> DataFrame:
-    """A repeatable random sample of (departure, arrival) delay pairs."""
-    known = flights.filter(
+def _known_pairs(flights: DataFrame) -> DataFrame:
+    return flights.filter(
         F.col("dep_delay_minutes").isNotNull() & F.col("arr_delay_minutes").isNotNull()
     )
-    return sample_rows(known, n, seed).select("dep_delay_minutes", "arr_delay_minutes")
 
 
-def axis_limit(pairs: DataFrame, q: float = 0.99) -> DataFrame:
-    """The larger of the two columns' upper quantiles."""
-    return pairs.agg(
-        F.greatest(
-            F.percentile("dep_delay_minutes", F.lit(q)),
-            F.percentile("arr_delay_minutes", F.lit(q)),
-        ).alias("axis_limit")
-    )
+def departure_arrival_sample(flights: DataFrame, n: int = 5000) -> DataFrame:
+    """``n`` (departure, arrival) delay pairs: those of the rows with the lowest hashes.
+
+    The hash covers the columns that make up a flight, so the sample is the same on every run
+    and every cluster; each task passes on its own ``n`` lowest only.
+    """
+    key = row_hash(SAMPLED_BY)
+    return top_k(
+        _known_pairs(flights).select("dep_delay_minutes", "arr_delay_minutes", key.alias("key")),
+        asc("key"),
+        n,
+    ).drop("key")
+
+
+def axis_limit(flights: DataFrame, q: float = 0.99) -> DataFrame:
+    """The larger of the two delays' upper quantiles over all flights with both."""
+    known = _known_pairs(flights)
+    limits = [
+        count_values(known, [], c).agg(quantile(c, q).alias("at"))
+        for c in ("dep_delay_minutes", "arr_delay_minutes")
+    ]
+    return limits[0].union(limits[1]).agg(F.max("at").alias("axis_limit"))
 
 
 def departure_arrival_correlation(flights: DataFrame) -> DataFrame:
@@ -427,13 +448,18 @@ def _by_origin(flights: DataFrame, min_flights: int = 0, *extra: Column) -> Data
 
 def busiest_airports(flights: DataFrame, limit: int = 20) -> DataFrame:
     """Departures plus arrivals; an airport seen on one side only has zero on the other."""
-    out = flights.groupBy(F.col("origin").alias("airport")).agg(m.flights().alias("departures"))
-    back = flights.groupBy(F.col("dest").alias("airport")).agg(m.flights().alias("arrivals"))
+    # One scan: pairs of airports are counted, and each pair then counts for both its ends.
+    pairs = flights.groupBy("origin", "dest").agg(m.flights().alias("n"))
     zero = F.lit(0).cast("long")
-    both = out.join(back, "airport", "full").select(
-        "airport",
-        F.coalesce("departures", zero).alias("departures"),
-        F.coalesce("arrivals", zero).alias("arrivals"),
+    ends = F.array(
+        F.struct(F.col("origin").alias("airport"), F.col("n").alias("out"), zero.alias("back")),
+        F.struct(F.col("dest").alias("airport"), zero.alias("out"), F.col("n").alias("back")),
+    )
+    both = (
+        pairs.select(F.inline(ends))
+        .filter(F.col("airport").isNotNull())
+        .groupBy("airport")
+        .agg(F.sum("out").alias("departures"), F.sum("back").alias("arrivals"))
     )
     total = both.withColumn("total", F.col("departures") + F.col("arrivals"))
     return top_k(total, [*desc("total"), *asc("airport")], limit)

@@ -34,7 +34,7 @@ def causes(flights, carriers, airports) -> DataFrame:
 
 
 def trends(flights, carriers, airports) -> DataFrame:
-    return service.monthly_trends(flights, service.MAX_ROWS)
+    return service.monthly_trends(flights)
 
 
 def cancellations(flights, carriers, airports) -> DataFrame:
@@ -53,11 +53,18 @@ DATASETS: dict[str, Callable[[DataFrame, DataFrame, DataFrame], DataFrame]] = {
 }
 
 
-def dataset(name: str, flights: DataFrame, carriers: DataFrame, airports: DataFrame) -> DataFrame:
-    """A dataset by name; an unknown name is refused with the list of valid ones."""
+def dataset(
+    name: str,
+    flights: DataFrame,
+    carriers: DataFrame,
+    airports: DataFrame,
+    max_rows: int | None = None,
+) -> DataFrame:
+    """A dataset by name, whole unless ``max_rows`` is given; an unknown name is refused."""
     if name not in DATASETS:
         raise ValueError(f"Unknown dataset {name!r}. Available: {sorted(DATASETS)}")
-    return DATASETS[name](flights, carriers, airports).limit(service.MAX_ROWS)
+    rows = DATASETS[name](flights, carriers, airports)
+    return rows if max_rows is None else rows.limit(max_rows)
 
 
 def export_dataset(

@@ -24,7 +24,6 @@ from skyledger.operators.longform import rows_from_columns
 from skyledger.operators.lookup import with_airport, with_carrier
 from skyledger.operators.topk import top_k
 from skyledger.plans import service
-from skyledger.session import MAX_ROWS
 
 
 def with_intent(questions: DataFrame, text: str) -> DataFrame:
@@ -76,17 +75,17 @@ def _carrier_rows(flights, carriers, *columns: str) -> DataFrame:
 
 def best_airline(flights, carriers, airports, calendar) -> DataFrame:
     rows = _carrier_rows(flights, carriers, "on_time_pct")
-    return top_k(rows, [*desc("on_time_pct"), *asc("carrier_code")], MAX_ROWS)
+    return top_k(rows, [*desc("on_time_pct"), *asc("carrier_code")])
 
 
 def worst_airline(flights, carriers, airports, calendar) -> DataFrame:
     rows = _carrier_rows(flights, carriers, "delay_rate")
-    return top_k(rows, [*desc("delay_rate"), *asc("carrier_code")], MAX_ROWS)
+    return top_k(rows, [*desc("delay_rate"), *asc("carrier_code")])
 
 
 def airline_ranking(flights, carriers, airports, calendar) -> DataFrame:
     rows = _carrier_rows(flights, carriers, "on_time_pct", "delay_rate")
-    return top_k(rows, [*desc("on_time_pct"), *asc("carrier_code")], MAX_ROWS)
+    return top_k(rows, [*desc("on_time_pct"), *asc("carrier_code")])
 
 
 def peak_delay_hours(flights, carriers, airports, calendar) -> DataFrame:
@@ -125,7 +124,7 @@ def weather_delays(flights, carriers, airports, calendar) -> DataFrame:
         F.col("hit").alias("weather_delayed_flights"),
         "total_flights",
     )
-    return top_k(rows, [*desc("avg_weather_delay"), *asc("season")], MAX_ROWS)
+    return top_k(rows, [*desc("avg_weather_delay"), *asc("season")])
 
 
 def airport_comparison(flights, carriers, airports, calendar) -> DataFrame:
@@ -146,11 +145,11 @@ def busiest_airport(flights, carriers, airports, calendar) -> DataFrame:
 
 def cancellation_info(flights, carriers, airports, calendar) -> DataFrame:
     rows = service.cancellation_counts(flights)
-    return top_k(rows, [*desc("count"), *asc("cancellation_code")], MAX_ROWS)
+    return top_k(rows, [*desc("count"), *asc("cancellation_code")])
 
 
 def monthly_trends(flights, carriers, airports, calendar) -> DataFrame:
-    return service.monthly_trends(flights, MAX_ROWS)
+    return service.monthly_trends(flights)
 
 
 def seasonal(flights, carriers, airports, calendar) -> DataFrame:
@@ -168,7 +167,7 @@ def seasonal(flights, carriers, airports, calendar) -> DataFrame:
         round_to(ratio(F.col("minutes"), F.col("late")), 2).alias("avg_delay"),
         "total_flights",
     )
-    return top_k(rows, [*desc("delay_rate"), *asc("season")], MAX_ROWS)
+    return top_k(rows, [*desc("delay_rate"), *asc("season")])
 
 
 def route_analysis(flights, carriers, airports, calendar, min_flights: int = 500) -> DataFrame:

@@ -72,12 +72,12 @@ def route_reliability(flights: DataFrame, min_flights: int = 100) -> DataFrame:
     )
 
 
-def install_views(flights: DataFrame, carriers: DataFrame) -> list[str]:
+def install_views(flights: DataFrame, carriers: DataFrame, prefix: str = "v_") -> list[str]:
     """Register the rollups as temporary views and return their names."""
     views = {
-        "v_daily_airport_summary": daily_airport_summary(flights),
-        "v_monthly_carrier_performance": monthly_carrier_performance(flights, carriers),
-        "v_route_reliability": route_reliability(flights),
+        f"{prefix}daily_airport_summary": daily_airport_summary(flights),
+        f"{prefix}monthly_carrier_performance": monthly_carrier_performance(flights, carriers),
+        f"{prefix}route_reliability": route_reliability(flights),
     }
     for name, view in views.items():
         view.createOrReplaceTempView(name)

@@ -1,4 +1,4 @@
-"""The dashboard results: small, ordered and capped tables over flights.
+"""The dashboard results: small, ordered tables over flights; ``max_rows`` caps one if given.
 
 Rates here come from ``is_delayed``, which is never null, and the average delay
 covers flights that were late by any amount.
@@ -17,7 +17,6 @@ from skyledger.operators.longform import rows_from_columns
 from skyledger.operators.lookup import with_airport, with_carrier
 from skyledger.operators.scoring import position_by, share_of_total
 from skyledger.operators.topk import top_k
-from skyledger.session import MAX_ROWS
 
 
 def _completed(flights: DataFrame) -> DataFrame:
@@ -34,7 +33,7 @@ def overview(flights: DataFrame) -> DataFrame:
     )
 
 
-def delays_by_hour(flights: DataFrame) -> DataFrame:
+def delays_by_hour(flights: DataFrame, max_rows: int | None = None) -> DataFrame:
     by_hour = (
         _completed(flights)
         .groupBy(F.col("hour_of_day").alias("hour"))
@@ -44,7 +43,7 @@ def delays_by_hour(flights: DataFrame) -> DataFrame:
             m.flights().alias("flight_count"),
         )
     )
-    return top_k(by_hour, asc("hour"), 24)
+    return top_k(by_hour, asc("hour"), max_rows)
 
 
 def _carriers(flights: DataFrame, carriers: DataFrame) -> DataFrame:
@@ -62,14 +61,18 @@ def _carriers(flights: DataFrame, carriers: DataFrame) -> DataFrame:
     )
 
 
-def delays_by_carrier(flights: DataFrame, carriers: DataFrame) -> DataFrame:
+def delays_by_carrier(
+    flights: DataFrame, carriers: DataFrame, max_rows: int | None = None
+) -> DataFrame:
     ranked = _carriers(flights, carriers).select(
         "carrier_code", "carrier_name", "total_flights", "on_time_pct", "avg_delay", "rank"
     )
-    return top_k(ranked, asc("rank"), 50)
+    return top_k(ranked, asc("rank"), max_rows)
 
 
-def carrier_ranking(flights: DataFrame, carriers: DataFrame) -> DataFrame:
+def carrier_ranking(
+    flights: DataFrame, carriers: DataFrame, max_rows: int | None = None
+) -> DataFrame:
     ranked = _carriers(flights, carriers).select(
         "carrier_code",
         "carrier_name",
@@ -80,7 +83,7 @@ def carrier_ranking(flights: DataFrame, carriers: DataFrame) -> DataFrame:
         "avg_delay",
         "rank",
     )
-    return top_k(ranked, asc("rank"), 50)
+    return top_k(ranked, asc("rank"), max_rows)
 
 
 def airport_delays(flights: DataFrame, airports: DataFrame, min_flights: int = 1000) -> DataFrame:
@@ -126,12 +129,12 @@ def cause_minutes(flights: DataFrame) -> DataFrame:
     )
 
 
-def delay_causes(flights: DataFrame) -> DataFrame:
+def delay_causes(flights: DataFrame, max_rows: int | None = None) -> DataFrame:
     shares = cause_minutes(flights).withColumn("percentage", share_of_total("total_minutes", 2))
-    return top_k(shares, [*desc("total_minutes"), *asc("cause")], MAX_ROWS)
+    return top_k(shares, [*desc("total_minutes"), *asc("cause")], max_rows)
 
 
-def monthly_trends(flights: DataFrame, max_rows: int = 120) -> DataFrame:
+def monthly_trends(flights: DataFrame, max_rows: int | None = None) -> DataFrame:
     monthly = (
         _completed(flights)
         .groupBy("year", "month")
@@ -144,7 +147,7 @@ def monthly_trends(flights: DataFrame, max_rows: int = 120) -> DataFrame:
     return top_k(monthly, asc("year", "month"), max_rows)
 
 
-def day_of_week_patterns(flights: DataFrame) -> DataFrame:
+def day_of_week_patterns(flights: DataFrame, max_rows: int | None = None) -> DataFrame:
     by_day = (
         _completed(flights)
         .groupBy("day_of_week")
@@ -161,16 +164,16 @@ def day_of_week_patterns(flights: DataFrame) -> DataFrame:
         "avg_delay",
         "total_flights",
     )
-    return top_k(named, asc("day_of_week"), 7)
+    return top_k(named, asc("day_of_week"), max_rows)
 
 
-def delay_heatmap(flights: DataFrame) -> DataFrame:
+def delay_heatmap(flights: DataFrame, max_rows: int | None = None) -> DataFrame:
     cells = (
         _completed(flights)
         .groupBy(F.col("hour_of_day").alias("hour"), "day_of_week")
         .agg(m.delay_rate_flag().alias("delay_rate"), m.flights().alias("flight_count"))
     )
-    return top_k(cells, asc("hour", "day_of_week"), 200)
+    return top_k(cells, asc("hour", "day_of_week"), max_rows)
 
 
 def top_routes(
@@ -206,14 +209,14 @@ def cancellation_counts(flights: DataFrame) -> DataFrame:
     )
 
 
-def cancellations(flights: DataFrame) -> DataFrame:
+def cancellations(flights: DataFrame, max_rows: int | None = None) -> DataFrame:
     shares = cancellation_counts(flights).withColumn("percentage", share_of_total("count", 2))
-    return top_k(shares, [*desc("count"), *asc("cancellation_code")], MAX_ROWS)
+    return top_k(shares, [*desc("count"), *asc("cancellation_code")], max_rows)
 
 
 def _check_limit(limit: int) -> None:
-    if not 1 <= limit <= 100:
-        raise ValueError("limit must be between 1 and 100")
+    if limit < 1:
+        raise ValueError("limit must be at least 1")
 
 
 # Carrier lists without a rank column, shared by exports and questions.

@@ -6,9 +6,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-MAX_ROWS = 1000
-
-
 def get_session(
     app_name: str = "skyledger",
     master: str | None = None,
@@ -65,8 +62,18 @@ def drop_paths(spark: SparkSession, paths: list[str]) -> None:
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def file_state(spark: SparkSession, path: str) -> str:
+    """Sizes and times of the files under ``path``, as one text that changes with them."""
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    listed = [(s.getLen(), s.getModificationTime()) for s in store.listStatus(place)]
+    return f"{len(listed)}/{hash(tuple(sorted(listed)))}"
+
+
 def run_sql(
-    spark: SparkSession, sql: str, args: dict | list | None = None, max_rows: int = MAX_ROWS
+    spark: SparkSession, sql: str, args: dict | list | None = None, max_rows: int | None = None
 ) -> DataFrame:
-    """Run a parameterised query and keep at most ``max_rows`` rows, in its own order."""
-    return spark.sql(sql, args=args).limit(max_rows)
+    """Run a parameterised query; keep at most ``max_rows`` rows, in its own order, if given."""
+    rows = spark.sql(sql, args=args)
+    return rows if max_rows is None else rows.limit(max_rows)

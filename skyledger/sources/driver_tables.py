@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.functions.fixed_values import CARRIER_NAMES, CAUSE_LABELS, RAW_TO_COLUMN
-from skyledger.session import work_path
+from skyledger.session import drop_paths, file_state, work_path
 from skyledger.sources.dimensions import calendar_dimension, carrier_names
 from skyledger.sources.raw_flights import derive
 from skyledger.sources.sinks import dealt, read_flights, write_flights, write_table
@@ -31,7 +31,11 @@ AIRPORT_KEYS = 24
 # Folders of the loaded table; within them files are in date order.
 LOADED_BY = ("year",)
 
+# Tables the flights are computed from.
+LOADED_FROM = ("lineitem", "supplier", "orders", "customer")
+
 _loaded: dict[tuple[str, str, str], DataFrame] = {}
+_paths: dict[tuple[str, str, str], str] = {}
 
 
 @dataclass(frozen=True)
@@ -47,12 +51,12 @@ class DriverTables:
     @property
     def flights(self) -> DataFrame:
         """The written flights table; the first use in a session loads it."""
-        key = (self.spark.sparkContext.applicationId, self.folder, "flights")
+        key = self._key("flights")
         if key not in _loaded:
             path = work_path(self.spark, "flights")
             keys = dealt(self._keys(), LOADED_BY)
             write_flights(derive(_fly(keys)), path, partition_by=LOADED_BY, deal=False)
-            _loaded[key] = read_flights(self.spark, path)
+            _loaded[key], _paths[key] = read_flights(self.spark, path), path
         return _loaded[key]
 
     def project_flights(self) -> DataFrame:
@@ -85,14 +89,28 @@ class DriverTables:
     @property
     def calendar(self) -> DataFrame:
         """The written calendar, one row per day; the first use in a session loads it."""
-        key = (self.spark.sparkContext.applicationId, self.folder, "calendar")
+        key = self._key("calendar")
         if key not in _loaded:
             path = work_path(self.spark, "calendar")
             days = calendar_dimension(self.flights)
             write_table(days, path, "parquet")
             _loaded[key] = self.spark.read.schema(days.schema).parquet(path)
+            _paths[key] = path
         return _loaded[key]
 
+    def _key(self, table: str) -> tuple[str, str, str]:
+        """Session, table and the state of the files it is made from: a changed table loads anew.
+
+        What an earlier state left in the shared folder is removed.
+        """
+        state = " ".join(file_state(self.spark, f"{self.folder}/{t}.parquet") for t in LOADED_FROM)
+        session = self.spark.sparkContext.applicationId
+        stale = [k for k in _loaded if k[:2] == (session, f"{self.folder}:{table}") and k[2] != state]
+        for key in stale:
+            drop_paths(self.spark, [_paths.pop(key)])
+            del _loaded[key]
+        return session, f"{self.folder}:{table}", state
+
     def _keys(self) -> DataFrame:
         """Date, carrier, both airport keys and the hash of a line item's keys.
 
@@ -192,12 +210,56 @@ def _fly(keys: DataFrame) -> DataFrame:
     )
 
 
-def raw_text(flights: DataFrame) -> DataFrame:
-    """Flights written back as the text of a raw file, with its trailing blank column."""
+# Layouts a date is written in, by day of the month; the first has the hour of the raw files.
+DATE_LAYOUTS = (
+    "M/d/yyyy' 12:00:00 AM'", "yyyy-MM-dd", "yyyy-MM-dd' 00:00:00'", "M/d/yyyy", "M/d/yyyy' 0:00'"
+)
+# Days of the month whose departure delay is written as text that is no number.
+BAD_DAYS = (13, 27)
+
+
+def raw_text(flights: DataFrame, odd: bool = False) -> DataFrame:
+    """Flights written back as the text of a raw file, with its trailing blank column.
+
+    ``odd`` deals the five date layouts over the days and spoils some numbers.
+    """
     texts = []
     for header, name in RAW_TO_COLUMN.items():
         text = F.col(name).cast("string")
         if name == "flight_date":
-            text = F.concat(F.date_format(name, "M/d/yyyy"), F.lit(" 12:00:00 AM"))
+            layouts = [F.date_format(name, f) for f in DATE_LAYOUTS]
+            text = layouts[0]
+            for place, layout in enumerate(layouts if odd else []):
+                text = F.when(F.col("day_of_month") % len(layouts) == place, layout).otherwise(text)
+        if odd and name == "dep_delay":
+            text = F.when(F.col("day_of_month").isin(*BAD_DAYS), "n/a").otherwise(text)
         texts.append(text.alias(header))
     return flights.select(*texts, F.lit(None).cast("string").alias("_c28"))
+
+
+def write_raw_files(flights: DataFrame, folder: str) -> None:
+    """Raw CSV files of three headers, by month: as published, reversed, without the distance."""
+    text = raw_text(flights, odd=True)
+    month = F.col("MONTH").cast("int") % 3
+    names = text.columns[:-1]
+    variants = [text.withColumnRenamed("_c28", " "), text.select(*reversed(names)),
+                text.select(*(c for c in names if c != "DISTANCE"))]
+    for place, variant in enumerate(variants):
+        variant.where(month == place).write.mode("append").csv(folder, header=True)
+
+
+def write_airports_file(airports: DataFrame, folder: str) -> None:
+    """Airports as a quoted CSV: every fourth code blank, commas and quotes in the names."""
+    place = F.substring("iata_code", 2, 2).cast("int")
+    airports.select(
+        F.when(place % 4 == 3, F.when(place % 8 == 3, "  ")).otherwise(F.col("iata_code"))
+        .alias("iata_code"),
+        F.concat("airport_name", F.lit(', "'), "iso_region", F.lit('"')).alias("name"),
+        F.col("latitude").cast("string").alias("latitude_deg"),
+        F.when(place == 1, "west").otherwise(F.col("longitude").cast("string"))
+        .alias("longitude_deg"),
+        "iso_country",
+        "iso_region",
+        F.col("city").alias("municipality"),
+        F.col("airport_type").alias("type"),
+    ).write.csv(folder, header=True, quoteAll=True, escape='"', nullValue="", emptyValue="")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,8 +22,38 @@ DELAYED_FROM_MINUTES = 15
 
 
 def read_raw_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Scan raw files as text columns named by their header; nothing is inferred."""
-    return spark.read.csv(path, header=True, inferSchema=False)
+    """Scan raw files as text columns, each file by its own header; nothing is inferred.
+
+    Files are grouped by their first line, and a column that a group lacks is null there.  Finding
+    the first lines is a distributed pass over the text that returns a row a file; the driver sees
+    the different headers and the file names, which it lists for any scan.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.col("value").alias("line"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    first = (
+        lines.where("block = 0").groupBy("file").agg(F.min_by("line", "place").alias("header"))
+    )
+    groups = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    scans = [
+        _scan_with_header(spark, row.files, row.header) for row in groups.orderBy("header").collect()
+    ]
+    if not scans:
+        return spark.read.csv(path, header=True, inferSchema=False)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+
+
+def _scan_with_header(spark: SparkSession, files: list[str], header: str) -> DataFrame:
+    """Files that share a header line; a blank or repeated name gets its place as a suffix."""
+    names: list[str] = []
+    for place, name in enumerate(next(csv.reader([header]), [])):
+        plain = name.strip().lstrip("\ufeff")
+        names.append(plain if plain and plain not in names else f"{plain}_c{place}")
+    schema = ", ".join(f"`{name.replace('`', '``')}` string" for name in names)
+    return spark.read.csv(files, header=True, schema=schema)
 
 
 def clean(raw: DataFrame) -> DataFrame:
