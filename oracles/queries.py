@@ -1034,6 +1034,97 @@ SELECT (DENSE_RANK() OVER (ORDER BY carrier_code) - 1)::DOUBLE AS carrier_enc,
     day_of_month, "quarter", is_weekend, is_delayed::DOUBLE AS label
 FROM coded"""
 
+# The split: of each label the fifth of the rows with the lowest hashes of their columns.
+SPLIT = """
+, keyed_rows AS (
+    SELECT carrier_code, hour_of_day, is_delayed AS label, "month",
+        (DENSE_RANK() OVER (ORDER BY carrier_code) - 1)::DOUBLE AS carrier_enc, origin, dest,
+        distance, day_of_week, day_of_month, "quarter", is_weekend,
+        md5(concat_ws('|', carrier_code, origin, dest, distance::VARCHAR, hour_of_day::VARCHAR,
+            day_of_week::VARCHAR, "month"::VARCHAR, day_of_month::VARCHAR, "quarter"::VARCHAR,
+            is_weekend::VARCHAR, is_delayed::VARCHAR)) AS key
+    FROM flights WHERE arr_delay_minutes IS NOT NULL
+), placed AS (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY label ORDER BY key)
+        <= floor(COUNT(*) OVER (PARTITION BY label) * 0.2e0) AS is_test
+    FROM keyed_rows
+), rates AS (
+    SELECT carrier_enc, hour_of_day, AVG(label::DOUBLE) AS rate
+    FROM placed WHERE NOT is_test GROUP BY ALL
+), overall AS (
+    SELECT AVG(label::DOUBLE) AS overall FROM placed WHERE NOT is_test
+), scored AS (
+    SELECT label, coalesce(rate, overall) AS p, (coalesce(rate, overall) > overall)::INTEGER AS guess
+    FROM placed LEFT JOIN rates USING (carrier_enc, hour_of_day), overall WHERE is_test
+)"""
+SQL["m6_split_counts"] = (
+    SPLIT + "SELECT label::DOUBLE AS label, is_test, COUNT(*) AS n FROM placed GROUP BY ALL"
+)
+SQL["m6_split_by_carrier"] = (
+    SPLIT + """SELECT carrier_enc, "month", label::DOUBLE AS label, is_test, COUNT(*) AS n
+FROM placed GROUP BY ALL"""
+)
+CLASS_ROWS = SPLIT + """
+, classes AS (SELECT * FROM (VALUES (0, 'On-time'), (1, 'Delayed')) AS t(k, class)),
+report AS (
+    SELECT class, COUNT(*) FILTER (WHERE label = k AND guess = k) AS right_,
+        COUNT(*) FILTER (WHERE guess = k) AS guessed, COUNT(*) FILTER (WHERE label = k) AS support
+    FROM scored, classes GROUP BY class
+), rated AS (
+    SELECT *, right_ / guessed::DOUBLE AS precision, right_ / support::DOUBLE AS recall FROM report
+), curve AS (
+    SELECT p, SUM(hits) OVER w AS hits_so_far, SUM(misses) OVER w AS misses_so_far, hits, misses,
+        SUM(hits) OVER () AS all_hits, SUM(misses) OVER () AS all_misses
+    FROM (SELECT p, COUNT(*) FILTER (WHERE label = 1) AS hits,
+                 COUNT(*) FILTER (WHERE label = 0) AS misses FROM scored GROUP BY p)
+    WINDOW w AS (ORDER BY p DESC)
+)"""
+F1 = "2e0 * precision * recall / (precision + recall)"
+SQL["m8_base_class_report"] = CLASS_ROWS + f"""
+SELECT class, {rnd("precision", 9)} AS precision, {rnd("recall", 9)} AS recall, support,
+    {rnd(F1, 9)} AS f1 FROM rated"""
+SQL["m8_base_metrics"] = CLASS_ROWS + f"""
+SELECT {rnd("(SELECT AVG((label = guess)::INTEGER::DOUBLE) FROM scored)", 9)} AS accuracy,
+    {rnd("precision", 9)} AS precision, {rnd("recall", 9)} AS recall, {rnd(F1, 9)} AS f1,
+    {rnd("(SELECT SUM(misses * (2 * hits_so_far - hits)) / (2e0 * MAX(all_hits) * MAX(all_misses)) FROM curve)", 9)}
+        AS roc_auc
+FROM rated WHERE class = 'Delayed'"""
+SQL["m10_base_roc_curve"] = CLASS_ROWS + f"""
+SELECT {rnd("p", 9)} AS threshold, {rnd("misses_so_far / all_misses::DOUBLE", 9)} AS false_positive_rate,
+    {rnd("hits_so_far / all_hits::DOUBLE", 9)} AS true_positive_rate FROM curve"""
+SQL["m11_base_confusion_matrix"] = CLASS_ROWS + f"""
+SELECT label, prediction, n AS count, {rnd("n / SUM(n) OVER () * 100e0", 9)} AS pct FROM (
+    SELECT a AS label, b AS prediction,
+        COUNT(*) FILTER (WHERE scored.label = a AND guess = b) AS n
+    FROM scored, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) AS t(a, b) GROUP BY ALL
+)"""
+SHUFFLED = [
+    "Carrier", "Origin Airport", "Dest Airport", "Distance (mi)", "Hour of Day", "Hour (sin)",
+    "Hour (cos)", "Day of Week", "DoW (sin)", "DoW (cos)", "Month", "Month (sin)", "Month (cos)",
+    "Day of Month", "Quarter", "Is Weekend",
+]
+SQL["m12_base_permutation_importance"] = SPLIT + f"""
+, ring AS (
+    SELECT label, carrier_enc AS c, hour_of_day AS h,
+        coalesce(lead(carrier_enc) OVER w, first_value(carrier_enc) OVER w) AS next_c,
+        coalesce(lead(hour_of_day) OVER w, first_value(hour_of_day) OVER w) AS next_h
+    FROM placed WHERE is_test WINDOW w AS (ORDER BY key)
+), variants AS (
+    SELECT 'none' AS v, label, c, h FROM ring
+    UNION ALL SELECT 'Carrier', label, next_c, h FROM ring
+    UNION ALL SELECT 'Hour of Day', label, c, next_h FROM ring
+), points AS (
+    SELECT v, coalesce(rate, overall) AS p, COUNT(*) FILTER (WHERE label = 1) AS hits,
+        COUNT(*) FILTER (WHERE label = 0) AS misses
+    FROM variants LEFT JOIN rates ON carrier_enc = c AND hour_of_day = h, overall GROUP BY ALL
+), areas AS (
+    SELECT v, SUM(misses * (2 * so_far - hits)) / (2e0 * SUM(hits) * SUM(misses)) AS area
+    FROM (SELECT *, SUM(hits) OVER (PARTITION BY v ORDER BY p DESC) AS so_far FROM points)
+    GROUP BY v
+)
+SELECT f.feature, {rnd("coalesce((SELECT area FROM areas WHERE v = 'none') - area, 0e0)", 9)} AS importance
+FROM (SELECT unnest({SHUFFLED}) AS feature) f LEFT JOIN areas ON v = f.feature"""
+
 NOT_OVER_FLIGHTS = {
     "n0_classify_questions",
     "n0_classify_documents",

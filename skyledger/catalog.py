@@ -28,7 +28,7 @@ from skyledger.plans import (
     rollups,
     service,
 )
-from skyledger.session import run_sql, work_path
+from skyledger.session import run_sql, work_path, write_shared
 from skyledger.sources import raw_flights
 from skyledger.sources.dimensions import (
     airports_from_csv,
@@ -193,32 +193,75 @@ def _dataset(name: str) -> Query:
 
 
 def features(t: DriverTables) -> DataFrame:
-    rows = delay_model.engineer(delay_model.modelling_rows(t.flights, sample=None))
+    rows = delay_model.engineer(delay_model.modelling_rows(t.flights)).drop("key")
     cycles = [c for c in rows.columns if c.endswith(("_sin", "_cos"))]
     return rows.withColumns({c: round_to(F.col(c), 6) for c in cycles})
 
 
-_trained: dict[tuple[str, str], tuple] = {}
+_made: dict[tuple, object] = {}
 
 
-def _model(t: DriverTables):
-    """Prepared rows and a small forest, trained once per session and folder."""
-    key = (t.spark.sparkContext.applicationId, t.folder)
-    if key not in _trained:
-        prepared = delay_model.prepare(t.flights)
-        train, _ = delay_model.split(prepared)
-        _trained[key] = prepared, delay_model.train_forest(train, **FOREST)
-    return _trained[key]
+def _once(t: DriverTables, name: str, make: Callable[[], object]):
+    """Made once per session and state of the tables: the model line builds on written rows."""
+    key = (name, *t.state("model"))
+    if key not in _made:
+        _made[key] = make()
+    return _made[key]
+
+
+def _prepared(t: DriverTables) -> DataFrame:
+    return _once(t, "rows", lambda: delay_model.prepare(t.flights))
+
+
+def _sides(t: DriverTables) -> tuple[DataFrame, DataFrame]:
+    return delay_model.split(_prepared(t))
+
+
+def _forest(t: DriverTables):
+    return _once(t, "forest", lambda: delay_model.train_forest(_sides(t)[0], **FOREST))
 
 
 def _scored(t: DriverTables) -> DataFrame:
-    prepared, model = _model(t)
-    return delay_model.score(model, delay_model.split(prepared)[1])
+    """All test rows as the forest scores them, written once."""
+    return _once(
+        t,
+        "scored",
+        lambda: write_shared(delay_model.score(_forest(t), _sides(t)[1]), "scored")[0],
+    )
+
+
+def _base_scored(t: DriverTables) -> DataFrame:
+    """All test rows as the late share by carrier and hour scores them."""
+    train, test = _sides(t)
+    scorer = delay_model.late_share_scorer(train)
+    return scorer(test).select("label", "prediction", "probability")
 
 
 def split_counts(t: DriverTables) -> DataFrame:
-    prepared, _ = _model(t)
-    return prepared.groupBy("label", "is_test").agg(F.count(F.lit(1)).alias("n"))
+    return _prepared(t).groupBy("label", "is_test").agg(F.count(F.lit(1)).alias("n"))
+
+
+def split_by_carrier(t: DriverTables) -> DataFrame:
+    """Rows of each side by carrier and month: which rows fall where."""
+    keys = ["carrier_enc", "month", "label", "is_test"]
+    return _prepared(t).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _rounded(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: round_to(F.col(c), 9) for c in columns})
+
+
+def fitted_forest(t: DriverTables) -> DataFrame:
+    """Size of the fitted forest, rows it could learn from, and the sum of its importances."""
+    model = _forest(t)
+    train, _ = _sides(t)
+    gini = float(model.featureImportances.toArray().sum())
+    return train.agg(F.count(F.lit(1)).alias("train_rows")).select(
+        F.lit(model.getNumTrees).alias("trees"),
+        F.lit(model.totalNumNodes).alias("nodes"),
+        F.lit(round(gini, 6)).alias("importance_sum"),
+        "train_rows",
+    )
 
 
 def saved_metrics(t: DriverTables) -> DataFrame:
@@ -229,8 +272,14 @@ def saved_metrics(t: DriverTables) -> DataFrame:
 
 
 def permutation_importance(t: DriverTables) -> DataFrame:
-    prepared, model = _model(t)
-    return delay_model.permutation_importance(model, delay_model.split(prepared)[1])
+    scorer = delay_model.forest_scorer(_forest(t))
+    return delay_model.permutation_importance(scorer, _sides(t)[1])
+
+
+def base_permutation(t: DriverTables) -> DataFrame:
+    train, test = _sides(t)
+    scorer = delay_model.late_share_scorer(train)
+    return _rounded(delay_model.permutation_importance(scorer, test), "importance")
 
 
 QUERIES: dict[str, Query] = {
@@ -404,9 +453,27 @@ QUERIES: dict[str, Query] = {
     # Model
     "m2_m5_features": features,
     "m6_split_counts": split_counts,
+    "m6_split_by_carrier": split_by_carrier,
+    "m7_fitted_forest": fitted_forest,
+    "m8_base_metrics": lambda t: _rounded(
+        delay_model.metrics(_base_scored(t)), "accuracy", "precision", "recall", "f1", "roc_auc"
+    ),
+    "m8_base_class_report": lambda t: _rounded(
+        delay_model.class_report(_base_scored(t)), "precision", "recall", "f1"
+    ),
+    "m10_base_roc_curve": lambda t: _rounded(
+        delay_model.roc_curve(_base_scored(t)),
+        "threshold",
+        "false_positive_rate",
+        "true_positive_rate",
+    ),
+    "m11_base_confusion_matrix": lambda t: _rounded(
+        delay_model.confusion_matrix(_base_scored(t)), "pct"
+    ),
+    "m12_base_permutation_importance": base_permutation,
     "m8_metrics": lambda t: delay_model.metrics(_scored(t)),
     "m8_class_report": lambda t: delay_model.class_report(_scored(t)),
-    "m9_feature_importance": lambda t: delay_model.feature_importance(t.spark, _model(t)[1]),
+    "m9_feature_importance": lambda t: delay_model.feature_importance(t.spark, _forest(t)),
     "m10_roc_curve": lambda t: delay_model.roc_curve(_scored(t)),
     "m11_confusion_matrix": lambda t: delay_model.confusion_matrix(_scored(t)),
     "m12_permutation_importance": permutation_importance,

@@ -5,19 +5,21 @@ Nothing known only after departure is used: no actual times, delays or causes.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from math import pi
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.functions.numeric import asc, desc, ratio
-from skyledger.operators.sampling import sample_rows
-from skyledger.operators.scoring import over_all
+from skyledger.operators.running import running_sums
+from skyledger.operators.sampling import row_hash
+from skyledger.operators.scoring import dense_rank_by, over_all
 from skyledger.operators.topk import top_k
-from skyledger.session import work_path
+from skyledger.session import write_shared
 from skyledger.sources.sinks import write_table
 
 # Model inputs in order, with the names used in reports.
@@ -39,33 +41,24 @@ FEATURES = {
     "quarter": "Quarter",
     "is_weekend": "Is Weekend",
 }
-SAMPLE_ROWS = 200_000
+# Training rows that a forest is fitted on, at most about; every row is split, scored and evaluated.
+FIT_ROWS = 200_000
 TEST_SHARE = 0.2
 SEED = 42
 OTHER_AIRPORT = "OTHER"
-SCORE_STEPS = 10_000
+# Columns of a modelling row; their hash decides on which side of the split it falls.
+MODELLED = (
+    "carrier_code", "origin", "dest", "distance", "hour_of_day", "day_of_week", "month",
+    "day_of_month", "quarter", "is_weekend", "is_delayed",
+)
 
 
-def modelling_rows(
-    flights: DataFrame, sample: int | None = SAMPLE_ROWS, seed: int = SEED
-) -> DataFrame:
-    """Flights with a known outcome; ``sample=None`` keeps all of them."""
+def modelling_rows(flights: DataFrame) -> DataFrame:
+    """Flights with a known outcome, each with the hash of its columns as ``key``."""
     known = flights.filter(
         F.col("arr_delay_minutes").isNotNull() & F.col("is_delayed").isNotNull()
-    ).select(
-        "carrier_code",
-        "origin",
-        "dest",
-        "distance",
-        "hour_of_day",
-        "day_of_week",
-        "month",
-        "day_of_month",
-        "quarter",
-        "is_weekend",
-        "is_delayed",
     )
-    return known if sample is None else sample_rows(known, sample, seed)
+    return known.select(*MODELLED, row_hash(MODELLED).alias("key"))
 
 
 def group_airports(rows: DataFrame, column: str, keep: int = 50) -> DataFrame:
@@ -97,44 +90,64 @@ def add_cycles(rows: DataFrame) -> DataFrame:
     )
 
 
-def engineer(rows: DataFrame, keep: int = 50) -> DataFrame:
-    """The sixteen feature columns and ``label``; rows with a missing feature are dropped.
+def _codes(rows: DataFrame, column: str, name: str) -> DataFrame:
+    """Number the values of a column alphabetically, null last. There are few: carriers, or
+    the airports kept."""
+    values = rows.select(F.col(column).alias("__value")).distinct()
+    number = (dense_rank_by(*asc("__value")) - 1).cast("double")
+    codes = values.select("__value", number.alias(name))
+    return rows.join(codes, F.col(column).eqNullSafe(F.col("__value")), "left").drop("__value")
 
-    Codes are numbered alphabetically. The indexer's label lists are at most
-    the carriers, and ``keep`` + 1 airports.
+
+def engineer(rows: DataFrame, keep: int = 50) -> DataFrame:
+    """The sixteen feature columns, ``label`` and ``key``; rows with a missing feature are dropped."""
+    coded = group_airports(group_airports(rows, "origin", keep), "dest", keep)
+    for column, name in (
+        ("carrier_code", "carrier_enc"), ("origin_grp", "origin_enc"), ("dest_grp", "dest_enc"),
+    ):
+        coded = _codes(coded, column, name)
+    label = F.col("is_delayed").cast("double").alias("label")
+    return add_cycles(coded).select(*FEATURES, label, "key").dropna()
+
+
+def mark_test(rows: DataFrame, share: float = TEST_SHARE) -> DataFrame:
+    """Add ``is_test``: of each label the rows with the lowest keys, ``share`` of them exactly.
+
+    Rows are counted by the first three digits of the key, which gives at most 4,096 counts a
+    label. Only the rows of the one prefix in which a label's cut falls are put in order; rows
+    with equal keys are equal.
     """
-    grouped = group_airports(group_airports(rows, "origin", keep), "dest", keep)
-    indexer = StringIndexer(
-        inputCols=["carrier_code", "origin_grp", "dest_grp"],
-        outputCols=["carrier_enc", "origin_enc", "dest_enc"],
-        stringOrderType="alphabetAsc",
-        handleInvalid="keep",
+    prefix = F.substring("key", 1, 3)
+    counts = rows.groupBy("label", prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
+    label = Window.partitionBy("label")
+    before = label.orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
+    cuts = counts.select(
+        "label",
+        "prefix",
+        "n",
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"),
+        F.floor(F.sum("n").over(label) * F.lit(share)).alias("wanted"),
     )
-    indexed = indexer.fit(grouped).transform(grouped)
+    marked = rows.withColumn("prefix", prefix).join(F.broadcast(cuts), ["label", "prefix"])
+    whole = (F.col("before") + F.col("n") <= F.col("wanted")) | (F.col("before") >= F.col("wanted"))
+    place = F.row_number().over(Window.partitionBy("label").orderBy("key"))
     return (
-        add_cycles(indexed)
-        .select(*FEATURES, F.col("is_delayed").cast("double").alias("label"))
-        .dropna()
+        marked.filter(whole)
+        .withColumn("is_test", F.col("before") < F.col("wanted"))
+        .union(
+            marked.filter(~whole).withColumn("is_test", F.col("before") + place <= F.col("wanted"))
+        )
+        .drop("prefix", "n", "before", "wanted")
     )
 
 
-def prepare(
-    flights: DataFrame,
-    sample: int | None = SAMPLE_ROWS,
-    test_share: float = TEST_SHARE,
-    seed: int = SEED,
-) -> DataFrame:
-    """Engineered rows, each marked for training or test, as a written table.
+def prepare(flights: DataFrame, test_share: float = TEST_SHARE) -> DataFrame:
+    """Engineered rows, each marked for training or test, written to shared storage once.
 
-    The table goes to shared storage once.  Training reads it many times over,
-    and a task that is run again finds the same rows on the same side.  Rows are
-    drawn for the test side independently, so both labels keep their share.
+    Training reads it many times over; it has as many partitions as its size asks for.
     """
-    spark = flights.sparkSession
-    rows = engineer(modelling_rows(flights, sample, seed))
-    path = work_path(spark, "delay-model-rows")
-    write_table(rows.withColumn("is_test", F.rand(seed) < test_share), path, "parquet")
-    return assemble(spark.read.parquet(path))
+    marked = mark_test(engineer(modelling_rows(flights)), test_share)
+    return assemble(write_shared(marked, "delay-model-rows")[0])
 
 
 def assemble(rows: DataFrame) -> DataFrame:
@@ -149,6 +162,13 @@ def split(prepared: DataFrame) -> tuple[DataFrame, DataFrame]:
     return prepared.filter(~F.col("is_test")), prepared.filter(F.col("is_test"))
 
 
+def fit_rows(train: DataFrame, bound: int = FIT_ROWS) -> DataFrame:
+    """About ``bound`` rows, those whose last key digits lie under a threshold; all if fewer."""
+    digits = F.conv(F.substring("key", 25, 8), 16, 10).cast("bigint")
+    total = train.agg(F.count(F.lit(1))).scalar()
+    return train.filter(digits * total < F.lit(bound * 2**32))
+
+
 def balanced(train: DataFrame) -> DataFrame:
     """Add weights that give both labels the same total. The counts are two rows."""
     counts = train.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
@@ -175,7 +195,7 @@ def train_forest(
         maxBins=64,
         seed=seed,
     )
-    return forest.fit(balanced(train))
+    return forest.fit(balanced(fit_rows(train)))
 
 
 def score(model: RandomForestClassificationModel, rows: DataFrame) -> DataFrame:
@@ -212,39 +232,46 @@ def confusion_matrix(scored: DataFrame) -> DataFrame:
     )
 
 
-def roc_curve(scored: DataFrame, *keys: str) -> DataFrame:
-    """ROC points per group of ``keys``, from the highest score down.
-
-    Scores are counted in steps of 1/10,000 first, which bounds the points of a
-    group however many rows are scored.
-    """
-    step = F.floor(F.col("probability") * SCORE_STEPS).cast("long")
-    counts = scored.groupBy(*keys, step.alias("step")).agg(
+def curve_counts(scored: DataFrame, *keys: str) -> DataFrame:
+    """Per distinct score and group: label counts, and those of all scores not below it."""
+    counts = scored.groupBy(*keys, F.col("probability").alias("threshold")).agg(
         F.count_if(F.col("label") == 1).alias("hits"),
         F.count_if(F.col("label") == 0).alias("misses"),
     )
-    group = Window.partitionBy(*keys)
-    so_far = group.orderBy(F.col("step").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    order = [*(F.col(k).asc() for k in keys), F.col("threshold").desc()]
+    running = running_sums(counts, order, ["hits", "misses"])
+    totals = counts.groupBy(*keys).agg(
+        F.sum("hits").alias("all_hits"), F.sum("misses").alias("all_misses")
+    )
+    if not keys:
+        return running.withColumns({"all_hits": totals.select("all_hits").scalar(),
+                                    "all_misses": totals.select("all_misses").scalar()})
+    groups = Window.partitionBy().orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.withColumns(
+        {f"{c}_before": F.coalesce(F.sum(f"all_{c}").over(groups), F.lit(0)) for c in ("hits", "misses")}
+    )
+    return running.join(totals, list(keys)).withColumns(
+        {f"{c}_so_far": F.col(f"{c}_so_far") - F.col(f"{c}_before") for c in ("hits", "misses")}
+    )
 
-    def reached(column: str) -> Column:
-        return ratio(F.sum(column).over(so_far), F.sum(column).over(group))
 
-    return counts.select(
+def roc_curve(scored: DataFrame, *keys: str) -> DataFrame:
+    """ROC points per group of ``keys``, one for each distinct score, from the highest down."""
+    return curve_counts(scored, *keys).select(
         *keys,
-        (F.col("step") / F.lit(float(SCORE_STEPS))).alias("threshold"),
-        reached("misses").alias("false_positive_rate"),
-        reached("hits").alias("true_positive_rate"),
+        "threshold",
+        ratio(F.col("misses_so_far"), F.col("all_misses")).alias("false_positive_rate"),
+        ratio(F.col("hits_so_far"), F.col("all_hits")).alias("true_positive_rate"),
     )
 
 
-def area_under(points: DataFrame, *keys: str) -> DataFrame:
-    """Trapezoid area under ROC points."""
-    order = Window.partitionBy(*keys).orderBy(F.col("threshold").desc())
-    x, y = F.col("false_positive_rate"), F.col("true_positive_rate")
-    before_x = F.coalesce(F.lag(x).over(order), F.lit(0.0))
-    before_y = F.coalesce(F.lag(y).over(order), F.lit(0.0))
-    slices = points.withColumn("slice", (x - before_x) * (y + before_y) / F.lit(2.0))
-    return slices.groupBy(*keys).agg(F.sum("slice").alias("roc_auc"))
+def area_under(scored: DataFrame, *keys: str) -> DataFrame:
+    """Area under the ROC curve: label pairs in the right order, ties for half."""
+    doubled = F.col("misses") * (F.lit(2) * F.col("hits_so_far") - F.col("hits"))
+    pairs = F.lit(2) * F.max("all_hits") * F.max("all_misses")
+    return curve_counts(scored, *keys).groupBy(*keys).agg(
+        ratio(F.sum(doubled), pairs).alias("roc_auc")
+    )
 
 
 def class_report(scored: DataFrame) -> DataFrame:
@@ -292,7 +319,7 @@ def metrics(scored: DataFrame) -> DataFrame:
         F.max(F.when(delayed, F.col("recall"))).alias("recall"),
         F.max(F.when(delayed, F.col("f1"))).alias("f1"),
     )
-    area = area_under(roc_curve(scored)).scalar()
+    area = area_under(scored).scalar()
     return main.withColumn("roc_auc", area)
 
 
@@ -311,47 +338,66 @@ def feature_importance(
     )
 
 
+def late_share_scorer(train: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """A plain scorer to evaluate beside the forest: the late share by carrier and hour.
+
+    Returns a function that adds ``probability`` and ``prediction`` (above the overall share).
+    """
+    by = ["carrier_enc", "hour_of_day"]
+    rates = train.groupBy(*by).agg(F.avg("label").alias("probability"))
+    overall = train.agg(F.avg("label")).scalar()
+
+    def add(rows: DataFrame) -> DataFrame:
+        found = rows.join(rates, by, "left").withColumn("overall", overall)
+        share = F.coalesce("probability", "overall")
+        return found.withColumns(
+            {"probability": share, "prediction": (share > F.col("overall")).cast("double")}
+        ).drop("overall")
+
+    return add
+
+
+def forest_scorer(model: RandomForestClassificationModel) -> Callable[[DataFrame], DataFrame]:
+    def add(rows: DataFrame) -> DataFrame:
+        scored = model.transform(assemble(rows.drop("features")))
+        return scored.withColumn("probability", vector_to_array("probability")[1])
+
+    return add
+
+
 def permutation_importance(
-    model: RandomForestClassificationModel,
-    test: DataFrame,
-    seed: int = SEED,
-    group_rows: int = 20_000,
+    scorer: Callable[[DataFrame], DataFrame], test: DataFrame
 ) -> DataFrame:
     """Drop in ROC area when one feature is shuffled, for every feature in one job.
 
-    Rows are dealt at random into groups of about ``group_rows`` and put in
-    random order there; the shuffled value of a feature is the next row's.  Each
-    row is scored once as it is and once per feature with that feature replaced.
+    Rows are numbered in the order of their keys, which are hashes; the shuffled value of a
+    feature is the next row's, the first row's for the last. Each row is scored once as it is
+    and once per feature with that feature replaced.
     """
-    groups = test.agg(F.ceil(F.count(F.lit(1)) / F.lit(group_rows))).scalar()
-    dealt = test.select(*FEATURES, "label").withColumns(
-        {"deal": F.floor(F.rand(seed) * groups), "place": F.rand(seed + 1)}
+    kinds = {f: test.schema[f].dataType for f in FEATURES}
+    ones = test.select(*FEATURES, "label", "key", F.lit(1).alias("one"))
+    numbered = running_sums(ones, [F.col("key").asc()], ["one"]).withColumnRenamed(
+        "one_so_far", "place"
     )
-    ring = Window.partitionBy("deal").orderBy("place")
-    whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    nexts = {
-        f: F.coalesce(F.lead(f).over(ring), F.first(f).over(whole)).cast("double")
-        for f in FEATURES
-    }
-    rows = dealt.select(
-        "label",
-        *[F.col(f).cast("double").alias(f) for f in FEATURES],
-        *[value.alias(f"next_{f}") for f, value in nexts.items()],
+    last = numbered.agg(F.max("place")).scalar()
+    nexts = numbered.select(
+        F.when(F.col("place") == 1, last).otherwise(F.col("place") - 1).alias("place"),
+        *[F.col(f).cast("double").alias(f"next_{f}") for f in FEATURES],
     )
+    rows = numbered.select(
+        "place", "label", *[F.col(f).cast("double").alias(f) for f in FEATURES]
+    ).join(nexts, "place")
 
     def variant(replaced: str | None) -> Column:
-        inputs = [F.col(f"next_{f}" if f == replaced else f) for f in FEATURES]
-        name = FEATURES[replaced] if replaced else ""
-        return F.struct(F.lit(name).alias("feature"), F.array(*inputs).alias("inputs"))
+        inputs = [F.col(f"next_{f}" if f == replaced else f).alias(f) for f in FEATURES]
+        return F.struct(F.lit(FEATURES.get(replaced, "")).alias("feature"), *inputs)
 
     variants = F.array(variant(None), *[variant(f) for f in FEATURES])
-    exploded = rows.select("label", F.inline(variants)).withColumn(
-        "features", array_to_vector("inputs")
-    )
-    scored = model.transform(exploded).select(
-        "feature", "label", vector_to_array("probability")[1].alias("probability")
+    exploded = rows.select("label", F.inline(variants)).withColumns(
+        {f: F.col(f).cast(kind) for f, kind in kinds.items()}
     )
-    areas = area_under(roc_curve(scored, "feature"), "feature")
+    scored = scorer(exploded).select("feature", "label", "probability")
+    areas = area_under(scored, "feature")
     base = F.max(F.when(F.col("feature") == "", F.col("roc_auc"))).over(over_all())
     return (
         areas.withColumn("importance", base - F.col("roc_auc"))

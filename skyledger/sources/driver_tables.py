@@ -98,18 +98,18 @@ class DriverTables:
             _paths[key] = path
         return _loaded[key]
 
-    def _key(self, table: str) -> tuple[str, str, str]:
-        """Session, table and the state of the files it is made from: a changed table loads anew.
+    def state(self, table: str) -> tuple[str, str, str]:
+        """Session, table and the state of the files it is made from."""
+        files = " ".join(file_state(self.spark, f"{self.folder}/{t}.parquet") for t in LOADED_FROM)
+        return self.spark.sparkContext.applicationId, f"{self.folder}:{table}", files
 
-        What an earlier state left in the shared folder is removed.
-        """
-        state = " ".join(file_state(self.spark, f"{self.folder}/{t}.parquet") for t in LOADED_FROM)
-        session = self.spark.sparkContext.applicationId
-        stale = [k for k in _loaded if k[:2] == (session, f"{self.folder}:{table}") and k[2] != state]
-        for key in stale:
+    def _key(self, table: str) -> tuple[str, str, str]:
+        """The state of a table; what an earlier state left in the shared folder is removed."""
+        own = self.state(table)
+        for key in [k for k in _loaded if k[:2] == own[:2] and k != own]:
             drop_paths(self.spark, [_paths.pop(key)])
             del _loaded[key]
-        return session, f"{self.folder}:{table}", state
+        return own
 
     def _keys(self) -> DataFrame:
         """Date, carrier, both airport keys and the hash of a line item's keys.

@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from skyledger.operators.running import running_sums
 from skyledger.plans import delay_model
 from skyledger.sources.driver_tables import DriverTables
 from tests.conftest import SMALL, rows_of
@@ -22,11 +23,29 @@ def test_airports_beyond_the_busiest_are_grouped(spark):
     assert found == ["A", "A", "A", "B", "B", "OTHER", "OTHER"]
 
 
-def test_split_keeps_the_label_share(trained):
+def test_split_is_exact_for_each_label(spark, trained):
     train, test, _ = trained
-    share = lambda df: df.agg(F.avg("label")).first()[0]
-    assert share(train) == pytest.approx(share(test), abs=0.05)
-    assert 0.15 < test.count() / (test.count() + train.count()) < 0.25
+    n = lambda df: {r.label: r["count"] for r in df.groupBy("label").count().collect()}
+    learned, held = n(train), n(test)
+    assert all(held[k] == (learned[k] + held[k]) // 5 for k in learned)
+    rows = spark.createDataFrame([(1.0, f"{i % 3:032x}") for i in range(30)], "label double, key string")
+    marked = delay_model.mark_test(rows, 0.5).groupBy("key", "is_test").count().collect()
+    assert {(r.key[-1], r.is_test): r["count"] for r in marked} == {
+        ("0", True): 10, ("1", True): 5, ("1", False): 5, ("2", False): 10
+    }
+
+
+def test_fit_rows_are_bounded(trained):
+    train, _, _ = trained
+    total = train.count()
+    assert delay_model.fit_rows(train).count() == total
+    assert delay_model.fit_rows(train, 300).count() == pytest.approx(300, abs=90)
+
+
+def test_running_sums_over_ranges(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("x"), F.lit(2).alias("n"))
+    found = running_sums(df.repartition(8), [F.col("x").desc()], ["n"]).collect()
+    assert all(r.n_so_far == 2 * (1000 - r.x) for r in found)
 
 
 def test_weights_balance_the_classes(trained):
@@ -51,7 +70,7 @@ def test_evaluation_is_consistent(trained):
 def test_area_under_known_scores(spark):
     rows = [(1.0, 0.9), (0.0, 0.8), (1.0, 0.7), (0.0, 0.1)]
     scored = spark.createDataFrame(rows, "label double, probability double")
-    (area,) = delay_model.area_under(delay_model.roc_curve(scored)).first()
+    (area,) = delay_model.area_under(scored).first()
     assert area == pytest.approx(0.75)
 
 
@@ -59,5 +78,7 @@ def test_importances(spark, trained):
     _, test, model = trained
     gini = delay_model.feature_importance(spark, model).collect()
     assert len(gini) == 16 and sum(r.importance for r in gini) == pytest.approx(1.0)
-    shuffled = delay_model.permutation_importance(model, test, group_rows=100).collect()
+    shuffled = delay_model.permutation_importance(
+        delay_model.forest_scorer(model), test
+    ).collect()
     assert {r.feature for r in shuffled} == {r.feature for r in gini}
