@@ -698,10 +698,53 @@ insight AS (
     UNION ALL SELECT 'airport_comparison', CASE WHEN EXISTS ({AIRPORT_BASE})
         THEN '' ELSE 'No data found for your query.' END
     UNION ALL SELECT 'route_analysis', CASE WHEN EXISTS (
-            SELECT 1 FROM flights WHERE cancelled = 0 GROUP BY route HAVING COUNT(*) >= 500)
+            SELECT 1 FROM flights WHERE cancelled = 0 GROUP BY route HAVING COUNT(*) >= 100)
         THEN '' ELSE 'No data found for your query.' END
 )
 """
+# The rows behind each answer: order, text columns and number columns (``#``), as they come.
+ANSWER_ROWS = {
+    "n1_best_airline": ("on_time_pct DESC, carrier_code",
+                        "carrier_code carrier_name #total_flights #on_time_pct #avg_delay"),
+    "n2_worst_airline": ("delay_rate DESC, carrier_code",
+                         "carrier_code carrier_name #total_flights #delay_rate #avg_delay"),
+    "n3_airline_ranking": ("on_time_pct DESC, carrier_code", "carrier_code carrier_name"
+                           " #total_flights #on_time_pct #delay_rate #avg_delay"),
+    "n4_peak_delay_hours": ("hour", "#hour #delay_rate #avg_delay #flight_count"),
+    "n5_delay_causes": ("total_minutes DESC, cause", "cause #total_minutes #percentage"),
+    "n6_weather_delays": ("avg_weather_delay DESC, season",
+                          "season #avg_weather_delay #weather_delayed_flights #total_flights"),
+    "n7_airport_comparison": ("delay_rate DESC, airport_code",
+                              "airport_code airport_name #total_flights #delay_rate #avg_delay"),
+    "n8_busiest_airport": ("total_flights DESC, airport_code",
+                           "airport_code airport_name #total_flights"),
+    "n9_cancellation_info": ("count DESC, cancellation_code", "cancellation_code reason #count"),
+    "n10_monthly_trends": ('"year", "month"', "#year #month #delay_rate #avg_delay #total_flights"),
+    "n11_seasonal": ("delay_rate DESC, season", "season #delay_rate #avg_delay #total_flights"),
+    "n12_route_analysis": ("delay_rate DESC, route",
+                           "route origin dest #total_flights #delay_rate #avg_delay"),
+    "n13_general_stats": ("1", "#total_flights #on_time_pct #delay_pct #cancel_pct #avg_delay_min"),
+}
+
+
+def _answer_part(name: str) -> str:
+    order, columns = ANSWER_ROWS[name]
+    fields = ", ".join(
+        f'"{c[1:]}" := "{c[1:]}"::DECIMAL(20, 2)::VARCHAR' if c[0] == "#" else f'"{c}" := "{c}"'
+        for c in columns.split()
+    )
+    intent = name.split("_", 1)[1]
+    return (
+        f"SELECT '{intent}' AS intent, ROW_NUMBER() OVER (ORDER BY {order}) AS position,"
+        f" to_json(struct_pack({fields}))::VARCHAR AS row FROM {name}"
+    )
+
+
+SQL["n15_answer_rows"] = (
+    ", " + ", ".join(f"{name} AS ({SQL[name].lstrip().removeprefix(',')})" for name in ANSWER_ROWS
+                     if not SQL[name].lstrip().startswith(","))
+    + " " + " UNION ALL ".join(map(_answer_part, ANSWER_ROWS))
+)
 SQL["n14_insights"] = INSIGHTS + "SELECT * FROM insight"
 OPENINGS = {
     "best_airline": (

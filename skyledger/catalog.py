@@ -402,9 +402,14 @@ QUERIES: dict[str, Query] = {
         t.flights, t.carriers, t.airports, t.calendar, ROUTE_MIN_FLIGHTS
     ),
     "n13_general_stats": _intent("general_stats"),
-    "n14_insights": lambda t: questions.insights(t.flights, t.carriers),
+    "n14_insights": lambda t: questions.insights(
+        t.flights, t.carriers, route_min_flights=ROUTE_MIN_FLIGHTS
+    ),
     "n15_answer_questions": lambda t: questions.answer_questions(
-        asked(t), t.flights, t.carriers
+        asked(t), t.flights, t.carriers, route_min_flights=ROUTE_MIN_FLIGHTS
+    ),
+    "n15_answer_rows": lambda t: questions.answer_rows(
+        t.flights, t.carriers, t.airports, t.calendar, ROUTE_MIN_FLIGHTS
     ),
     "n16_sample_questions": sample_question_use,
     # Chart data

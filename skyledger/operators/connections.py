@@ -40,7 +40,11 @@ def connections(
     placed = [F.col(c).isNotNull() for c in ("flight_date", "origin", "dest", "arr_time")]
     legs = flights.filter(reduce(Column.__and__, placed, F.col("cancelled") == 0))
     if date is not None:
-        legs = legs.filter(F.col("flight_date") == F.lit(date).cast("date"))
+        day = F.lit(date).cast("date")
+        # The tables are laid out by year and month: the folders of other dates are not opened.
+        folders = [F.col(c) == f(day) for c, f in (("year", F.year), ("month", F.month))
+                   if c in flights.columns]
+        legs = legs.filter(reduce(Column.__and__, folders, F.col("flight_date") == day))
     clock = _minutes if clock_minutes else F.col
     legs = legs.select(
         "flight_date",

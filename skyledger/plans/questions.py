@@ -22,6 +22,7 @@ from skyledger.functions.fixed_values import (
 from skyledger.functions.numeric import asc, desc, pct, ratio, round_to
 from skyledger.operators.longform import rows_from_columns
 from skyledger.operators.lookup import with_airport, with_carrier
+from skyledger.operators.scoring import position_by
 from skyledger.operators.topk import top_k
 from skyledger.plans import service
 
@@ -195,12 +196,47 @@ INTENT_ROWS: dict[str, Callable[..., DataFrame]] = {
 }
 
 
+def answer_rows(
+    flights: DataFrame,
+    carriers: DataFrame,
+    airports: DataFrame,
+    calendar: DataFrame,
+    route_min_flights: int = 500,
+) -> DataFrame:
+    """The rows behind every answer: (intent, position, row), a row as JSON text.
+
+    Numbers are written with two decimals. The results are short lists of aggregates.
+    """
+    found = []
+    for intent, rows_of in INTENT_ROWS.items():
+        extra = {"min_flights": route_min_flights} if intent == "route_analysis" else {}
+        rows = rows_of(flights, carriers, airports, calendar, **extra)
+        fields = [
+            F.col(c) if kind == "string" else F.col(c).cast("decimal(20, 2)").cast("string").alias(c)
+            for c, kind in rows.dtypes
+        ]
+        row = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+        found.append(
+            rows.select(row.alias("row"), F.monotonically_increasing_id().alias("place")).select(
+                F.lit(intent).alias("intent"), position_by("place").alias("position"), "row"
+            )
+        )
+    return reduce(DataFrame.union, found)
+
+
 # One sentence per intent.
 
 
-def insights(flights: DataFrame, carriers: DataFrame) -> DataFrame:
+def insights(
+    flights: DataFrame,
+    carriers: DataFrame,
+    airport_min_flights: int = 1000,
+    route_min_flights: int = 500,
+) -> DataFrame:
     """One (intent, insight) row per intent, from a single scan of the flights.
 
+    The thresholds are those of the rows behind the airport and route answers.
+
     Grouping sets give the figures per carrier, hour, origin and route and over
     everything; the leading row of each is then picked by an ordered minimum.
     Intents whose rows need no comment have an empty insight.
@@ -265,12 +301,12 @@ def insights(flights: DataFrame, carriers: DataFrame) -> DataFrame:
         ),
         "delay_causes": _leading_cause(),
         "weather_delays": F.when(has_completed, ""),
-        "airport_comparison": F.when(F.col("origin_max") >= 1000, ""),
+        "airport_comparison": F.when(F.col("origin_max") >= airport_min_flights, ""),
         "busiest_airport": F.when(F.col("all.n") > 0, ""),
         "cancellation_info": F.when(cancelled, ""),
         "monthly_trends": F.when(has_completed, ""),
         "seasonal": F.when(has_completed, ""),
-        "route_analysis": F.when(F.col("route_max") >= 500, ""),
+        "route_analysis": F.when(F.col("route_max") >= route_min_flights, ""),
         "general_stats": F.concat(
             F.lit("The dataset contains "), _grouped("all.n"), F.lit(" flights. On-time: "),
             _text("all.on_time_pct"), F.lit("%, Delayed: "), _text("all.delay_pct"),
@@ -308,12 +344,12 @@ def _grouped(column: str) -> Column:
     return F.format_number(F.col(column), 0)
 
 
-def answers(flights: DataFrame, carriers: DataFrame) -> DataFrame:
+def answers(flights: DataFrame, carriers: DataFrame, **thresholds: int) -> DataFrame:
     """One row per intent: the full answer text and the chart that suits it."""
     opening = F.create_map(*[F.lit(x) for kv in INTENT_OPENINGS.items() for x in kv])
     chart = F.create_map(*[F.lit(x) for kv in INTENT_CHARTS.items() for x in kv])
     comment = F.when(F.col("insight") == "", "").otherwise(F.concat(F.lit("\n\n"), "insight"))
-    return insights(flights, carriers).select(
+    return insights(flights, carriers, **thresholds).select(
         "intent",
         F.concat(opening[F.col("intent")], comment).alias("answer"),
         chart[F.col("intent")].alias("chart_type"),
@@ -321,7 +357,11 @@ def answers(flights: DataFrame, carriers: DataFrame) -> DataFrame:
 
 
 def answer_questions(
-    questions: DataFrame, flights: DataFrame, carriers: DataFrame, text: str = "question"
+    questions: DataFrame,
+    flights: DataFrame,
+    carriers: DataFrame,
+    text: str = "question",
+    **thresholds: int,
 ) -> DataFrame:
     """Every question with its intent, answer and chart type.
 
@@ -330,4 +370,4 @@ def answer_questions(
     behind an answer come from ``INTENT_ROWS``.
     """
     classified = with_intent(questions, text)
-    return classified.join(F.broadcast(answers(flights, carriers)), "intent")
+    return classified.join(F.broadcast(answers(flights, carriers, **thresholds)), "intent")
