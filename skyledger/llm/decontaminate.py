@@ -6,7 +6,7 @@ has seeds all along even where its grams are common, as those of a leaked item a
 join passages to items, and tasks align each pair word by word, many pairs at once. A pair counts
 if its best local alignment reaches half of what the whole item would score.
 
-The scans test grams against a bitmap of fixed size (``BITMAP_ROWS`` words of 64 bits), which
+The scans test grams against a bitmap of fixed size (see ``prune``), which
 a benchmark of any size can fill: beyond it more chance hits reach the joins, which drop them.
 
 Defined cases: words are compared in lower case (A-Z); null and empty texts hold nothing; items
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.prune import BITMAP_ROWS, without
+from skyledger.llm.prune import bitmap_array, hits, without
 from skyledger.llm.runs import documents
 from skyledger.llm.text import LOWER, Slice, Words, gram_hashes, signed, slices
 from skyledger.session import drop_paths, write_shared
@@ -87,40 +87,19 @@ def item_table(benchmark: DataFrame) -> DataFrame:
     )
 
 
-def bitmap(keys: DataFrame) -> np.ndarray:
-    """Bits of the values of column ``gram``, as ``BITMAP_ROWS`` words of 64 bits."""
-    table = (
-        keys.selectExpr(
-            f"gram & {BITMAP_ROWS - 1} AS word",
-            "shiftleft(1L, cast(shiftrightunsigned(gram, 19) & 63 AS int)) AS bit",
-        )
-        .groupBy("word")
-        .agg(F.bit_or("bit").alias("bits"))
-        .toArrow()
-    )
-    bits = np.zeros(BITMAP_ROWS, np.uint64)
-    bits[table["word"].to_numpy()] = table["bits"].to_numpy().view(np.uint64)
-    return bits
-
-
-def _hits(grams: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    word = bits[grams & np.uint64(BITMAP_ROWS - 1)]
-    return (word >> ((grams >> np.uint64(19)) & np.uint64(63)) & np.uint64(1)).astype(bool)
-
-
 def gram_counts(docs: DataFrame, grams: DataFrame) -> DataFrame:
     """(gram, n): how often each value of ``grams`` (column gram) occurs in all documents.
 
     Under a null gram n is the number of all words.
     """
-    bits = docs.sparkSession.sparkContext.broadcast(bitmap(grams))
+    bits = bitmap_array(grams, F.col("gram"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch.column(0)):
                 words, hashes = _lowered(part)
                 found = gram_hashes(hashes, GRAM)[words.gram_starts(GRAM)]
-                found, n = np.unique(found[_hits(found, bits.value)], return_counts=True)
+                found, n = np.unique(found[hits(found, bits.value)], return_counts=True)
                 gram = pa.array([None, *signed(found).tolist()], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [gram, pa.array([len(words), *n.tolist()], pa.int64())], names=["gram", "n"]
@@ -159,7 +138,7 @@ def seeds(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def passages(docs: DataFrame, keys: DataFrame, reach: int) -> DataFrame:
     """Stretches of documents within ``reach`` words of a seed, with the seeds they hold."""
-    bits = docs.sparkSession.sparkContext.broadcast(bitmap(keys))
+    bits = bitmap_array(keys, F.col("gram"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,7 +146,7 @@ def passages(docs: DataFrame, keys: DataFrame, reach: int) -> DataFrame:
                 words, hashes = _lowered(part)
                 starts = words.gram_starts(GRAM)
                 grams = gram_hashes(hashes, GRAM)[starts]
-                hit = _hits(grams, bits.value)
+                hit = hits(grams, bits.value)
                 at, grams = starts[hit], grams[hit]
                 row = words.row[at]
                 new = np.ones(len(at), bool)
@@ -253,7 +232,7 @@ def _scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, text_hash, item_id, score, end_word: the best alignment of each matching pair."""
     spark = docs.sparkSession
-    docs = documents(docs)
+    docs = documents(docs).withColumn("doc_id", F.col("doc_id").cast("bigint"))
     items, items_path = write_shared(item_table(benchmark), "items")
     known, seeds_path = write_shared(seeds(docs, items), "seeds")
     longest = items.agg(F.max("n_words")).first()[0] or 0

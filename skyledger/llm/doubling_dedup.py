@@ -9,7 +9,8 @@ rest is extended to the whole window; of equal windows all but the earliest go.
 longer than that, because a window of 20 words is all that counts.
 
 The earliest occurrence of a window is always in a representative: the first run with the same
-hull contains it too. Documents are ordered by doc_id, null last, then by text.
+hull contains it too. Documents are ordered by doc_id, null last, then by text. A run that hit
+the first level and is not the first of its hull goes without any join.
 
 Defined cases: null text and texts without words have no windows, and nothing is removed; rows
 equal in id and text count as one document, so none of them repeats another; other columns are
@@ -24,129 +25,113 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm import runs
-from skyledger.llm.suffix_dedup import span_lists
+from skyledger.llm.prune import hits, key_bitmap, may_have
 from skyledger.llm.text import Slice, Words, gram_hashes, signed, slices
 from skyledger.session import drop_paths, write_shared
 
 WINDOW = 20
 
 
-def _emit(part: Slice, hulls: bool, window: int = WINDOW) -> tuple:
+def _measure(part: Slice, window: int = WINDOW) -> runs.Runs:
     """The runs of a slice, in words."""
-    words = Words(part)
+    return _measured(part, Words(part), window)
+
+
+def _measured(part: Slice, words: Words, window: int) -> runs.Runs:
     hashes = words.hashes(part.data)
-    anchor = window // 4
-    grams = gram_hashes(hashes, anchor)
-    row, at, first, last = runs.runs(grams, words.begin, window, anchor)
-    lo, hi, hull = at - last, at - first, None
-    if hulls:
-        view = memoryview(hashes).cast("B")
-        hull = runs.hull_digests(view, 8 * first, 8 * (last + window), lo, hi)
-    return row, at - words.begin[row], lo, hi, grams[at], hull
-
-
-def _open_windows(column: pa.Array, first: int, count: int) -> tuple[np.ndarray, ...]:
-    """(row, at, l) of every window of the open runs of some rows of a batch."""
-    some = column.slice(first, count)
-    sizes = np.diff(some.offsets.to_numpy().astype(np.int64))
-    at, lo, hi = (f.to_numpy().astype(np.int64) for f in some.flatten().flatten())
-    row = np.repeat(np.arange(count), sizes)
-    n = hi - lo + 1
-    l = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)  # noqa: E741
-    return np.repeat(row, n), np.repeat(at, n), l
-
-
-def _levels(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The open windows of each document: hash of half the words, digest of all of them."""
-    half = window // 2
-    for batch in batches:
-        for part in slices(batch.column(0)):
-            words = Words(part)
-            hashes = words.hashes(part.data)
-            row, at, l = _open_windows(batch.column(3), part.first, len(part))  # noqa: E741
-            anchor = words.begin[row] + at
-            before = np.maximum(l - half, 0)
-            halves = gram_hashes(hashes, half)
-            view, start = memoryview(hashes).cast("B"), (8 * (anchor - l)).tolist()
-            whole = [xxhash.xxh3_128_digest(view[a : a + 8 * window]) for a in start]
-            rows = pa.array(row + part.first)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(1).take(rows),
-                    batch.column(2).take(rows),
-                    pa.array(at),
-                    pa.array(l),
-                    pa.array(before),
-                    pa.array(signed(halves[anchor - before])),
-                    pa.array(whole, pa.binary()),
-                ],
-                names=["doc_id", "text_hash", "at", "l", "before", "half", "whole"],
-            )
+    grams = gram_hashes(hashes, window // 4)
+    units = memoryview(hashes).cast("B")
+    return runs.find_runs(units, 8, grams, words.begin, window, window // 4)
 
 
-def later_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(own_id, own_hash, spans) of documents with windows that occur earlier, in words.
-
-    ``docs`` is what ``runs.documents`` returns. Spans are as found, and overlap.
-    """
-    found, paths = runs.candidate_runs(docs, partial(_emit, window=window))
-    groups, groups_path = runs.hull_groups(found)
-    whole = (
-        found.join(groups.where("n > 1").select(*runs.HULL, "first"), runs.HULL)
-        .where(runs.place("at") > F.col("first"))
-        .select(
-            "doc_id",
-            "text_hash",
-            (F.col("at") - F.col("hi")).alias("start"),
-            (F.col("at") - F.col("lo") + window).alias("end"),
-        )
-    )
-    open_runs = runs.open_groups(groups, F.lit(False))
-    gathered, gathered_path = write_shared(
-        runs.by_document(open_runs, ["at", "lo", "hi"], "open_runs"), "open-runs"
-    )
-    windows, windows_path = write_shared(
-        runs.with_rows(docs, gathered, "inner")
-        .select("text", "doc_id", "text_hash", "open_runs")
-        .mapInArrow(
-            partial(_levels, window),
-            "doc_id bigint, text_hash bigint, at bigint, l bigint, before bigint, half bigint,"
-            " whole binary",
-        ),
-        "windows",
-    )
-    halves = (
-        windows.select("half", "before", "doc_id", "text_hash", "at")
-        .distinct()
-        .groupBy("half", "before")
-        .count()
-        .where("count > 1")
-        .select("half", "before")
+def _levels(
+    docs: DataFrame, measure: runs.Measure, found: Broadcast, bits: Broadcast, window: int
+) -> DataFrame:
+    """The open windows: hash of half the words, digest of all of them."""
+    half = window // 2
+    names = ["doc_order", "text_hash", "at", "l", "counts", "before", "half", "whole_a", "whole_b"]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = batch.column(2).to_numpy()
+            for part in slices(batch.column(0)):
+                own = measure(part)
+                halves = gram_hashes(np.frombuffer(own.units, np.uint64), half)
+                own = runs.open_runs(own, hashes[part.first :], bits, found)
+                n = own.last - own.first + 1
+                index = np.repeat(np.arange(len(n)), n)
+                start = own.first[index] + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                at = own.anchor[index]
+                before = np.maximum(at - start - half, 0)
+                whole = own.digests(start, start + window, np.zeros_like(start))
+                rows = pa.array(own.row[index] + part.first)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(1).take(rows),
+                        batch.column(2).take(rows),
+                        pa.array(at - own.begin[own.row[index]]),
+                        pa.array((at - start).astype(np.int32)),
+                        pa.array((before > 0) | (start == own.last[index])),
+                        pa.array(before),
+                        pa.array(signed(halves[at - before])),
+                        pa.array(whole[:, 0]),
+                        pa.array(whole[:, 1]),
+                    ],
+                    names=names,
+                )
+
+    return docs.select("text", "doc_order", "text_hash").mapInArrow(
+        scan,
+        "doc_order bigint, text_hash bigint, at bigint, l int, counts boolean, before bigint,"
+        " half bigint,"
+        " whole_a bigint, whole_b bigint",
     )
-    longer = windows.join(halves, ["half", "before"])
-    own = runs.place(F.col("at") - F.col("l"))
+
+
+def _later_windows(windows: DataFrame, window: int) -> DataFrame:
+    """Stretches (doc_order, text_hash, start, end) of windows that occur earlier as well."""
+    # Windows of a run that have their anchor early share one half, which counts once.
+    spread = F.col("half").bitwiseXOR(F.col("before"))
+    halves = windows.where("counts").groupBy("half", "before").count().where("count > 1")
+    bitmap, path = key_bitmap(halves, spread)
+    longer = may_have(windows, spread, bitmap)
+    start = (F.col("at") - F.col("l")).alias("start")
+    own = F.struct("doc_order", "text_hash", "start")
+    longer = longer.select("doc_order", "text_hash", start, "whole_a", "whole_b")
     earliest = (
-        longer.groupBy("whole")
+        longer.groupBy("whole_a", "whole_b")
         .agg(F.count("*").alias("n"), F.min(own).alias("earliest"))
         .where("n > 1")
         .drop("n")
     )
-    start = F.col("at") - F.col("l")
-    single = (
-        longer.join(earliest, "whole")
+    later = (
+        longer.join(earliest, ["whole_a", "whole_b"])
         .where(own > F.col("earliest"))
-        .select("doc_id", "text_hash", start.alias("start"), (start + window).alias("end"))
-    )
-    spans, _ = write_shared(
-        runs.by_document(whole.union(single), ["start", "end"], "spans"), "later-spans"
+        .select("doc_order", "text_hash", "start", (F.col("start") + window).alias("end"))
     )
-    drop_paths(docs.sparkSession, [*paths, groups_path, gathered_path, windows_path])
-    return spans
+    later, _ = write_shared(later, "later-windows")
+    drop_paths(windows.sparkSession, [path])
+    return later
+
+
+def later_repeats(docs: DataFrame, window: int) -> tuple[DataFrame, Broadcast]:
+    """``docs`` with the lists that ``runs.stretches`` takes, and the bitmap of repeated keys."""
+    measure = partial(_measure, window=window)
+    found = runs.key_bits(docs, measure)
+    groups, groups_path = runs.hull_groups(docs, measure, found)
+    bits = runs.open_bits(groups, F.lit(False))
+    windows, windows_path = write_shared(_levels(docs, measure, found, bits, window), "windows")
+    later = _later_windows(windows, window)
+    places = runs.by_document(groups.select("first.*"), F.col("place"), "places")
+    spans = runs.by_document(later, F.struct("start", "end"), "spans")
+    listed = runs.with_lists(docs, places, spans)
+    drop_paths(docs.sparkSession, [groups_path, windows_path])
+    return listed, found
 
 
 def _kept(data: np.ndarray, words: Words, row: int, keep: np.ndarray) -> bytes:
@@ -159,25 +144,27 @@ def _kept(data: np.ndarray, words: Words, row: int, keep: np.ndarray) -> bytes:
 
 def word_digests(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 of each row of ``docs``."""
-    docs = runs.documents(docs)
-    spans = later_spans(docs, window)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    listed, found = later_repeats(runs.documents(docs), window)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = span_lists(batch.column(2))
             n_words, n_removed, sha = [], [], []
-            for part in slices(batch.column(1)):
+            for part in slices(batch.column(0)):
                 words = Words(part)
-                for i in range(len(part)):
+                own = _measured(part, words, window)
+                own = own.pick(hits(signed(own.key), found.value))
+                lists = (batch.column(i).slice(part.first, len(part)) for i in (1, 2))
+                for i, (starts, ends) in enumerate(runs.stretches(own, len(part), *lists)):
                     keep = np.ones(words.counts[i], bool)
-                    for a, b in zip(*next(lists), strict=True):
+                    for a, b in zip(starts, ends, strict=True):
                         keep[a:b] = False
                     n_words.append(len(keep))
                     n_removed.append(len(keep) - int(keep.sum()))
                     sha.append(hashlib.sha256(_kept(part.data, words, i, keep)).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
+                    batch.column(3),
                     pa.array(n_words, pa.int64()),
                     pa.array(n_removed, pa.int64()),
                     pa.array(sha, pa.string()),
@@ -185,10 +172,6 @@ def word_digests(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 names=["doc_id", "n_words", "n_removed", "kept_sha256"],
             )
 
-    return (
-        runs.with_rows(docs, spans, "left")
-        .select("doc_id", "text", "spans")
-        .mapInArrow(
-            digest, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
-        )
+    return listed.select("text", "places", "spans", "doc_id").mapInArrow(
+        digest, f"doc_id {kind}, n_words bigint, n_removed bigint, kept_sha256 string"
     )

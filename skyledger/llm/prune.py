@@ -7,6 +7,8 @@ bits every row hits it, and the joins do all the work.
 
 from __future__ import annotations
 
+import numpy as np
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +37,27 @@ def key_bitmap(keys: DataFrame, key: Column) -> tuple[DataFrame, str]:
     )
 
 
+def bitmap_array(keys: DataFrame, key: Column) -> Broadcast:
+    """The bits of all values of ``key`` as a broadcast array, for tasks that scan in numpy."""
+    row, bit = _bit(key)
+    table = (
+        keys.select(row.alias("bits_row"), bit.alias("bit"))
+        .groupBy("bits_row")
+        .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+        .toArrow()
+    )
+    bits = np.zeros(BITMAP_ROWS, np.uint64)
+    bits[table["bits_row"].to_numpy()] = table["bits"].to_numpy().view(np.uint64)
+    return keys.sparkSession.sparkContext.broadcast(bits)
+
+
+def hits(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which of some 64-bit keys hit the array of a bitmap."""
+    keys = keys.view(np.uint64)
+    word = bits[keys & np.uint64(BITMAP_ROWS - 1)]
+    return (word >> ((keys >> np.uint64(19)) & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
 def may_have(rows: DataFrame, key: Column, bitmap: DataFrame) -> DataFrame:
     """The rows that hit the bitmap."""
     return _marked(rows, key, bitmap, "inner").where("__hit").drop("__hit")

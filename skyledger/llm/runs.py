@@ -7,185 +7,248 @@ are not handled one by one: neighbours with the same lowest gram, their anchor,
 ``at - lo``. Two equal windows lie in runs with equal anchor hashes (``key``), and runs with
 equal hulls (all units from the first window's start to the last one's end) are equal throughout.
 
+Texts stay where they are. Each pass scans them anew, recomputes the runs and picks those that
+hit a bitmap of fixed size made from the pass before; only narrow rows about them are shuffled:
+
+1. keys are counted; a run whose key occurs once is finished;
+2. of the others, hulls are grouped: n occurrences, and the first of them;
+3. firsts whose key has another hull are open: their windows are compared one by one, by each
+   operator in its own way;
+4. each document gets the places of its firsts and of its single windows. What else of it hit the
+   bitmap of step 1 is a further occurrence, without any join.
+
+A run that hits a bitmap by chance is a true run of its document: it is the first and only one of
+its hull, and its windows are compared with the others as they should.
+
 A document is known by (doc_id, text_hash), so rows that repeat an id with another text stay
-apart, and a null id is an id like others.
+apart. A null id comes last in the order of documents.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.prune import key_bitmap, may_have, surely_not
+from skyledger.llm.prune import bitmap_array, hits, key_bitmap, may_have, surely_not
 from skyledger.llm.text import Slice, signed, sliding_min, slices
-from skyledger.session import write_shared
+from skyledger.session import drop_paths, write_shared
 
-RUN_SCHEMA = (
-    "doc_id bigint, text_hash bigint, at bigint, lo int, hi int, key bigint, hull_a bigint,"
-    " hull_b bigint"
-)
-HULL = ["hull_a", "hull_b"]
 _POSITION = np.uint64(0xFFFFFFFF)
+#: A place is at, hi and lo in one number: 43, 10 and 10 bits.
+_OFFSET = 10
+
 
+@dataclass
+class Runs:
+    """Runs of the rows of a slice, by unit of the whole slice.
 
-def runs(
-    grams: np.ndarray, begin: np.ndarray, window: int, gram: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, anchor, first, last) of the runs of windows of each row.
+    ``units`` holds the units end to end, ``width`` bytes each; ``begin`` is the first unit of
+    each row.
+    """
+
+    units: memoryview
+    width: int
+    window: int
+    begin: np.ndarray
+    row: np.ndarray
+    anchor: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    key: np.ndarray
+
+    def pick(self, chosen: np.ndarray) -> Runs:
+        parts = (x[chosen] for x in (self.row, self.anchor, self.first, self.last, self.key))
+        return Runs(self.units, self.width, self.window, self.begin, *parts)
+
+    @property
+    def place(self) -> np.ndarray:
+        """at, hi and lo of each run in one number, within its row."""
+        at = self.anchor - self.begin[self.row]
+        offsets = (self.anchor - self.first) << _OFFSET | (self.anchor - self.last)
+        return at << 2 * _OFFSET | offsets
+
+    def digests(self, start: np.ndarray, end: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+        """128 bits of each stretch of units and its seed, as two columns."""
+        places = zip((start * self.width).tolist(), (end * self.width).tolist(), seeds.tolist(), strict=True)
+        view = self.units
+        found = b"".join([xxhash.xxh3_128_digest(view[a:b], seed) for a, b, seed in places])
+        return np.frombuffer(found, "<i8").reshape(-1, 2)
+
+    def hulls(self) -> np.ndarray:
+        """Digests of the hulls together with their offsets."""
+        offsets = self.place & ((1 << 2 * _OFFSET) - 1)
+        return self.digests(self.first, self.last + self.window, offsets)
+
+
+def find_runs(
+    units: memoryview, width: int, grams: np.ndarray, begin: np.ndarray, window: int, gram: int
+) -> Runs:
+    """All runs of a slice. ``grams`` has the hash of each gram by its first unit.
 
-    ``grams`` has the hash of each gram by its first unit, ``begin`` the first unit of each row.
     Of equally low grams the first is the anchor.
     """
     counts = np.maximum(np.diff(begin) - window + 1, 0)
     total = int(counts.sum())
     if not total:
-        return (np.zeros(0, np.int64),) * 4
+        none = np.zeros(0, np.int64)
+        return Runs(units, width, window, begin, none, none, none, none, none.view(np.uint64))
     row = np.repeat(np.arange(len(counts)), counts)
     start = np.arange(total) + np.repeat(begin[:-1] - (np.cumsum(counts) - counts), counts)
-    place = np.arange(len(grams), dtype=np.uint64)
-    low = sliding_min((grams & ~_POSITION) | place, window - gram + 1)
+    places = np.arange(len(grams), dtype=np.uint64)
+    low = sliding_min((grams & ~_POSITION) | places, window - gram + 1)
     anchor = (low[start] & _POSITION).astype(np.int64)
     first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
     last = np.append(first[1:], total) - 1
-    return row[first], anchor[first], start[first], start[last]
+    at = anchor[first]
+    return Runs(units, width, window, begin, row[first], at, start[first], start[last], grams[at])
+
+
+Measure = Callable[[Slice], Runs]
+DOC_ORDER = "ifnull(CAST(doc_id AS bigint), 9223372036854775807)"
 
 
 def documents(docs: DataFrame) -> DataFrame:
-    """doc_id, text and the hash that tells texts of one id apart."""
+    """doc_order, text_hash, doc_id and text. A null id has the highest order."""
     return docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.coalesce("text", F.lit("")).alias("text"),
+        F.expr(DOC_ORDER).alias("doc_order"),
         F.xxhash64("text").alias("text_hash"),
+        "doc_id",
+        F.coalesce("text", F.lit("")).alias("text"),
     )
 
 
-def hull_digests(
-    data: memoryview, start: np.ndarray, end: np.ndarray, lo: np.ndarray, hi: np.ndarray
-) -> np.ndarray:
-    """128 bits of each stretch of ``data`` together with its offsets, as two columns."""
-    seeds = (lo.astype(np.int64) << 32) | hi
-    places = zip(start.tolist(), end.tolist(), seeds.tolist(), strict=True)
-    found = b"".join([xxhash.xxh3_128_digest(data[a:b], seed) for a, b, seed in places])
-    return np.frombuffer(found, "<i8").reshape(-1, 2)
+def key_bits(docs: DataFrame, measure: Measure) -> Broadcast:
+    """Bitmap of the keys that occur at least twice."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch.column(0)):
+                key = pa.array(signed(measure(part).key))
+                yield pa.RecordBatch.from_arrays([key], names=["key"])
+
+    keys = docs.select("text").mapInArrow(scan, "key bigint")
+    repeated = keys.groupBy("key").count().where("count > 1")
+    return bitmap_array(repeated, F.col("key"))
+
 
+HULL = ["hull_a", "hull_b"]
 
-Emit = Callable[[Slice], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
+def hull_groups(docs: DataFrame, measure: Measure, bits: Broadcast) -> tuple[DataFrame, str]:
+    """One row for each hull: n occurrences, key, and ``first`` (doc_order, text_hash, place).
 
-def run_rows(docs: DataFrame, emit: Emit, hulls: bool) -> DataFrame:
-    """The runs of all documents (RUN_SCHEMA), or only their keys."""
+    Written to shared storage. A group of any size is combined before the shuffle.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch.column(0)):
-                row, at, lo, hi, key, hull = emit(part, hulls)
-                if not hulls:
-                    yield pa.RecordBatch.from_arrays([pa.array(signed(key))], names=["key"])
-                    continue
-                rows = pa.array(row + part.first)
+                runs = measure(part)
+                runs = runs.pick(hits(signed(runs.key), bits.value))
+                hull, rows = runs.hulls(), pa.array(runs.row + part.first)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(1).take(rows),
                         batch.column(2).take(rows),
-                        pa.array(at),
-                        pa.array(lo.astype(np.int32)),
-                        pa.array(hi.astype(np.int32)),
-                        pa.array(signed(key)),
+                        pa.array(runs.place),
+                        pa.array(signed(runs.key)),
                         pa.array(hull[:, 0]),
                         pa.array(hull[:, 1]),
                     ],
-                    names=["doc_id", "text_hash", "at", "lo", "hi", "key", *HULL],
+                    names=["doc_order", "text_hash", "place", "key", *HULL],
                 )
 
-    if not hulls:
-        return docs.select("text").mapInArrow(scan, "key bigint")
-    return docs.select("text", "doc_id", "text_hash").mapInArrow(scan, RUN_SCHEMA)
-
-
-def candidate_runs(docs: DataFrame, emit: Emit) -> tuple[DataFrame, list[str]]:
-    """The runs whose key occurs at least twice, written to shared storage; paths to drop.
-
-    Keys are counted first, by themselves. Repeated keys set bits of a bitmap of fixed size, which
-    is small enough to broadcast for any input; runs that miss it are not shuffled. A run that
-    hits the bitmap by chance has a hull and key of its own and drops out later.
-    """
-    repeated = run_rows(docs, emit, False).groupBy("key").count().where("count > 1")
-    bitmap, bitmap_path = key_bitmap(repeated, F.col("key"))
-    found = may_have(run_rows(docs, emit, True), F.col("key"), bitmap)
-    written, path = write_shared(found, "runs")
-    return written, [bitmap_path, path]
-
-
-def hull_groups(found: DataFrame) -> tuple[DataFrame, str]:
-    """One row for each hull: n occurrences, key, lo, hi and the first (doc_id, text_hash, at).
-
-    Written to shared storage. A null id comes last, as the largest. A group of any size is
-    combined before the shuffle.
-    """
+    found = docs.select("text", "doc_order", "text_hash").mapInArrow(
+        scan,
+        "doc_order bigint, text_hash bigint, place bigint, key bigint, hull_a bigint,"
+        " hull_b bigint",
+    )
     groups = found.groupBy(*HULL).agg(
         F.count("*").alias("n"),
         F.max("key").alias("key"),
-        F.max("lo").alias("lo"),
-        F.max("hi").alias("hi"),
-        F.min(place("at")).alias("first"),
+        F.min(F.struct("doc_order", "text_hash", "place")).alias("first"),
     )
     return write_shared(groups, "hulls")
 
 
-def place(at: str | Column) -> Column:
-    """What documents and places in them are ordered by."""
-    return F.struct(
-        F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_order"),
-        "text_hash",
-        (F.col(at) if isinstance(at, str) else at).alias("at"),
-        "doc_id",
-    )
-
-
-def open_groups(groups: DataFrame, settled: Column) -> DataFrame:
-    """First members of the groups that share their key with another hull.
-
-    Keys all of whose groups are ``settled`` are left out.
-    """
+def open_bits(groups: DataFrame, settled: Column) -> Broadcast:
+    """Bitmap of the firsts whose key has another hull, unless all of the key are ``settled``."""
     keys = (
         groups.groupBy("key")
         .agg(F.count("*").alias("hulls"), F.every(settled).alias("settled"))
         .where("hulls > 1 AND NOT settled")
-        .select("key")
-    )
-    return groups.join(keys, "key").select(
-        "lo", "hi", "n", "first.doc_id", "first.text_hash", "first.at"
     )
+    bitmap, path = key_bitmap(keys, F.col("key"))
+    opened = may_have(groups, F.col("key"), bitmap)
+    bits = bitmap_array(opened, F.expr("hull_a ^ first.text_hash ^ first.place"))
+    drop_paths(groups.sparkSession, [path])
+    return bits
+
 
+def open_runs(runs: Runs, text_hash: np.ndarray, bits: Broadcast, found: Broadcast) -> Runs:
+    """The open runs of a slice; ``text_hash`` by row."""
+    runs = runs.pick(hits(signed(runs.key), found.value))
+    own = runs.hulls()[:, 0] ^ text_hash[runs.row] ^ runs.place
+    return runs.pick(hits(own, bits.value))
 
-def by_document(rows: DataFrame, columns: list[str], name: str) -> DataFrame:
-    """Rows gathered for each document; there are never more than the document has windows."""
-    return rows.groupBy(
-        F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash")
-    ).agg(F.collect_list(F.struct(*columns)).alias(name))
 
+def by_document(rows: DataFrame, value: Column, name: str) -> DataFrame:
+    """Values of rows (doc_order, text_hash, ...) gathered for each document.
 
-SAME_DOCUMENT = "doc_id <=> own_id AND text_hash = own_hash"
+    There are never more than the document has windows.
+    """
+    return rows.groupBy("doc_order", "text_hash").agg(F.collect_list(value).alias(name))
 
 
-def _document_key(doc_id: str, text_hash: str) -> Column:
-    return F.xxhash64(doc_id, text_hash)
+def with_lists(docs: DataFrame, places: DataFrame, spans: DataFrame) -> DataFrame:
+    """``docs`` with the lists ``places`` and ``spans`` of each document, null where it has none.
+
+    Documents that have neither do not move: a bitmap of the others tells most of them.
+    """
+    own = ["doc_order", "text_hash"]
+    lists, _ = write_shared(places.join(spans, own, "full"), "document-lists")
+    bitmap, _ = key_bitmap(lists, F.xxhash64(*own))
+    moved = may_have(docs, F.xxhash64(*own), bitmap).hint("merge").join(lists, own, "left")
+    others = surely_not(docs, F.xxhash64(*own), bitmap)
+    return moved.unionByName(others, allowMissingColumns=True)
 
 
-def with_rows(docs: DataFrame, gathered: DataFrame, how: str) -> DataFrame:
-    """``docs`` joined to their rows of ``by_document``, "inner" or "left".
+def stretches(runs: Runs, rows: int, places: pa.Array, spans: pa.Array) -> Iterator[tuple]:
+    """Per row of a slice the merged (starts, ends), in units, of what repeats.
 
-    Documents without any do not move: a bitmap of the others' keys tells most of them.
+    These are the runs that are not at one of ``places``, and the ``spans`` (start, end).
     """
-    bitmap, _ = key_bitmap(gathered, _document_key("own_id", "own_hash"))
-    key = _document_key("doc_id", "text_hash")
-    found = may_have(docs, key, bitmap).hint("merge").join(gathered, F.expr(SAME_DOCUMENT), how)
-    if how == "inner":
-        return found
-    others = surely_not(docs, key, bitmap)
-    return found.unionByName(others, allowMissingColumns=True)
+    place, bound = runs.place, np.searchsorted(runs.row, np.arange(rows + 1))
+    at = runs.anchor - runs.begin[runs.row]
+    start = at - (runs.anchor - runs.first)
+    end = at - (runs.anchor - runs.last) + runs.window
+    kept, singles = places.fill_null([]), spans.fill_null([])
+    kept_values, kept_ends = kept.values.to_numpy(), kept.offsets.to_numpy()
+    span_ends = singles.offsets.to_numpy()
+    span_start, span_end = (x.to_numpy(zero_copy_only=False) for x in singles.values.flatten())
+    for i in range(rows):
+        a, b = bound[i], bound[i + 1]
+        c, d = span_ends[i], span_ends[i + 1]
+        own = kept_values[kept_ends[i] : kept_ends[i + 1]]
+        more = ~np.isin(place[a:b], own) if len(own) else np.ones(b - a, bool)
+        yield merged(
+            np.concatenate([start[a:b][more], span_start[c:d]]),
+            np.concatenate([end[a:b][more], span_end[c:d]]),
+        )
+
+
+def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Overlapping and touching stretches as maximal ones."""
+    if not len(starts):
+        return starts, ends
+    order = np.argsort(starts, kind="stable")
+    starts, reach = starts[order], np.maximum.accumulate(ends[order])
+    first = np.concatenate([[True], starts[1:] > reach[:-1]])
+    return starts[first], reach[np.append(np.flatnonzero(first)[1:], len(starts)) - 1]

@@ -12,12 +12,12 @@ neighbouring suffixes move through the first passes as one run:
 3. the rest of each window to the left and right of the core: 31 bytes, by themselves.
 
 Every pass counts equal keys with a combine before the shuffle, so a passage or a group of
-copies that fills a third of the input is a count, not a group in one task. Positions go back to
-their documents by joins that adaptive execution splits.
+copies that fills a third of the input is a count, not a group in one task. Further occurrences
+need no join back: a run that hit the first pass and is not the only one of its hull is repeated.
 
 Defined cases: null text is empty; texts shorter than a window lose nothing; windows do not
 cross documents; two rows equal in id and text repeat each other; other columns are ignored by
-``repeated_spans`` and kept by ``remove_repeats``; an empty table gives no rows.
+``span_digests`` and kept by ``remove_repeats``; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,15 +27,14 @@ from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from skyledger.llm import runs
-from skyledger.llm.text import Slice, SpanHash, slices
+from skyledger.llm.prune import hits
+from skyledger.llm.text import Slice, SpanHash, signed, slices
 from skyledger.session import drop_paths, write_shared
 
 WINDOW = 400
@@ -44,140 +43,122 @@ ANCHOR = 100
 NEAR = 32
 
 
-def _emit(part: Slice, hulls: bool, window: int = WINDOW, anchor: int = ANCHOR) -> tuple:
-    """The runs of a slice: row, place of the anchor, offsets, anchor hash, hull digest."""
+def _measure(part: Slice, window: int = WINDOW, anchor: int = ANCHOR) -> runs.Runs:
+    """The runs of a slice, in bytes."""
     grams = SpanHash(part.data).grams(anchor)
-    row, at, first, last = runs.runs(grams, part.offsets, window, anchor)
-    lo, hi = at - last, at - first
-    hull = runs.hull_digests(memoryview(part.data), first, last + window, lo, hi) if hulls else None
-    return row, at - part.offsets[row], lo, hi, grams[at], hull
-
-
-def _core_rows(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each open run of a document its parts of ``NEAR`` offsets: core and margins."""
-    names = ["core", "l0", "doc_id", "text_hash", "at", "lo", "hi", "lone", "left", "right"]
-    for batch in batches:
-        rows: list[tuple] = []
-        open_runs = batch.column(3).to_pylist()
-        ids, hashes = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-        for part in slices(batch.column(0)):
-            for i in range(len(part)):
-                data, n = part.bytes_of(i), part.first + i
-                for run in open_runs[n]:
-                    at, first, last = run["at"], run["lo"], run["hi"]
-                    for l0 in range(first // NEAR * NEAR, last + 1, NEAR):
-                        l1, lo, hi = l0 + NEAR - 1, max(first, l0), min(last, l0 + NEAR - 1)
-                        core = xxhash.xxh3_128_digest(data[at - l0 : at - l1 + window])
-                        left = data[at - hi : at - l0]
-                        right = data[at - l1 + window : at - lo + window]
-                        rows.append(
-                            (core, l0, ids[n], hashes[n], at, lo, hi, run["n"] == 1, left, right)
-                        )
-            if len(rows) > 50_000:
-                yield _core_batch(rows, names)
-                rows = []
-        yield _core_batch(rows, names)
-
-
-def _core_batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-    kinds = [pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(),
-             pa.bool_(), pa.binary(), pa.binary()]
-    columns = list(zip(*rows, strict=True)) or [()] * len(names)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names
+    return runs.find_runs(memoryview(part.data), 1, grams, part.offsets, window, anchor)
+
+
+def _cores(docs: DataFrame, measure: runs.Measure, found: Broadcast, bits: Broadcast) -> DataFrame:
+    """The open runs in parts of ``NEAR`` offsets: digest of the core, margins left and right."""
+    names = ["core_a", "core_b", "l0", "doc_order", "text_hash", "at", "lo", "hi", "left", "right"]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = batch.column(2).to_numpy()
+            for part in slices(batch.column(0)):
+                own = measure(part)
+                own = runs.open_runs(own, hashes[part.first :], bits, found)
+                lowest, highest = own.anchor - own.last, own.anchor - own.first
+                n = highest // NEAR - lowest // NEAR + 1
+                index = np.repeat(np.arange(len(n)), n)
+                step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                l0 = (lowest[index] // NEAR + step) * NEAR
+                lo, hi = np.maximum(lowest[index], l0), np.minimum(highest[index], l0 + NEAR - 1)
+                at = own.anchor[index]
+                core = own.digests(at - l0, at - l0 - NEAR + 1 + own.window, l0)
+                data = part.data.tobytes()
+                left = zip((at - hi).tolist(), (at - l0).tolist(), strict=True)
+                right = zip((at - l0 - NEAR + 1 + own.window).tolist(),
+                            (at - lo + own.window).tolist(), strict=True)
+                rows = pa.array(own.row[index] + part.first)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(core[:, 0]),
+                        pa.array(core[:, 1]),
+                        pa.array(l0.astype(np.int32)),
+                        batch.column(1).take(rows),
+                        batch.column(2).take(rows),
+                        pa.array(at - part.offsets[own.row[index]]),
+                        pa.array(lo.astype(np.int32)),
+                        pa.array(hi.astype(np.int32)),
+                        pa.array([data[a:b] for a, b in left], pa.binary()),
+                        pa.array([data[a:b] for a, b in right], pa.binary()),
+                    ],
+                    names=names,
+                )
+
+    return docs.select("text", "doc_order", "text_hash").mapInArrow(
+        scan,
+        "core_a bigint, core_b bigint, l0 int, doc_order bigint, text_hash bigint, at bigint,"
+        " lo int, hi int, left binary, right binary",
     )
 
 
 def _spans_of_cores(cores: DataFrame, window: int) -> DataFrame:
-    """Repeated stretches (doc_id, text_hash, start, end) that the second and third pass find."""
-    same = ["core", "l0", "lo", "hi", "left", "right"]
+    """Repeated stretches (doc_order, text_hash, start, end) of the second and third pass."""
+    core = ["core_a", "core_b", "l0"]
+    same = [*core, "lo", "hi", "left", "right"]
     groups = cores.groupBy(*same).agg(
-        F.count("*").alias("n"),
-        F.min(runs.place("at")).alias("first"),
-        F.some("lone").alias("lone"),
+        F.count("*").alias("n"), F.min(F.struct("doc_order", "text_hash", "at")).alias("first")
     )
-    spans = F.col("at") - F.col("hi"), F.col("at") - F.col("lo") + window
-    equal = (
-        cores.where("lone")
-        .join(groups.where("n > 1").select(*same), same)
-        .select("doc_id", "text_hash", spans[0].alias("start"), spans[1].alias("end"))
+    equal = cores.join(groups.where("n > 1").select(*same), same).select(
+        "doc_order",
+        "text_hash",
+        (F.col("at") - F.col("hi")).alias("start"),
+        (F.col("at") - F.col("lo") + window).alias("end"),
     )
     keys = (
-        groups.groupBy("core", "l0")
-        .agg(F.count("*").alias("parts"), F.every(F.expr("n > 1 OR NOT lone")).alias("settled"))
+        groups.groupBy(*core)
+        .agg(F.count("*").alias("parts"), F.every(F.col("n") > 1).alias("settled"))
         .where("parts > 1 AND NOT settled")
-        .select("core", "l0")
+        .select(*core)
     )
     single = (
-        groups.join(keys, ["core", "l0"])
-        .select(*same, "first.doc_id", "first.text_hash", "first.at")
+        groups.join(keys, core)
+        .select(*same, "first.*")
         .withColumn("l", F.explode(F.sequence("lo", "hi")))
         .withColumn("before", F.expr("substring(left, hi - l + 1, l - l0)"))
         .withColumn("after", F.expr(f"substring(right, 1, l0 + {NEAR - 1} - l)"))
-        .drop("left", "right", "lo", "hi")
+        .drop("left", "right", "lo", "hi", "l0")
     )
-    digits = ["core", "l", "before", "after"]
+    digits = ["core_a", "core_b", "l", "before", "after"]
     repeated = single.groupBy(*digits).count().where("count > 1").select(*digits)
     start = F.col("at") - F.col("l")
     last = single.join(repeated, digits).select(
-        "doc_id", "text_hash", start.alias("start"), (start + window).alias("end")
+        "doc_order", "text_hash", start.alias("start"), (start + window).alias("end")
     )
     return equal.union(last)
 
 
-def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """(own_id, own_hash, spans) of documents with repeated windows, spans in bytes.
+def repeats(docs: DataFrame, window: int, anchor: int) -> tuple[DataFrame, Broadcast]:
+    """``docs`` with the lists that ``runs.stretches`` takes, and the bitmap of repeated keys.
 
-    ``docs`` is what ``runs.documents`` returns. Spans are as found, and overlap.
+    ``docs`` has the columns of ``runs.documents`` and may have more.
     """
-    emit = partial(_emit, window=window, anchor=anchor)
-    found, paths = runs.candidate_runs(docs, emit)
-    groups, groups_path = runs.hull_groups(found)
-    open_runs = runs.open_groups(groups, F.col("n") > 1)
-    gathered, gathered_path = write_shared(
-        runs.by_document(open_runs, ["at", "lo", "hi", "n"], "open_runs"), "open-runs"
-    )
-    cores, cores_path = write_shared(
-        runs.with_rows(docs, gathered, "inner")
-        .select("text", "doc_id", "text_hash", "open_runs")
-        .mapInArrow(
-            partial(_core_rows, window),
-            "core binary, l0 int, doc_id bigint, text_hash bigint, at bigint, lo int, hi int,"
-            " lone boolean, left binary, right binary",
-        ),
-        "cores",
-    )
-    whole = found.join(groups.where("n > 1").select(*runs.HULL), runs.HULL).select(
-        "doc_id",
-        "text_hash",
-        (F.col("at") - F.col("hi")).alias("start"),
-        (F.col("at") - F.col("lo") + window).alias("end"),
-    )
-    stretches = whole.union(_spans_of_cores(cores, window))
-    spans, _ = write_shared(
-        runs.by_document(stretches, ["start", "end"], "spans"), "repeated-spans"
+    measure = partial(_measure, window=window, anchor=anchor)
+    found = runs.key_bits(docs, measure)
+    groups, groups_path = runs.hull_groups(docs, measure, found)
+    bits = runs.open_bits(groups, F.col("n") > 1)
+    cores, cores_path = write_shared(_cores(docs, measure, found, bits), "cores")
+    span = F.struct("start", "end")
+    spans, spans_path = write_shared(
+        runs.by_document(_spans_of_cores(cores, window), span, "spans"), "spans"
     )
-    drop_paths(docs.sparkSession, [*paths, groups_path, gathered_path, cores_path])
-    return spans
-
-
-def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Overlapping and touching stretches as maximal ones."""
-    if not len(starts):
-        return starts, ends
-    order = np.argsort(starts, kind="stable")
-    starts, reach = starts[order], np.maximum.accumulate(ends[order])
-    first = np.concatenate([[True], starts[1:] > reach[:-1]])
-    return starts[first], reach[np.append(np.flatnonzero(first)[1:], len(starts)) - 1]
+    lone = groups.where("n = 1").select("first.*")
+    listed = runs.with_lists(docs, runs.by_document(lone, F.col("place"), "places"), spans)
+    drop_paths(docs.sparkSession, [groups_path, cores_path, spans_path])
+    return listed, found
 
 
-def span_lists(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Merged (starts, ends) of each row of a list column of (start, end); null has none."""
-    column = column.fill_null([])
-    ends = column.offsets.to_numpy().astype(np.int64)
-    starts_of, ends_of = (f.to_numpy(zero_copy_only=False) for f in column.values.flatten())
-    for a, b in zip(ends, ends[1:], strict=False):
-        yield merged(starts_of[a:b], ends_of[a:b])
+def _stretches(batch: pa.RecordBatch, measure: runs.Measure, found: Broadcast) -> Iterator[tuple]:
+    """(bytes, starts, ends) of each row of a batch (text, places, spans, ...)."""
+    for part in slices(batch.column(0)):
+        own = measure(part)
+        own = own.pick(hits(signed(own.key), found.value))
+        lists = (batch.column(i).slice(part.first, len(part)) for i in (1, 2))
+        for i, (starts, ends) in enumerate(runs.stretches(own, len(part), *lists)):
+            yield part.data[part.offsets[i] : part.offsets[i + 1]], starts, ends
 
 
 def _kept(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -189,64 +170,58 @@ def _kept(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 def span_digests(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of each row of ``docs``."""
-    docs = runs.documents(docs)
-    spans = repeated_spans(docs, window, anchor)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    listed, found = repeats(runs.documents(docs), window, anchor)
+    measure = partial(_measure, window=window, anchor=anchor)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = span_lists(batch.column(2))
             n_bytes, n_removed, n_spans, sha = [], [], [], []
-            for part in slices(batch.column(1)):
-                for i in range(len(part)):
-                    data = part.data[part.offsets[i] : part.offsets[i + 1]]
-                    starts, ends = next(lists)
-                    n_bytes.append(len(data))
-                    n_removed.append(int((ends - starts).sum()))
-                    n_spans.append(len(starts))
-                    kept = data[_kept(data, starts, ends)] if len(starts) else data
-                    sha.append(hashlib.sha256(np.ascontiguousarray(kept)).hexdigest())
+            for data, starts, ends in _stretches(batch, measure, found):
+                n_bytes.append(len(data))
+                n_removed.append(int((ends - starts).sum()))
+                n_spans.append(len(starts))
+                kept = data[_kept(data, starts, ends)] if len(starts) else data
+                sha.append(hashlib.sha256(np.ascontiguousarray(kept)).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(x, pa.int64()) for x in (n_bytes, n_removed, n_spans)),
+                [batch.column(3), *(pa.array(x, pa.int64()) for x in (n_bytes, n_removed, n_spans)),
                  pa.array(sha, pa.string())],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
             )
 
-    return (
-        runs.with_rows(docs, spans, "left")
-        .select("doc_id", "text", "spans")
-        .mapInArrow(
-            digest,
-            "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
-        )
+    return listed.select("text", "places", "spans", "doc_id").mapInArrow(
+        digest,
+        f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
     )
 
 
-@F.pandas_udf(StringType())
-def _without(texts: pd.Series, spans: pd.Series) -> pd.Series:
-    """Texts without their spans; a character goes if any of its bytes does."""
-
-    def cut(text, found):
-        if text is None or found is None or not len(found):
-            return text
-        data = np.frombuffer(text.encode(), np.uint8)
-        keep = _kept(data, [s["start"] for s in found], [s["end"] for s in found])
-        lead = (data & 0xC0) != 0x80
-        begin = np.flatnonzero(lead)
-        whole = np.logical_and.reduceat(keep, begin)
-        return data[whole[np.cumsum(lead) - 1]].tobytes().decode()
-
-    return pd.Series([cut(t, s) for t, s in zip(texts, spans, strict=True)], dtype=object)
+def _without(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> str:
+    """The text without its stretches; a character goes if any of its bytes does."""
+    if not len(starts):
+        return data.tobytes().decode()
+    keep, lead = _kept(data, starts, ends), (data & 0xC0) != 0x80
+    whole = np.logical_and.reduceat(keep, np.flatnonzero(lead))
+    return data[whole[np.cumsum(lead) - 1]].tobytes().decode()
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """``docs`` with all columns, the repeated windows cut out of ``text``."""
-    spans = repeated_spans(runs.documents(docs), window, anchor)
-    rows = docs.select(
-        F.struct(*docs.columns).alias("own"),
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.xxhash64("text").alias("text_hash"),
-    )
-    cut = _without(F.col("own.text"), F.col("spans")).alias("text")
-    return runs.with_rows(rows, spans, "left").select(
-        *(cut if c == "text" else F.col(f"own.`{c}`") for c in docs.columns)
+    """``docs`` with all columns, the repeated windows cut out of ``text``; null stays null."""
+    rows = docs.select(F.struct(*docs.columns).alias("own"), "doc_id", "text")
+    known = runs.documents(docs).columns
+    rows = rows.select("own", F.expr(runs.DOC_ORDER).alias("doc_order"),
+                       F.xxhash64("text").alias("text_hash"), "doc_id",
+                       F.coalesce("text", F.lit("")).alias("text")).select("own", *known)
+    listed, found = repeats(rows, window, anchor)
+    measure = partial(_measure, window=window, anchor=anchor)
+    own = docs.select(F.struct(*docs.columns).alias("own")).schema["own"].dataType
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = pa.array([_without(*x) for x in _stretches(batch, measure, found)], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(3), texts], names=["own", "cut"])
+
+    done = listed.select("text", "places", "spans", "own").mapInArrow(
+        cut, f"own {own.simpleString()}, cut string"
     )
+    text = F.when(F.col("own.text").isNotNull(), F.col("cut")).alias("text")
+    return done.select(*(text if c == "text" else F.col(f"own.`{c}`") for c in docs.columns))
