@@ -12,7 +12,9 @@ from oracles.parts import (
     rnd,
     share,
 )
+from skyledger.functions.fixed_values import FALLBACK_INTENT, INTENT_PATTERNS
 
+# Causes by label.
 CAUSES = {
     "Carrier": "carrier_delay",
     "Weather": "weather_delay",
@@ -640,24 +642,9 @@ ASKED = (
     f" ({INTENT_LIST})[event_id % 10 + 1] AS intent FROM events"
 )
 INTENT_REGEX = {
-    "best_airline": r"best\b.*airline|least\b.*delay|top.*airline|most.*on.?time|punctual"
-    r"|airline.*least|airline.*best",
-    "worst_airline": r"worst\b.*airline|most\b.*delay.*airline|worst.*carrier"
-    r"|highest.*delay.*airline",
-    "airline_ranking": r"airline.*rank|rank.*airline|carrier.*rank|compare.*airline"
-    r"|airline.*performance",
-    "peak_delay_hours": r"peak.*hour|busiest.*hour|worst.*time|best.*time.*fly|hour.*delay"
-    r"|delay.*hour|time.*day",
-    "delay_causes": r"cause|reason.*delay|why.*delay|delay.*because",
-    "weather_delays": r"weather",
-    "airport_comparison": r"airport.*compar|airport.*delay|delay.*airport"
-    r"|which.*airport.*worst|which.*airport.*best",
-    "busiest_airport": r"busiest.*airport|most.*flights.*airport|largest.*airport"
-    r"|airport.*volume|airport.*traffic",
-    "cancellation_info": r"cancel",
-    "monthly_trends": r"trend|month",
-    "seasonal": r"season|day.*week|weekday|weekend",
-    "route_analysis": r"route|origin.*dest|city.*pair",
+    intent: "|".join(patterns)
+    for intent, patterns in INTENT_PATTERNS.items()
+    if intent != FALLBACK_INTENT
 }
 INTENT_CASE = (
     "CASE "

@@ -49,6 +49,7 @@ ROUTE_MIN_FLIGHTS = 100
 SEVERITY_MIN_FLIGHTS = 50
 HUBS = 10
 NAMED_HUBS = [f"N{key:02d}" for key in range(15)]
+# Names of the travel windows; the dates are those of the test tables.
 WINDOWS = [
     ("New Year", "1998-01-01", "1998-01-03"),
     ("MLK Weekend", "1998-01-16", "1998-01-19"),

@@ -390,6 +390,7 @@ def market_share_vs_delay(flights: DataFrame, carriers: DataFrame) -> DataFrame:
             "reliability_rank": rank_by(*asc("delay_rate_pct")),
         }
     ).withColumn("rank_gap", F.col("market_rank") - F.col("reliability_rank"))
+    # Labels and their limits.
     label = (
         F.when(F.col("rank_gap") > 2, "Underperformer (big but unreliable)")
         .when(F.col("rank_gap") < -2, "Overperformer (big and reliable)")
@@ -501,6 +502,7 @@ def year_over_year(flights: DataFrame) -> DataFrame:
         }
     )
     rate, before = F.col("delay_rate_pct"), F.col("py_delay_rate_pct")
+    # Labels and their limits.
     trend = (
         F.when(before.isNull(), "No prior year")
         .when(rate < before, "Improved")
@@ -624,6 +626,7 @@ def carrier_momentum(flights: DataFrame, carriers: DataFrame) -> DataFrame:
         round_to(F.regr_slope("rate", "month"), 4).alias("trend_slope"),
     )
     slope = F.col("trend_slope")
+    # Labels and their limits.
     direction = (
         F.when(slope < -0.5, "Strongly Improving")
         .when(slope < -0.1, "Improving")

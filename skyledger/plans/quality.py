@@ -15,6 +15,7 @@ from skyledger.operators.quantiles import WEIGHT, count_values, quantile, weight
 from skyledger.operators.scoring import share_of_total
 from skyledger.operators.topk import top_k
 
+# Columns profiled for nulls, and columns of the load profile.
 KEY_COLUMNS = (
     "arr_delay",
     "dep_delay",
