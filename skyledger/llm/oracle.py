@@ -1,5 +1,34 @@
 """DuckDB SQL of the queries that SQL can express."""
 
+OP2 = """
+WITH bytes AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), windows AS (
+    SELECT doc_id, i, md5(substring(h, 2 * i + 1, 800)) AS k
+    FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 399)) AS i FROM bytes WHERE length(h) >= 800)
+), found AS (
+    SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY k) AS n FROM windows) WHERE n > 1
+), marked AS (
+    SELECT doc_id, i, i - coalesce(max(i) OVER w, -1000000) > 400 AS new FROM found
+    WINDOW w AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), spans AS (
+    SELECT doc_id, min(i) AS a, max(i) + 400 AS b FROM (
+        SELECT doc_id, i, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY i) AS s FROM marked
+    ) GROUP BY doc_id, s
+), gaps AS (
+    SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before,
+        row_number() OVER (PARTITION BY doc_id ORDER BY a DESC) = 1 AS last FROM spans
+), kept AS (
+    SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed,
+        string_agg(substring(h, 2 * before + 1, 2 * (a - before))
+            || CASE WHEN last THEN substring(h, 2 * b + 1) ELSE '' END, '' ORDER BY a) AS rest
+    FROM gaps JOIN bytes USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+    coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(rest, h))) AS kept_sha256
+FROM bytes LEFT JOIN kept USING (doc_id)
+"""
+
 OP4 = r"""
 WITH RECURSIVE words AS (
     SELECT doc_id,
@@ -73,6 +102,7 @@ FROM payloads LEFT JOIN first USING (payload_digest)
 """
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_suffix_dedup": OP2,
     "op4_near_duplicates": OP4,
     "op5_doubling_dedup": OP5,
     "op9_warc": OP9,

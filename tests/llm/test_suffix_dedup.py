@@ -7,7 +7,9 @@ from collections import Counter
 import pytest
 
 from skyledger.llm import queries, suffix_dedup
+from skyledger.llm.oracle import ORACLE_SQL
 from tests.conftest import SMALL
+from tests.oracle_check import connect, difference
 
 
 def brute(rows, window=400):
@@ -41,6 +43,11 @@ def test_whole_table(spark):
     assert found == brute(rows)
 
 
+def test_query_matches_oracle(spark):
+    found = queries.op2_suffix_dedup(spark, SMALL)
+    assert difference(found, connect(SMALL), ORACLE_SQL["op2_suffix_dedup"]) is None
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_short_windows_of_few_letters(spark, seed):
     rng = random.Random(seed)
