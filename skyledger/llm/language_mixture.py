@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.text import LOWER, Slice, slices
+from skyledger.session import drop_paths, write_shared
 
 BUCKETS = 1 << 12
 SMOOTHING = 0.5
@@ -88,11 +89,13 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
         .groupBy("lang", "bucket")
         .agg(F.sum("n").alias("n"))
     )
+    counts, path = write_shared(counts, "gram-counts")
     languages = [r.lang for r in counts.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()]
     if len(languages) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} values of lang")
     languages.sort()
     table = counts.toArrow()
+    drop_paths(docs.sparkSession, [path])
     seen = np.full((len(languages), BUCKETS), SMOOTHING)
     names = np.array(languages, dtype=object)
     code = np.searchsorted(names, table["lang"].to_numpy())
