@@ -655,6 +655,15 @@ INTENT_CASE = (
     + " ELSE 'general_stats' END"
 )
 SQL["n0_classify_questions"] = ASKED
+PHRASES = [
+    "best airline for", "worst carrier of", "rank every airline by", "busiest hour of", "cause of",
+    "weather and", "airport delay near", "largest airport for", "cancelled", "monthly trend of",
+    "season of", "city pair for", "how many",
+]
+SQL["n0_classify_composed"] = (
+    f"SELECT p_partkey, {INTENT_CASE} AS intent FROM (SELECT p_partkey, concat_ws(' ', p_name,"
+    f" ({PHRASES})[p_partkey % 13 + 1], p_type, lower(p_brand)) AS text FROM part)"
+)
 SQL["n0_classify_documents"] = f"SELECT doc_id, {INTENT_CASE} AS intent FROM documents"
 SQL["n0_classify_conversations"] = f"SELECT conv_id, turn, {INTENT_CASE} AS intent FROM conversations"
 SQL["n16_sample_questions"] = f"""
@@ -1157,6 +1166,7 @@ FROM (SELECT unnest({SHUFFLED}) AS feature) f LEFT JOIN areas ON v = f.feature""
 
 NOT_OVER_FLIGHTS = {
     "n0_classify_questions",
+    "n0_classify_composed",
     "n0_classify_documents",
     "n0_classify_conversations",
     "n16_sample_questions",

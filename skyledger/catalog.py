@@ -166,6 +166,23 @@ def asked(t: DriverTables) -> DataFrame:
     )
 
 
+# Phrases that parts' names and types are put around, so that every intent is asked for.
+PHRASES = (
+    "best airline for", "worst carrier of", "rank every airline by", "busiest hour of", "cause of",
+    "weather and", "airport delay near", "largest airport for", "cancelled", "monthly trend of",
+    "season of", "city pair for", "how many",
+)
+
+
+def classify_composed(t: DriverTables) -> DataFrame:
+    """Questions composed of a phrase and the words of a part."""
+    phrases = F.array(*[F.lit(p) for p in PHRASES])
+    phrase = F.element_at(phrases, (F.col("p_partkey") % len(PHRASES)).cast("int") + 1)
+    text = F.concat_ws(" ", "p_name", phrase, "p_type", F.lower("p_brand"))
+    asked_for = t.read("part").select("p_partkey", text.alias("text"))
+    return questions.with_intent(asked_for, "text").select("p_partkey", "intent")
+
+
 def classify_questions(t: DriverTables) -> DataFrame:
     return questions.with_intent(asked(t), "question")
 
@@ -386,6 +403,7 @@ QUERIES: dict[str, Query] = {
     "d7_cancellations": _dataset("cancellations"),
     # Questions
     "n0_classify_questions": classify_questions,
+    "n0_classify_composed": classify_composed,
     "n0_classify_documents": classify_documents,
     "n0_classify_conversations": classify_conversations,
     "n1_best_airline": _intent("best_airline"),
