@@ -124,7 +124,7 @@ def later_repeats(docs: DataFrame, window: int) -> tuple[DataFrame, Broadcast]:
     measure = partial(_measure, window=window)
     found = runs.key_bits(docs, measure)
     groups, groups_path = runs.hull_groups(docs, measure, found)
-    bits = runs.open_bits(groups, F.lit(False))
+    bits, _ = runs.open_bits(groups, F.lit(False))
     windows, windows_path = write_shared(_levels(docs, measure, found, bits, window), "windows")
     later = _later_windows(windows, window)
     places = runs.by_document(groups.select("first.*"), F.col("place"), "places")

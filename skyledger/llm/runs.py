@@ -178,8 +178,11 @@ def hull_groups(docs: DataFrame, measure: Measure, bits: Broadcast) -> tuple[Dat
     return write_shared(groups, "hulls")
 
 
-def open_bits(groups: DataFrame, settled: Column) -> Broadcast:
-    """Bitmap of the firsts whose key has another hull, unless all of the key are ``settled``."""
+def open_bits(groups: DataFrame, settled: Column) -> tuple[Broadcast, Broadcast]:
+    """Bitmaps of the firsts whose key has another hull, and of those alone in their hull.
+
+    Keys all of whose hulls are ``settled`` are left out.
+    """
     keys = (
         groups.groupBy("key")
         .agg(F.count("*").alias("hulls"), F.every(settled).alias("settled"))
@@ -187,16 +190,21 @@ def open_bits(groups: DataFrame, settled: Column) -> Broadcast:
     )
     bitmap, path = key_bitmap(keys, F.col("key"))
     opened = may_have(groups, F.col("key"), bitmap)
-    bits = bitmap_array(opened, F.expr("hull_a ^ first.text_hash ^ first.place"))
+    own = F.expr("hull_a ^ first.text_hash ^ first.place")
+    bits = bitmap_array(opened, own), bitmap_array(opened.where("n = 1"), own)
     drop_paths(groups.sparkSession, [path])
     return bits
 
 
+def identity(runs: Runs, text_hash: np.ndarray) -> np.ndarray:
+    """What the bitmaps of ``open_bits`` know a run by; ``text_hash`` by row."""
+    return runs.hulls()[:, 0] ^ text_hash[runs.row] ^ runs.place
+
+
 def open_runs(runs: Runs, text_hash: np.ndarray, bits: Broadcast, found: Broadcast) -> Runs:
-    """The open runs of a slice; ``text_hash`` by row."""
+    """The open runs of a slice."""
     runs = runs.pick(hits(signed(runs.key), found.value))
-    own = runs.hulls()[:, 0] ^ text_hash[runs.row] ^ runs.place
-    return runs.pick(hits(own, bits.value))
+    return runs.pick(hits(identity(runs, text_hash), bits.value))
 
 
 def by_document(rows: DataFrame, value: Column, name: str) -> DataFrame:

@@ -9,7 +9,8 @@ neighbouring suffixes move through the first passes as one run:
 1. the anchor's 100 bytes; runs whose anchor occurs once are finished. Runs with equal hulls
    are repeated throughout and need no further digit; one of each goes on as a partner;
 2. the core that 32 neighbouring windows have in common, 369 bytes;
-3. the rest of each window to the left and right of the core: 31 bytes, by themselves.
+3. the margins to the left and right of the core: what four neighbours have in common, then
+   the rest of each window by itself.
 
 Every pass counts equal keys with a combine before the shuffle, so a passage or a group of
 copies that fills a third of the input is a count, not a group in one task. Further occurrences
@@ -24,7 +25,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +40,9 @@ from skyledger.session import drop_paths, write_shared
 
 WINDOW = 400
 ANCHOR = 100
-#: Windows that share a core in the second pass.
-NEAR = 32
+#: Neighbouring windows that share a core in the second pass, and in the passes after it.
+WIDTHS = (32, 4, 1)
+NEAR = WIDTHS[0]
 
 
 def _measure(part: Slice, window: int = WINDOW, anchor: int = ANCHOR) -> runs.Runs:
@@ -49,9 +51,15 @@ def _measure(part: Slice, window: int = WINDOW, anchor: int = ANCHOR) -> runs.Ru
     return runs.find_runs(memoryview(part.data), 1, grams, part.offsets, window, anchor)
 
 
-def _cores(docs: DataFrame, measure: runs.Measure, found: Broadcast, bits: Broadcast) -> DataFrame:
-    """The open runs in parts of ``NEAR`` offsets: digest of the core, margins left and right."""
-    names = ["core_a", "core_b", "l0", "doc_order", "text_hash", "at", "lo", "hi", "left", "right"]
+def _cores(
+    docs: DataFrame, measure: runs.Measure, found: Broadcast, bits: Broadcast, lone: Broadcast
+) -> DataFrame:
+    """The open runs in parts of ``NEAR`` offsets: digest of the core, margins left and right.
+
+    ``lone`` marks the runs that are the only ones of their hull; the others are known to repeat.
+    """
+    names = ["core_a", "core_b", "l0", "doc_order", "text_hash", "at", "lo", "hi", "lone", "left",
+             "right"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -59,6 +67,7 @@ def _cores(docs: DataFrame, measure: runs.Measure, found: Broadcast, bits: Broad
             for part in slices(batch.column(0)):
                 own = measure(part)
                 own = runs.open_runs(own, hashes[part.first :], bits, found)
+                single = hits(runs.identity(own, hashes[part.first :]), lone.value)
                 lowest, highest = own.anchor - own.last, own.anchor - own.first
                 n = highest // NEAR - lowest // NEAR + 1
                 index = np.repeat(np.arange(len(n)), n)
@@ -82,6 +91,7 @@ def _cores(docs: DataFrame, measure: runs.Measure, found: Broadcast, bits: Broad
                         pa.array(at - part.offsets[own.row[index]]),
                         pa.array(lo.astype(np.int32)),
                         pa.array(hi.astype(np.int32)),
+                        pa.array(single[index]),
                         pa.array([data[a:b] for a, b in left], pa.binary()),
                         pa.array([data[a:b] for a, b in right], pa.binary()),
                     ],
@@ -91,44 +101,70 @@ def _cores(docs: DataFrame, measure: runs.Measure, found: Broadcast, bits: Broad
     return docs.select("text", "doc_order", "text_hash").mapInArrow(
         scan,
         "core_a bigint, core_b bigint, l0 int, doc_order bigint, text_hash bigint, at bigint,"
-        " lo int, hi int, left binary, right binary",
+        " lo int, hi int, lone boolean, left binary, right binary",
     )
 
 
-def _spans_of_cores(cores: DataFrame, window: int) -> DataFrame:
-    """Repeated stretches (doc_order, text_hash, start, end) of the second and third pass."""
-    core = ["core_a", "core_b", "l0"]
-    same = [*core, "lo", "hi", "left", "right"]
-    groups = cores.groupBy(*same).agg(
-        F.count("*").alias("n"), F.min(F.struct("doc_order", "text_hash", "at")).alias("first")
-    )
-    equal = cores.join(groups.where("n > 1").select(*same), same).select(
-        "doc_order",
-        "text_hash",
-        (F.col("at") - F.col("hi")).alias("start"),
-        (F.col("at") - F.col("lo") + window).alias("end"),
-    )
-    keys = (
-        groups.groupBy(*core)
-        .agg(F.count("*").alias("parts"), F.every(F.col("n") > 1).alias("settled"))
-        .where("parts > 1 AND NOT settled")
-        .select(*core)
+KEY = ["core_a", "core_b", "l0", "before", "after"]
+PART = [*KEY, "lo", "hi", "left", "right"]
+
+
+def _split(parts: DataFrame, width: int, narrower: int) -> DataFrame:
+    """Parts of ``width`` offsets as parts of fewer: what these share of the margins joins the key."""
+    offset = F.floor(F.col("lo") / narrower).cast("int") * narrower
+    return (
+        parts.withColumn("s0", F.explode(F.sequence(offset, F.col("hi"), F.lit(narrower))))
+        .withColumn("s1", F.col("s0") + narrower - 1)
+        .withColumn("l1", F.col("l0") + width - 1)
+        .withColumns({"lo2": F.greatest("lo", "s0"), "hi2": F.least("hi", "s1")})
+        .select(
+            "core_a",
+            "core_b",
+            F.col("s0").alias("l0"),
+            F.expr("concat(substring(left, hi - s0 + 1, s0 - l0), before)").alias("before"),
+            F.expr("concat(after, substring(right, 1, l1 - s1))").alias("after"),
+            F.col("lo2").alias("lo"),
+            F.col("hi2").alias("hi"),
+            F.expr("substring(left, hi - hi2 + 1, hi2 - s0)").alias("left"),
+            F.expr("substring(right, l1 - s1 + 1, s1 - lo2)").alias("right"),
+            "doc_order",
+            "text_hash",
+            "at",
+            "lone",
+        )
     )
-    single = (
-        groups.join(keys, core)
-        .select(*same, "first.*")
-        .withColumn("l", F.explode(F.sequence("lo", "hi")))
-        .withColumn("before", F.expr("substring(left, hi - l + 1, l - l0)"))
-        .withColumn("after", F.expr(f"substring(right, 1, l0 + {NEAR - 1} - l)"))
-        .drop("left", "right", "lo", "hi", "l0")
-    )
-    digits = ["core_a", "core_b", "l", "before", "after"]
-    repeated = single.groupBy(*digits).count().where("count > 1").select(*digits)
-    start = F.col("at") - F.col("l")
-    last = single.join(repeated, digits).select(
-        "doc_order", "text_hash", start.alias("start"), (start + window).alias("end")
-    )
-    return equal.union(last)
+
+
+def _spans_of_cores(cores: DataFrame, window: int) -> DataFrame:
+    """Repeated stretches (doc_order, text_hash, start, end) of the passes after the first."""
+    nothing = F.lit(b"")
+    parts, found = cores.withColumns({"before": nothing, "after": nothing}), []
+    for width, narrower in zip(WIDTHS, [*WIDTHS[1:], 0], strict=True):
+        groups = parts.groupBy(*PART).agg(
+            F.count("*").alias("n"),
+            F.min(F.struct("doc_order", "text_hash", "at")).alias("first"),
+            F.some("lone").alias("lone"),
+        )
+        equal = parts.where("lone").join(groups.where("n > 1").select(*PART), PART)
+        found.append(
+            equal.select(
+                "doc_order",
+                "text_hash",
+                (F.col("at") - F.col("hi")).alias("start"),
+                (F.col("at") - F.col("lo") + window).alias("end"),
+            )
+        )
+        if narrower:
+            settled = F.every(F.expr("n > 1 OR NOT lone"))
+            keys = (
+                groups.groupBy(*KEY)
+                .agg(F.count("*").alias("parts"), settled.alias("settled"))
+                .where("parts > 1 AND NOT settled")
+                .select(*KEY)
+            )
+            opened = groups.join(keys, KEY).select(*PART, "first.*", "lone")
+            parts, _ = write_shared(_split(opened, width, narrower), "parts")
+    return reduce(DataFrame.union, found)
 
 
 def repeats(docs: DataFrame, window: int, anchor: int) -> tuple[DataFrame, Broadcast]:
@@ -139,8 +175,8 @@ def repeats(docs: DataFrame, window: int, anchor: int) -> tuple[DataFrame, Broad
     measure = partial(_measure, window=window, anchor=anchor)
     found = runs.key_bits(docs, measure)
     groups, groups_path = runs.hull_groups(docs, measure, found)
-    bits = runs.open_bits(groups, F.col("n") > 1)
-    cores, cores_path = write_shared(_cores(docs, measure, found, bits), "cores")
+    bits, lone_bits = runs.open_bits(groups, F.col("n") > 1)
+    cores, cores_path = write_shared(_cores(docs, measure, found, bits, lone_bits), "cores")
     span = F.struct("start", "end")
     spans, spans_path = write_shared(
         runs.by_document(_spans_of_cores(cores, window), span, "spans"), "spans"
