@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from skyledger.llm.text import Slice, SpanHash, Words, gram_hashes, slices
 
@@ -245,21 +246,17 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees:
 
 
 def score(docs: DataFrame, trees: Trees) -> DataFrame:
-    """``docs`` with a column ``score`` for the whole of ``text``; one of that name is replaced."""
-    schema = docs.drop("score").schema
+    """``docs`` with a column ``score`` for the whole of ``text``; one of that name is replaced.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
-            found = [trees.score(statistics(part)) for part in slices(texts)]
-            column = pa.array(np.concatenate([np.zeros(0), *found]))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], column], names=[*schema.names, "score"]
-            )
+    Only texts go to Python and only scores come back.
+    """
+
+    @F.arrow_udf(DoubleType())
+    def of_texts(texts: pa.Array) -> pa.Array:
+        found = [trees.score(statistics(part)) for part in slices(texts)]
+        return pa.array(np.concatenate([np.zeros(0), *found]))
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    rows = docs.drop("score").withColumn("__whole_text", F.col("text"))
-    return rows.mapInArrow(run, f"{kinds}, score double")
+    return docs.withColumn("score", of_texts(F.col("text")))
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -276,6 +273,6 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject, with all their columns."""
     trees = train(docs.select("doc_id", "text"), labels)
-    names = [F.col(f"own.`{c}`") for c in docs.columns]
     wrapped = docs.select(F.struct(*docs.columns).alias("own"), F.col("text"))
-    return score(wrapped, trees).where(F.col("score") >= THRESHOLD).select(*names)
+    kept = score(wrapped, trees).where(F.col("score") >= THRESHOLD)
+    return kept.select(*[F.col(f"own.`{c}`") for c in docs.columns])

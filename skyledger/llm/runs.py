@@ -114,13 +114,14 @@ Measure = Callable[[Slice], Runs]
 DOC_ORDER = "ifnull(CAST(doc_id AS bigint), 9223372036854775807)"
 
 
-def documents(docs: DataFrame) -> DataFrame:
-    """doc_order, text_hash, doc_id and text. A null id has the highest order."""
+def documents(docs: DataFrame, *more: str) -> DataFrame:
+    """doc_order, text_hash, doc_id, text and ``more``. A null id has the highest order."""
     return docs.select(
         F.expr(DOC_ORDER).alias("doc_order"),
         F.xxhash64("text").alias("text_hash"),
         "doc_id",
         F.coalesce("text", F.lit("")).alias("text"),
+        *more,
     )
 
 

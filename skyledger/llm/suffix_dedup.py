@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from skyledger.llm import runs
 from skyledger.llm.prune import hits
@@ -187,12 +188,14 @@ def repeats(docs: DataFrame, window: int, anchor: int) -> tuple[DataFrame, Broad
     return listed, found
 
 
-def _stretches(batch: pa.RecordBatch, measure: runs.Measure, found: Broadcast) -> Iterator[tuple]:
-    """(bytes, starts, ends) of each row of a batch (text, places, spans, ...)."""
-    for part in slices(batch.column(0)):
+def _stretches(
+    texts: pa.Array, places: pa.Array, spans: pa.Array, measure: runs.Measure, found: Broadcast
+) -> Iterator[tuple]:
+    """(bytes, starts, ends) of each text with its lists."""
+    for part in slices(texts):
         own = measure(part)
         own = own.pick(hits(signed(own.key), found.value))
-        lists = (batch.column(i).slice(part.first, len(part)) for i in (1, 2))
+        lists = (x.slice(part.first, len(part)) for x in (places, spans))
         for i, (starts, ends) in enumerate(runs.stretches(own, len(part), *lists)):
             yield part.data[part.offsets[i] : part.offsets[i + 1]], starts, ends
 
@@ -213,7 +216,7 @@ def span_digests(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) ->
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_bytes, n_removed, n_spans, sha = [], [], [], []
-            for data, starts, ends in _stretches(batch, measure, found):
+            for data, starts, ends in _stretches(*batch.columns[:3], measure, found):
                 n_bytes.append(len(data))
                 n_removed.append(int((ends - starts).sum()))
                 n_spans.append(len(starts))
@@ -242,22 +245,18 @@ def _without(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> str:
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """``docs`` with all columns, the repeated windows cut out of ``text``; null stays null."""
-    rows = docs.select(F.struct(*docs.columns).alias("own"), "doc_id", "text")
-    known = runs.documents(docs).columns
-    rows = rows.select("own", F.expr(runs.DOC_ORDER).alias("doc_order"),
-                       F.xxhash64("text").alias("text_hash"), "doc_id",
-                       F.coalesce("text", F.lit("")).alias("text")).select("own", *known)
-    listed, found = repeats(rows, window, anchor)
+    own = F.struct(*docs.columns).alias("own")
+    known = runs.documents(docs.withColumn("__own", own), "__own")
+    listed, found = repeats(known, window, anchor)
     measure = partial(_measure, window=window, anchor=anchor)
-    own = docs.select(F.struct(*docs.columns).alias("own")).schema["own"].dataType
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = pa.array([_without(*x) for x in _stretches(batch, measure, found)], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(3), texts], names=["own", "cut"])
+    @F.arrow_udf(StringType())
+    def cut(texts: pa.Array, places: pa.Array, spans: pa.Array) -> pa.Array:
+        rows = _stretches(texts, places, spans, measure, found)
+        return pa.array([_without(*x) for x in rows], pa.string())
 
-    done = listed.select("text", "places", "spans", "own").mapInArrow(
-        cut, f"own {own.simpleString()}, cut string"
+    left = cut(F.col("text"), F.col("places"), F.col("spans"))
+    text = F.when(F.col("__own.text").isNotNull(), F.col("cut")).alias("text")
+    return listed.select("__own", left.alias("cut")).select(
+        *(text if c == "text" else F.col(f"__own.`{c}`") for c in docs.columns)
     )
-    text = F.when(F.col("own.text").isNotNull(), F.col("cut")).alias("text")
-    return done.select(*(text if c == "text" else F.col(f"own.`{c}`") for c in docs.columns))
