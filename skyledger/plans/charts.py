@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -108,19 +107,26 @@ def correlation_matrix(
 ) -> DataFrame:
     """Pearson r of every pair, each over the rows where both are known.
 
-    One aggregate holds a running correlation per pair, and its single row becomes a row per
-    pair.  By default every row counts; pass ``sample=50_000`` for the sampled figure.
+    Every row gives a small record per left column, which is combined at once into the running
+    correlations with all columns to the right.  By default every row counts; pass
+    ``sample=50_000`` for the sampled figure.
     """
     rows = flights if sample is None else sample_rows(flights, sample, seed)
-    pairs = list(combinations(columns, 2))
-    wide = rows.agg(*[round_to(F.corr(a, b), 4).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    return rows_from_columns(
-        wide,
-        [
-            {"col_a": F.lit(a), "col_b": F.lit(b), "r": F.col(f"r{i}")}
-            for i, (a, b) in enumerate(pairs)
-        ],
+    left = [
+        F.struct(F.lit(a).alias("col_a"), F.lit(i).alias("i"), F.col(a).alias("x"))
+        for i, a in enumerate(columns[:-1])
+    ]
+    wide = (
+        rows.select(*columns, F.inline(F.array(*left)))
+        .groupBy("col_a", "i")
+        .agg(*[round_to(F.corr("x", b), 4).alias(b) for b in columns[1:]])
     )
+    right = [
+        F.struct(F.lit(b).alias("col_b"), F.lit(j).alias("j"), F.col(b).alias("r"))
+        for j, b in enumerate(columns[1:], 1)
+    ]
+    long = wide.select("col_a", "i", F.inline(F.array(*right)))
+    return long.filter(F.col("j") > F.col("i")).select("col_a", "col_b", "r")
 
 
 def missing_values(df: DataFrame) -> DataFrame:
