@@ -1,14 +1,15 @@
 """Quality rules and a hashed n-gram log-likelihood ratio, in DataFrame functions alone.
 
 Words and pairs of neighbouring words are hashed to 2**16 buckets. The raw-corpus multinomial
-counts the buckets of every document; the trusted-target one those of documents labelled good, at
-most ``TRUSTED`` of them (the lowest hashes of the id). A document's score is the mean over its
-n-grams of ln(target / raw), with add-one smoothing, in whole millionths, so it does not depend on
-the order of rows. A document fails the base rules, or is judged by a fixed threshold.
+counts the buckets of every document; the trusted-target one those of every document labelled
+good. A document's score is the mean over its n-grams of ln(target / raw), with add-one smoothing,
+in whole millionths, so it does not depend on the order of rows. A document fails the base rules,
+or is judged by a fixed threshold.
 
-Only two small things are broadcast: the sample's ids and the weights, a row for each bucket. The
-n-grams of all documents are combined before each shuffle: to 2**16 counts, and to one row
-for each document.
+Only two things of fixed size are broadcast: a bitmap of the trusted ids (see ``prune``) and the
+weights, a row for each bucket. Documents that hit the bitmap move to meet the trusted ids; the
+others stay where they are. The n-grams of all documents are combined before each shuffle: to
+2**16 counts, and to one row for each document.
 
 Defined cases: null text has no words, and nothing but zeros; a document of fewer than ten words
 fails; a null id is never trusted; rows that repeat come out as often as they come in; columns
@@ -21,9 +22,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyledger.llm.prune import key_bitmap, may_have, surely_not
+
 BUCKETS = 1 << 16
-#: Trusted documents that make up the target, at most.
-TRUSTED = 20_000
 UNIT = 1_000_000
 #: Mean log-likelihood ratio, in millionths of a nat, from which a document is kept.
 KEEP_FROM = -100_000
@@ -126,19 +127,27 @@ def grams(w: Column) -> Column:
     )
 
 
-def weights(docs: DataFrame, labels: DataFrame, trusted: int = TRUSTED) -> DataFrame:
+def weights(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(bucket, weight): the log-likelihood ratio of each bucket in whole millionths."""
     target = (
         labels.where("quality = 1 AND doc_id IS NOT NULL")
         .select(F.col("doc_id").alias("trusted_id"))
         .distinct()
-        .orderBy(F.xxhash64("trusted_id"), "trusted_id")
-        .limit(trusted)
     )
-    text = F.coalesce("text", F.lit(""))
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    # As strings, ids of different whole-number types have equal hashes.
+    key = lambda c: F.xxhash64(F.col(c).cast("string"))
+    bitmap, _ = key_bitmap(target, key("trusted_id"))
+    # The same join at every size.
+    met = may_have(docs, key("doc_id"), bitmap).join(
+        target.hint("merge"), F.col("doc_id") == F.col("trusted_id"), "left"
+    )
+    others = surely_not(docs, key("doc_id"), bitmap)
+    marked = met.select("text", F.col("trusted_id").isNotNull().cast("int").alias("good")).union(
+        others.select("text", F.lit(0).alias("good"))
+    )
     counts = (
-        docs.join(F.broadcast(target), F.col("doc_id") == F.col("trusted_id"), "left")
-        .select(F.col("trusted_id").isNotNull().cast("int").alias("good"), words(text).alias("w"))
+        marked.select("good", words(F.col("text")).alias("w"))
         .select("good", F.explode(grams(F.col("w"))).alias("bucket"))
         .groupBy("bucket")
         .agg(F.count("*").alias("raw"), F.sum("good").alias("target"))

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import xxhash
+from pyspark.sql import functions as F
 
 from skyledger.llm import ngram_rules, queries
 from tests.conftest import SMALL
@@ -85,3 +86,15 @@ def test_odd_rows(spark):
     assert run(docs, labels) == brute(rows, {10})
     assert run(docs, labels.limit(0)) == brute(rows, set())
     assert run(docs.limit(0), labels) == []
+
+
+def test_every_trusted_document_counts(spark):
+    """More good labels than any fixed number of ids once taken; a rare topic is one of them."""
+    n = 20_001
+    ids = spark.range(n).selectExpr("id AS doc_id")
+    rare = ids.orderBy(F.xxhash64("doc_id").desc()).first().doc_id
+    text = F.when(F.col("doc_id") == rare, " ".join(f"rare{i}" for i in range(12))).otherwise("a b c d e f g h i j")
+    docs = ids.withColumn("text", text)
+    labels = ids.withColumn("quality", F.lit(1))
+    assert ngram_rules.weights(docs, labels).where("weight <> 0").count() == 0
+    assert ngram_rules.judge(docs, labels).where("kept").count() == n
