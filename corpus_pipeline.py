@@ -17,6 +17,8 @@ from skyledger.session import write_shared
 
 #: SQL can express neither the classifier nor the tokens; tests hold ``run`` against plain Python.
 ORACLE_SQL = None
+#: Any passage of over 50 words fills a window of so many, however short its words are.
+REPEATED_WORDS = 51
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,8 +32,11 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their repeated windows of 400 bytes; n_chars is that of what is left."""
-    cut = suffix_dedup.remove_repeats(docs)
+    """Documents without repeated windows of 400 bytes or of ``REPEATED_WORDS`` words.
+
+    n_chars is that of what is left.
+    """
+    cut = suffix_dedup.remove_repeats(docs, words=REPEATED_WORDS)
     return cut.withColumn("n_chars", F.coalesce(F.length("text").cast("bigint"), "n_chars"))
 
 

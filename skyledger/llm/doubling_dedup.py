@@ -134,6 +134,50 @@ def later_repeats(docs: DataFrame, window: int) -> tuple[DataFrame, Broadcast]:
     return listed, found
 
 
+def all_repeats(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame, Broadcast, list[str]]:
+    """Lists of places and of spans, the bitmap of repeated keys, and the paths behind the lists.
+
+    Of equal windows all count, the earliest as well: what is not at a place is repeated.
+    """
+    measure = partial(_measure, window=window)
+    found = runs.key_bits(docs, measure)
+    groups, groups_path = runs.hull_groups(docs, measure, found)
+    bits, _ = runs.open_bits(groups, F.col("n") > 1)
+    windows, windows_path = write_shared(_levels(docs, measure, found, bits, window), "windows")
+    whole = ["whole_a", "whole_b"]
+    equal, equal_path = write_shared(
+        windows.groupBy(*whole).count().where("count > 1").select(*whole), "equal-windows"
+    )
+    bitmap, bitmap_path = key_bitmap(equal, F.col("whole_a"))
+    start = (F.col("at") - F.col("l")).alias("start")
+    spans = (
+        may_have(windows, F.col("whole_a"), bitmap)
+        .join(equal, whole)
+        .select("doc_order", "text_hash", F.struct(start, (start + window).alias("end")).alias("span"))
+    )
+    lone = groups.where("n = 1").select("first.*")
+    return (
+        runs.by_document(lone, F.col("place"), "word_places"),
+        runs.by_document(spans, F.col("span"), "word_spans"),
+        found,
+        [groups_path, windows_path, equal_path, bitmap_path],
+    )
+
+
+def byte_stretches(
+    texts: pa.Array, places: pa.Array, spans: pa.Array, window: int, found: Broadcast
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(starts, ends) of each text with its lists, in bytes from a first word to a last one."""
+    for part in slices(texts):
+        words = Words(part)
+        own = _measured(part, words, window)
+        own = own.pick(hits(signed(own.key), found.value))
+        lists = (x.slice(part.first, len(part)) for x in (places, spans))
+        for i, (starts, ends) in enumerate(runs.stretches(own, len(part), *lists)):
+            begin, offset = words.begin[i], part.offsets[i]
+            yield words.start[begin + starts] - offset, words.end[begin + ends - 1] - offset
+
+
 def _kept(data: np.ndarray, words: Words, row: int, keep: np.ndarray) -> bytes:
     """The kept words of a row, joined by one space."""
     begin = words.begin[row]

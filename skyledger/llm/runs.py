@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -216,13 +217,14 @@ def by_document(rows: DataFrame, value: Column, name: str) -> DataFrame:
     return rows.groupBy("doc_order", "text_hash").agg(F.collect_list(value).alias(name))
 
 
-def with_lists(docs: DataFrame, places: DataFrame, spans: DataFrame) -> DataFrame:
-    """``docs`` with the lists ``places`` and ``spans`` of each document, null where it has none.
+def with_lists(docs: DataFrame, *lists: DataFrame) -> DataFrame:
+    """``docs`` with the ``lists`` (places, spans) of each document, null where it has none.
 
-    Documents that have neither do not move: a bitmap of the others tells most of them.
+    Documents that have none do not move: a bitmap of the others tells most of them.
     """
     own = ["doc_order", "text_hash"]
-    lists, _ = write_shared(places.join(spans, own, "full"), "document-lists")
+    joined = reduce(lambda a, b: a.join(b, own, "full"), lists)
+    lists, _ = write_shared(joined, "document-lists")
     bitmap, _ = key_bitmap(lists, F.xxhash64(*own))
     moved = may_have(docs, F.xxhash64(*own), bitmap).hint("merge").join(lists, own, "left")
     others = surely_not(docs, F.xxhash64(*own), bitmap)

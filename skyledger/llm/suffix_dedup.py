@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from skyledger.llm import runs
+from skyledger.llm import doubling_dedup, runs
 from skyledger.llm.prune import hits
 from skyledger.llm.text import Slice, SpanHash, signed, slices
 from skyledger.session import drop_paths, write_shared
@@ -168,10 +168,13 @@ def _spans_of_cores(cores: DataFrame, window: int) -> DataFrame:
     return reduce(DataFrame.union, found)
 
 
-def repeats(docs: DataFrame, window: int, anchor: int) -> tuple[DataFrame, Broadcast]:
+def repeats(
+    docs: DataFrame, window: int, anchor: int, words: int = 0
+) -> tuple[DataFrame, Broadcast, Broadcast | None]:
     """``docs`` with the lists that ``runs.stretches`` takes, and the bitmap of repeated keys.
 
-    ``docs`` has the columns of ``runs.documents`` and may have more.
+    With ``words``, also the lists and the bitmap of windows of so many words. ``docs`` has the
+    columns of ``runs.documents`` and may have more.
     """
     measure = partial(_measure, window=window, anchor=anchor)
     found = runs.key_bits(docs, measure)
@@ -183,9 +186,14 @@ def repeats(docs: DataFrame, window: int, anchor: int) -> tuple[DataFrame, Broad
         runs.by_document(_spans_of_cores(cores, window), span, "spans"), "spans"
     )
     lone = groups.where("n = 1").select("first.*")
-    listed = runs.with_lists(docs, runs.by_document(lone, F.col("place"), "places"), spans)
-    drop_paths(docs.sparkSession, [groups_path, cores_path, spans_path])
-    return listed, found
+    lists = [runs.by_document(lone, F.col("place"), "places"), spans]
+    paths, found_words = [groups_path, cores_path, spans_path], None
+    if words:
+        *more, found_words, more_paths = doubling_dedup.all_repeats(docs, words)
+        lists, paths = lists + more, paths + more_paths
+    listed = runs.with_lists(docs, *lists)
+    drop_paths(docs.sparkSession, paths)
+    return listed, found, found_words
 
 
 def _stretches(
@@ -210,7 +218,7 @@ def _kept(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 def span_digests(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of each row of ``docs``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    listed, found = repeats(runs.documents(docs), window, anchor)
+    listed, found, _ = repeats(runs.documents(docs), window, anchor)
     measure = partial(_measure, window=window, anchor=anchor)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,19 +251,30 @@ def _without(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> str:
     return data[whole[np.cumsum(lead) - 1]].tobytes().decode()
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """``docs`` with all columns, the repeated windows cut out of ``text``; null stays null."""
+def remove_repeats(
+    docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, words: int = 0
+) -> DataFrame:
+    """``docs`` with all columns, the repeated windows cut out of ``text``; null stays null.
+
+    With ``words``, repeated windows of so many words go as well, whatever their bytes, from the
+    first word to the end of the last; both kinds are found in the whole texts.
+    """
     own = F.struct(*docs.columns).alias("own")
     known = runs.documents(docs.withColumn("__own", own), "__own")
-    listed, found = repeats(known, window, anchor)
+    listed, found, found_words = repeats(known, window, anchor, words)
     measure = partial(_measure, window=window, anchor=anchor)
 
     @F.arrow_udf(StringType())
-    def cut(texts: pa.Array, places: pa.Array, spans: pa.Array) -> pa.Array:
+    def cut(texts: pa.Array, places: pa.Array, spans: pa.Array, *more: pa.Array) -> pa.Array:
         rows = _stretches(texts, places, spans, measure, found)
+        if words:
+            others = doubling_dedup.byte_stretches(texts, *more, words, found_words)
+            pairs = zip(rows, others, strict=True)
+            rows = ((data, *map(np.concatenate, zip(x, y))) for (data, *x), y in pairs)
         return pa.array([_without(*x) for x in rows], pa.string())
 
-    left = cut(F.col("text"), F.col("places"), F.col("spans"))
+    lists = ["places", "spans", *(["word_places", "word_spans"] if words else [])]
+    left = cut(F.col("text"), *map(F.col, lists))
     text = F.when(F.col("__own.text").isNotNull(), F.col("cut")).alias("text")
     return listed.select("__own", left.alias("cut")).select(
         *(text if c == "text" else F.col(f"__own.`{c}`") for c in docs.columns)

@@ -1,12 +1,14 @@
 from __future__ import annotations
 
+import random
+import re
 from collections import Counter
 
 import public_tokenizers
 import pytest
 
 import corpus_pipeline
-from skyledger.llm import queries
+from skyledger.llm import queries, suffix_dedup
 from tests.conftest import SMALL
 from tests.llm import test_decontaminate, test_neardup
 from tests.llm.test_bpe import expected, library  # noqa: F401
@@ -63,3 +65,88 @@ def test_stages_keep_columns_and_odd_rows(spark, stage):
 
 def test_list_of_stages():
     assert len(corpus_pipeline.STAGES) == 5 and public_tokenizers.path(queries.RANKS)
+
+
+def marked_words(rows, window):
+    """Per row, which characters lie in repeated windows of words, or between two that touch."""
+    found = [list(re.finditer(r"[^\x20\x09-\x0D]+", t)) for _, t in rows]
+    runs = lambda w: [tuple(x[0] for x in w[i : i + window]) for i in range(len(w) - window + 1)]
+    seen = Counter(r for w in found for r in runs(w))
+    out = []
+    for (_, t), w in zip(rows, found, strict=True):
+        gone = [False] * len(t)
+        words = sorted({i + k for i, r in enumerate(runs(w)) if seen[r] > 1 for k in range(window)})
+        for i in words:
+            a, b = w[i].start(), w[i + 1].start() if i + 1 in words else w[i].end()
+            gone[a:b] = [True] * (b - a)
+        out.append(gone)
+    return out
+
+
+def gone_words(rows, window):
+    """Texts without repeated windows of words."""
+    both = zip(rows, marked_words(rows, window), strict=True)
+    return sorted((d, "".join(c for c, g in zip(t, m, strict=True) if not g)) for (d, t), m in both)
+
+
+def gone_both(rows):
+    """Texts without repeated windows of 400 bytes or 51 words."""
+    seen = Counter(b[p : p + 400] for b in (t.encode() for _, t in rows) for p in range(len(b) - 399))
+    out = []
+    for (d, t), marked in zip(rows, marked_words(rows, 51), strict=True):
+        b = t.encode()
+        gone = bytearray(len(b))
+        for p in range(len(b) - 399):
+            if seen[b[p : p + 400]] > 1:
+                gone[p : p + 400] = b"\1" * 400
+        kept, at = "", 0
+        for c, m in zip(t, marked, strict=True):
+            size = len(c.encode())
+            kept += c if not (m or any(gone[at : at + size])) else ""
+            at += size
+        out.append((d, kept))
+    return out
+
+
+def test_all_stages_with_both_windows(spark, library):  # noqa: F811
+    judged = {r.doc_id: r.predicted for r in queries.op1_quality_trees(spark, SMALL).collect()}
+    docs = queries.table(spark, SMALL, "documents").collect()
+    rows = [(r.doc_id, r.text) for r in docs if judged[r.doc_id]]
+    kept = {r[0] for r in test_neardup.brute(rows) if r[3]}
+    rows = gone_both([r for r in rows if r[0] in kept])
+    items = [(r.item_id, r.text) for r in queries.table(spark, SMALL, "benchmark").collect()]
+    bad = {r[0] for r in test_decontaminate.brute(rows, items)}
+    want = sorted((d, *expected(library, t)) for d, t in rows if d not in bad)
+    assert sorted(tuple(r)[:4] for r in corpus_pipeline.run(spark, SMALL).collect()) == want
+
+
+def test_planted_passages_of_51_words_go(spark):
+    """Passages of 51 words, all far below 400 bytes, in pairs and in a group; those of 50 stay."""
+    rng = random.Random(7)
+    own = lambda n: [f"{rng.randrange(10**6):x}" for _ in range(n)]
+    long, tiny, short = own(51), [f"é{i}" for i in range(51)], own(50)
+    texts = [" ".join(own(rng.randrange(90)) + p + own(rng.randrange(90)))
+             for p in [long] * 2 + [tiny] * 5 + [short] * 2 + [long + own(30), long + own(30)] + [[]] * 3]
+    texts[1] = texts[1].replace(" ", "\n\t")
+    assert all(len(" ".join(p).encode()) < 400 for p in (long, tiny))
+    rows = list(enumerate(texts)) + [(101, "")]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    found = corpus_pipeline.without_repeats(spark, docs, SMALL).collect()
+    left = {r.doc_id: r.text for r in found}
+    assert sorted(left.items()) == gone_words(rows, 51)
+    for passage in (long, tiny):
+        assert not any(" ".join(passage) in " ".join(t.split()) for t in left.values())
+    assert sum(" ".join(short) in t for t in left.values()) == 2
+    assert all(r.n_chars == len(r.text) for r in found)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_windows_of_few_words(spark, seed):
+    rng = random.Random(seed)
+    pieces = [[rng.choice("abc") for _ in range(rng.choice([6, 12, 20]))] for _ in range(8)]
+    rows = [(i, " ".join(sum((rng.choice([rng.choice(pieces), [rng.choice("abcdé")] * 2])
+                              for _ in range(rng.randrange(7))), []))) for i in range(40)]
+    docs = spark.createDataFrame(rows + [rows[5]], "doc_id long, text string")
+    found = suffix_dedup.remove_repeats(docs, words=8).collect()
+    assert sorted(map(tuple, found)) == gone_words(rows + [rows[5]], 8)
