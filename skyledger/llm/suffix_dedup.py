@@ -1,9 +1,9 @@
-"""Exact substring duplicates: depth-limited radix sort of all suffixes.
+"""Exact substring duplicates: runs of windows grouped by digests, in place of a radix sort.
 
-Suffixes are compared through 400 bytes only, so sorting them is a few passes over digits, from
-the most significant, that part them into groups; a group of one is finished, and the groups left
-after the last digit are exactly the repeated windows. The digits are not cut from the left
-but around the window's anchor (see ``runs``), which equal windows have at the same offset, so
+Suffixes are compared through 400 bytes only. None are ordered, and no digits are cut from the
+left: a few passes part them into groups by keys and digests; a group of one is finished, and the
+groups left after the last pass are exactly the repeated windows. What a pass compares lies
+around the window's anchor (see ``runs``), which equal windows have at the same offset, so
 neighbouring suffixes move through the first passes as one run:
 
 1. the anchor's 100 bytes; runs whose anchor occurs once are finished. Runs with equal hulls
