@@ -18,8 +18,9 @@ Equal sets are one class first, so copies cost one row. Pairs under a key are no
 3. texts meet once for each cluster, in blocks again; tasks compare full sets through an inverted
    index and return a spanning forest of the true links, whose components are the result.
 
-Rows that move are in proportion to documents and keys. The comparisons inside a block are in
-numpy; they grow with the square of a group of near copies that are all different, because any
+Rows that move are in proportion to documents and keys, but for groups of several blocks: each row
+goes to every block of its group, whole text included in step 3, so these rows grow with the square
+of the group. The comparisons inside a block are in numpy; they also grow with the square of a group of near copies that are all different, because any
 two of them can be the one link between two components.
 
 Defined cases: a document without words or with null text has no shingles and is linked with
