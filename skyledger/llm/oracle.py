@@ -101,9 +101,50 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM payloads LEFT JOIN first USING (payload_digest)
 """
 
+
+
+def _clusters(rounds: int = 10) -> str:
+    """A round each: every vector's nearest centroid, then the floors of the clusters' means."""
+    square = "list_sum(list_transform(range(1, 65), lambda i: (k.v[i] - c.v[i]) * (k.v[i] - c.v[i])))"
+    assign = f"""a{{0}} AS MATERIALIZED (
+    SELECT row, any_value(k.vec_id) AS vec_id, any_value(k.v) AS v,
+           min({{{{'d': {square}, 'c': c.c}}}}) AS best
+    FROM kept k, c{{0}} c GROUP BY row
+)"""
+    move = """c{1} AS MATERIALIZED (
+    SELECT c.c, coalesce(m.v, c.v) AS v FROM c{0} c LEFT JOIN (
+        SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM (
+            SELECT best.c AS c, i, sum(v[i]) AS s, count(*) AS n
+            FROM a{0}, range(1, 65) t(i) GROUP BY ALL
+        ) GROUP BY c
+    ) m USING (c)
+)"""
+    parts = [assign.format(0)]
+    for r in range(rounds):
+        parts += [move.format(r, r + 1), assign.format(r + 1)]
+    return f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS row, vec_id,
+           list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE len(embedding) = 64
+      AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x::DOUBLE))) = 64
+), c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS c, v FROM kept
+    ORDER BY sha256('3:' || vec_id), v LIMIT 8
+), {", ".join(parts)}
+SELECT vec_id, best.c::INT AS cluster, best.d::BIGINT AS distance,
+       (sum(best.d) OVER (PARTITION BY best.c))::BIGINT AS cluster_inertia,
+       (sum(best.d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} c ON c.c = best.c
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op2_suffix_dedup": OP2,
     "op4_near_duplicates": OP4,
     "op5_doubling_dedup": OP5,
     "op9_warc": OP9,
+    "op12_centroid_clusters": _clusters(),
 }

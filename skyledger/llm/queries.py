@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.llm import (
     bpe,
+    centroid_search,
     decontaminate,
     doubling_dedup,
+    fingerprints,
     language_mixture,
     neardup,
     ngram_rules,
@@ -18,6 +20,7 @@ from skyledger.llm import (
     suffix_dedup,
     url_rules,
     warc,
+    whitening,
 )
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -71,6 +74,18 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+def op12_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return centroid_search.cluster(table(spark, folder, "embeddings"))
+
+
+def op13_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_trees": op1_quality_trees,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -82,4 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_warc": op9_warc,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_whitening": op11_whitening,
+    "op12_centroid_clusters": op12_centroid_clusters,
+    "op13_fingerprints": op13_fingerprints,
 }

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 SLICE_BYTES = 1 << 20
 
@@ -131,6 +132,10 @@ class Words:
     def hashes(self, data: np.ndarray) -> np.ndarray:
         return SpanHash(data)(self.start, self.end)
 
+    def identities(self, data: np.ndarray) -> np.ndarray:
+        """64 bits of the bytes of each word, where equality decides a result."""
+        return word_identities(data, self.start, self.end)
+
     def gram_starts(self, size: int) -> np.ndarray:
         """Words that begin a run of ``size`` words of one row."""
         if len(self) < size:
@@ -139,6 +144,33 @@ class Words:
         return np.flatnonzero(self.row[:n] == self.row[size - 1 :])
 
 
+#: Words of more bytes are hashed one by one.
+_LONG_WORD = 256
+
+
+def word_identities(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of some spans: eight bytes at a time, each mixed before the next joins.
+
+    Unlike ``SpanHash`` it is no polynomial, whose structure lets certain spans collide.
+    """
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    eights = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    length = end - start
+    total = mix(length.astype(np.uint64) + np.uint64(_BASE))
+    live, at = np.flatnonzero(length <= _LONG_WORD), 0
+    live = live[length[live] > 0]
+    while len(live):
+        left = np.minimum(length[live] - at, 8).astype(np.uint64)
+        taken = eights[start[live] + at] & (~np.uint64(0) >> (np.uint64(64) - np.uint64(8) * left))
+        total[live] = mix((total[live] ^ taken) * _STEPS[0] + _STEPS[1])
+        at += 8
+        live = live[length[live] > at]
+    for i in np.flatnonzero(length > _LONG_WORD):
+        total[i] = xxhash.xxh3_64_intdigest(data[start[i] : end[i]].tobytes())
+    return total
+
+
 def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """Hash of each run of ``size`` word hashes, by its first word (over the whole slice)."""
     n = len(words) - size + 1
