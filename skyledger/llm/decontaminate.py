@@ -45,7 +45,7 @@ PASSAGE = "doc_id bigint, text_hash bigint, start bigint, words array<int>, seed
 
 def _lowered(part: Slice) -> tuple[Words, np.ndarray]:
     words = Words(part)
-    return words, words.hashes(LOWER[part.data])
+    return words, words.identities(LOWER[part.data])
 
 
 def _short(hashes: np.ndarray) -> np.ndarray:

@@ -43,14 +43,13 @@ def _measure(part: Slice, window: int = WINDOW) -> runs.Runs:
 
 
 def _measured(part: Slice, words: Words, window: int) -> runs.Runs:
-    hashes = words.hashes(part.data)
-    grams = gram_hashes(hashes, window // 4)
-    units = memoryview(hashes).cast("B")
-    return runs.find_runs(units, 8, grams, words.begin, window, window // 4)
+    grams = gram_hashes(words.identities(part.data), window // 4)
+    data, *spans = words.joined(part.data)
+    return runs.find_runs(data, tuple(spans), grams, words.begin, window, window // 4)
 
 
 def _levels(
-    docs: DataFrame, measure: runs.Measure, found: Broadcast, bits: Broadcast, window: int
+    docs: DataFrame, found: Broadcast, bits: Broadcast, window: int
 ) -> DataFrame:
     """The open windows: hash of half the words, digest of all of them."""
     half = window // 2
@@ -60,8 +59,9 @@ def _levels(
         for batch in batches:
             hashes = batch.column(2).to_numpy()
             for part in slices(batch.column(0)):
-                own = measure(part)
-                halves = gram_hashes(np.frombuffer(own.units, np.uint64), half)
+                words = Words(part)
+                own = _measured(part, words, window)
+                halves = gram_hashes(words.identities(part.data), half)
                 own = runs.open_runs(own, hashes[part.first :], bits, found)
                 n = own.last - own.first + 1
                 index = np.repeat(np.arange(len(n)), n)
@@ -93,7 +93,7 @@ def _levels(
     )
 
 
-def _later_windows(windows: DataFrame, window: int) -> DataFrame:
+def _later_windows(windows: DataFrame, window: int) -> tuple[DataFrame, str]:
     """Stretches (doc_order, text_hash, start, end) of windows that occur earlier as well."""
     # Windows of a run that have their anchor early share one half, which counts once.
     spread = F.col("half").bitwiseXOR(F.col("before"))
@@ -112,11 +112,11 @@ def _later_windows(windows: DataFrame, window: int) -> DataFrame:
     later = (
         longer.join(earliest, ["whole_a", "whole_b"])
         .where(own > F.col("earliest"))
-        .select("doc_order", "text_hash", "start", (F.col("start") + window).alias("end"))
+        .select("doc_order", "text_hash", "start")
     )
-    later, _ = write_shared(later, "later-windows")
+    later, later_path = write_shared(runs.stretched(later, window), "later-windows")
     drop_paths(windows.sparkSession, [path])
-    return later
+    return later, later_path
 
 
 def later_repeats(docs: DataFrame, window: int) -> tuple[DataFrame, Broadcast]:
@@ -125,12 +125,12 @@ def later_repeats(docs: DataFrame, window: int) -> tuple[DataFrame, Broadcast]:
     found = runs.key_bits(docs, measure)
     groups, groups_path = runs.hull_groups(docs, measure, found)
     bits, _ = runs.open_bits(groups, F.lit(False))
-    windows, windows_path = write_shared(_levels(docs, measure, found, bits, window), "windows")
-    later = _later_windows(windows, window)
+    windows, windows_path = write_shared(_levels(docs, found, bits, window), "windows")
+    later, later_path = _later_windows(windows, window)
     places = runs.by_document(groups.select("first.*"), F.col("place"), "places")
     spans = runs.by_document(later, F.struct("start", "end"), "spans")
     listed = runs.with_lists(docs, places, spans)
-    drop_paths(docs.sparkSession, [groups_path, windows_path])
+    drop_paths(docs.sparkSession, [groups_path, windows_path, later_path])
     return listed, found
 
 
@@ -143,22 +143,19 @@ def all_repeats(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame, Bro
     found = runs.key_bits(docs, measure)
     groups, groups_path = runs.hull_groups(docs, measure, found)
     bits, _ = runs.open_bits(groups, F.col("n") > 1)
-    windows, windows_path = write_shared(_levels(docs, measure, found, bits, window), "windows")
+    windows, windows_path = write_shared(_levels(docs, found, bits, window), "windows")
     whole = ["whole_a", "whole_b"]
     equal, equal_path = write_shared(
         windows.groupBy(*whole).count().where("count > 1").select(*whole), "equal-windows"
     )
     bitmap, bitmap_path = key_bitmap(equal, F.col("whole_a"))
     start = (F.col("at") - F.col("l")).alias("start")
-    spans = (
-        may_have(windows, F.col("whole_a"), bitmap)
-        .join(equal, whole)
-        .select("doc_order", "text_hash", F.struct(start, (start + window).alias("end")).alias("span"))
-    )
+    repeated = may_have(windows, F.col("whole_a"), bitmap).join(equal, whole)
+    spans = runs.stretched(repeated.select("doc_order", "text_hash", start), window)
     lone = groups.where("n = 1").select("first.*")
     return (
         runs.by_document(lone, F.col("place"), "word_places"),
-        runs.by_document(spans, F.col("span"), "word_spans"),
+        runs.by_document(spans, F.struct("start", "end"), "word_spans"),
         found,
         [groups_path, windows_path, equal_path, bitmap_path],
     )

@@ -69,7 +69,7 @@ def shingles(part: Slice) -> tuple[np.ndarray, np.ndarray]:
     """(row, hash) of the distinct shingles of each row, sorted by both."""
     data = LOWER[part.data]
     words = Words(part)
-    hashes = words.hashes(data)
+    hashes = words.identities(data)
     starts = words.gram_starts(SHINGLE)
     rows, found = [words.row[starts]], [gram_hashes(hashes, SHINGLE)[starts]]
     for size in range(1, SHINGLE):

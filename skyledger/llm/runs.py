@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.prune import bitmap_array, hits, key_bitmap, may_have, surely_not
@@ -50,12 +50,12 @@ _OFFSET = 10
 class Runs:
     """Runs of the rows of a slice, by unit of the whole slice.
 
-    ``units`` holds the units end to end, ``width`` bytes each; ``begin`` is the first unit of
-    each row.
+    ``data`` holds the bytes of the units, which are single bytes or, with ``spans``, stretches
+    that begin and end there; ``begin`` is the first unit of each row.
     """
 
-    units: memoryview
-    width: int
+    data: memoryview
+    spans: tuple[np.ndarray, np.ndarray] | None
     window: int
     begin: np.ndarray
     row: np.ndarray
@@ -66,7 +66,7 @@ class Runs:
 
     def pick(self, chosen: np.ndarray) -> Runs:
         parts = (x[chosen] for x in (self.row, self.anchor, self.first, self.last, self.key))
-        return Runs(self.units, self.width, self.window, self.begin, *parts)
+        return Runs(self.data, self.spans, self.window, self.begin, *parts)
 
     @property
     def place(self) -> np.ndarray:
@@ -76,9 +76,11 @@ class Runs:
         return at << 2 * _OFFSET | offsets
 
     def digests(self, start: np.ndarray, end: np.ndarray, seeds: np.ndarray) -> np.ndarray:
-        """128 bits of each stretch of units and its seed, as two columns."""
-        places = zip((start * self.width).tolist(), (end * self.width).tolist(), seeds.tolist(), strict=True)
-        view = self.units
+        """128 bits of the bytes of each stretch of units and its seed, as two columns."""
+        if self.spans:
+            start, end = self.spans[0][start], self.spans[1][end - 1]
+        places = zip(start.tolist(), end.tolist(), seeds.tolist(), strict=True)
+        view = self.data
         found = b"".join([xxhash.xxh3_128_digest(view[a:b], seed) for a, b, seed in places])
         return np.frombuffer(found, "<i8").reshape(-1, 2)
 
@@ -89,7 +91,12 @@ class Runs:
 
 
 def find_runs(
-    units: memoryview, width: int, grams: np.ndarray, begin: np.ndarray, window: int, gram: int
+    data: memoryview,
+    spans: tuple[np.ndarray, np.ndarray] | None,
+    grams: np.ndarray,
+    begin: np.ndarray,
+    window: int,
+    gram: int,
 ) -> Runs:
     """All runs of a slice. ``grams`` has the hash of each gram by its first unit.
 
@@ -99,7 +106,7 @@ def find_runs(
     total = int(counts.sum())
     if not total:
         none = np.zeros(0, np.int64)
-        return Runs(units, width, window, begin, none, none, none, none, none.view(np.uint64))
+        return Runs(data, spans, window, begin, none, none, none, none, none.view(np.uint64))
     row = np.repeat(np.arange(len(counts)), counts)
     start = np.arange(total) + np.repeat(begin[:-1] - (np.cumsum(counts) - counts), counts)
     places = np.arange(len(grams), dtype=np.uint64)
@@ -108,7 +115,7 @@ def find_runs(
     first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
     last = np.append(first[1:], total) - 1
     at = anchor[first]
-    return Runs(units, width, window, begin, row[first], at, start[first], start[last], grams[at])
+    return Runs(data, spans, window, begin, row[first], at, start[first], start[last], grams[at])
 
 
 Measure = Callable[[Slice], Runs]
@@ -217,6 +224,21 @@ def by_document(rows: DataFrame, value: Column, name: str) -> DataFrame:
     return rows.groupBy("doc_order", "text_hash").agg(F.collect_list(value).alias(name))
 
 
+def stretched(windows: DataFrame, window: int) -> DataFrame:
+    """Rows (doc_order, text_hash, start) of windows as stretches (.., start, end) of those that meet."""
+    own = ["doc_order", "text_hash"]
+    in_order = Window.partitionBy(*own).orderBy("start")
+    before = F.lag("start").over(in_order)
+    begins = F.coalesce(F.col("start") - before > window, F.lit(True)).cast("int")
+    return (
+        windows.withColumn("begins", begins)
+        .withColumn("stretch", F.sum("begins").over(in_order))
+        .groupBy(*own, "stretch")
+        .agg(F.min("start").alias("start"), (F.max("start") + window).alias("end"))
+        .drop("stretch")
+    )
+
+
 def with_lists(docs: DataFrame, *lists: DataFrame) -> DataFrame:
     """``docs`` with the ``lists`` (places, spans) of each document, null where it has none.
 

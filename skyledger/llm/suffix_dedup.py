@@ -49,7 +49,7 @@ NEAR = WIDTHS[0]
 def _measure(part: Slice, window: int = WINDOW, anchor: int = ANCHOR) -> runs.Runs:
     """The runs of a slice, in bytes."""
     grams = SpanHash(part.data).grams(anchor)
-    return runs.find_runs(memoryview(part.data), 1, grams, part.offsets, window, anchor)
+    return runs.find_runs(memoryview(part.data), None, grams, part.offsets, window, anchor)
 
 
 def _cores(

@@ -1,7 +1,7 @@
 """Bytes, words and rolling hashes of whole texts, as numpy arrays over Arrow batches.
 
-Texts are handled in slices of about a megabyte, so a task's memory does not grow with its
-batch; a longer text is a slice of its own.
+Texts are handled in slices of about a quarter of a megabyte, so a task's memory does not grow
+with its batch; a longer text is a slice of its own.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 #: Words are ``[^\x20\x09-\x0D]+``: these bytes part them.
 IS_SPACE = np.zeros(256, bool)
@@ -136,6 +136,16 @@ class Words:
         """64 bits of the bytes of each word, where equality decides a result."""
         return word_identities(data, self.start, self.end)
 
+    def joined(self, data: np.ndarray) -> tuple[memoryview, np.ndarray, np.ndarray]:
+        """The words' bytes with one space after each, and where each word begins and ends there."""
+        lengths = self.end - self.start
+        n = int(lengths.sum())
+        start = np.cumsum(lengths + 1) - lengths - 1
+        index = np.arange(n) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        found = np.full(n + len(self), 32, np.uint8)
+        found[np.repeat(start, lengths) + index] = data[np.repeat(self.start, lengths) + index]
+        return memoryview(found), start, start + lengths
+
     def gram_starts(self, size: int) -> np.ndarray:
         """Words that begin a run of ``size`` words of one row."""
         if len(self) < size:

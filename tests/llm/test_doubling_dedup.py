@@ -8,7 +8,9 @@ import pytest
 
 from skyledger.llm import doubling_dedup, queries
 from skyledger.llm.oracle import ORACLE_SQL
+from skyledger.llm.text import SLICE_BYTES
 from tests.conftest import SMALL
+from tests.llm.test_neardup import colliding
 from tests.oracle_check import connect, difference
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -66,3 +68,20 @@ def test_odd_rows(spark):
     assert run(spark, rows) == brute(rows)
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert doubling_dedup.word_digests(empty).count() == 0
+
+
+def test_words_that_collide_as_polynomials(spark):
+    a, b = colliding()
+    rest = [f"w{i}" for i in range(25)]
+    rows = [(1, " ".join([*rest, a])), (2, " ".join([*rest[:12], b, *rest[12:]])),
+            (3, " ".join([*rest[:12], a, *rest[12:]])), (4, " ".join([b, *rest[6:], b])),
+            (5, f"{a} {b} " * 30), (6, f"{b} {a} " * 9 + f"{a} " * 20)]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_text_longer_than_a_slice(spark):
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(60_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:5000] + words[100:300])), (3, " ".join(words[59_000:]))]
+    assert len(rows[0][1]) > SLICE_BYTES
+    assert run(spark, rows) == brute(rows)

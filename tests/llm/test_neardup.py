@@ -117,3 +117,19 @@ def test_components_of_a_chain(spark):
     )
     found = {r.node: r.label for r in components(edges).collect()}
     assert found == {i: 0 for i in range(41)} | {100: 100, 101: 100}
+
+
+def colliding():
+    """Two words that collide in every polynomial hash modulo a power of two."""
+    a, b = "a", "b"
+    for _ in range(10):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_words_that_collide_as_polynomials(spark):
+    a, b = colliding()
+    rest = " ".join(f"w{i}" for i in range(12))
+    rows = [(1, a), (2, b), (3, a + " x y z v"), (4, b + " x y z v"), (5, a), (6, f"{rest} {a}"),
+            (7, f"{rest} {b} {b}"), (8, f"{a} {b} {a}"), (9, f"{b} {a} {b}")]
+    assert run(spark, rows) == brute(rows)

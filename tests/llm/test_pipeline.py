@@ -6,9 +6,11 @@ from collections import Counter
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from skyledger.llm import queries, suffix_dedup
+from skyledger.llm.text import SLICE_BYTES
 from tests.conftest import SMALL
 from tests.llm import test_decontaminate, test_neardup
 from tests.llm.test_bpe import expected, library  # noqa: F401
@@ -16,40 +18,6 @@ from tests.llm.test_bpe import expected, library  # noqa: F401
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def plain_cut(rows):
-    """Texts without repeated windows, by whole characters."""
-    seen = Counter(b[p : p + 400] for b in (t.encode() for _, t in rows) for p in range(len(b) - 399))
-    out = []
-    for d, t in rows:
-        b = t.encode()
-        gone = bytearray(len(b))
-        for p in range(len(b) - 399):
-            if seen[b[p : p + 400]] > 1:
-                gone[p : p + 400] = b"\1" * 400
-        kept, at = "", 0
-        for c in t:
-            size = len(c.encode())
-            kept += c if not any(gone[at : at + size]) else ""
-            at += size
-        out.append((d, kept))
-    return out
-
-
-def test_stages_against_plain_python(spark, library):  # noqa: F811
-    judged = {r.doc_id: r.predicted for r in queries.op1_quality_trees(spark, SMALL).collect()}
-    docs = queries.table(spark, SMALL, "documents").collect()
-    rows = [(r.doc_id, r.text) for r in docs if judged[r.doc_id]]
-    kept = {r[0] for r in test_neardup.brute(rows) if r[3]}
-    rows = plain_cut([r for r in rows if r[0] in kept])
-    items = [(r.item_id, r.text) for r in queries.table(spark, SMALL, "benchmark").collect()]
-    bad = {r[0] for r in test_decontaminate.brute(rows, items)}
-    assert 0 < len(kept) < len(docs) and bad
-    want = sorted((d, *expected(library, t)) for d, t in rows if d not in bad)
-    found = corpus_pipeline.run(spark, SMALL).collect()
-    assert sorted(tuple(r)[:4] for r in found) == want
-    assert all(len(r.ids) == r.n_tokens for r in found)
-
-
 @pytest.mark.parametrize("stage", [s for _, s in corpus_pipeline.STAGES[:-1]])
 def test_stages_keep_columns_and_odd_rows(spark, stage):
     some = queries.table(spark, SMALL, "documents").limit(20)
@@ -108,16 +76,43 @@ def gone_both(rows):
     return out
 
 
-def test_all_stages_with_both_windows(spark, library):  # noqa: F811
-    judged = {r.doc_id: r.predicted for r in queries.op1_quality_trees(spark, SMALL).collect()}
-    docs = queries.table(spark, SMALL, "documents").collect()
-    rows = [(r.doc_id, r.text) for r in docs if judged[r.doc_id]]
+def plain_stages(spark, folder, library):
+    """(doc_id, n_tokens, digests) after all stages, by plain Python but for the classifier's verdicts."""
+    judged = {r.doc_id: r.predicted for r in queries.op1_quality_trees(spark, folder).collect()}
+    docs = queries.table(spark, folder, "documents").collect()
+    rows = [(r.doc_id, r.text or "") for r in docs if judged[r.doc_id]]
     kept = {r[0] for r in test_neardup.brute(rows) if r[3]}
     rows = gone_both([r for r in rows if r[0] in kept])
-    items = [(r.item_id, r.text) for r in queries.table(spark, SMALL, "benchmark").collect()]
+    items = [(r.item_id, r.text) for r in queries.table(spark, folder, "benchmark").collect()]
     bad = {r[0] for r in test_decontaminate.brute(rows, items)}
-    want = sorted((d, *expected(library, t)) for d, t in rows if d not in bad)
-    assert sorted(tuple(r)[:4] for r in corpus_pipeline.run(spark, SMALL).collect()) == want
+    assert 0 < len(rows) < len(docs) and bad
+    return sorted(((d, *expected(library, t)) for d, t in rows if d not in bad), key=str)
+
+
+def test_stages_against_plain_python(spark, library):  # noqa: F811
+    found = corpus_pipeline.run(spark, SMALL).collect()
+    assert sorted((tuple(r)[:4] for r in found), key=str) == plain_stages(spark, SMALL, library)
+    assert all(len(r.ids) == r.n_tokens for r in found)
+
+
+def test_odd_rows_through_all_stages(spark, library, tmp_path):  # noqa: F811
+    """Nulls, empty texts, repeated rows and ids, a text longer than a slice, a clashing column."""
+    rng = random.Random(9)
+    docs = queries.table(spark, SMALL, "documents")
+    good = [r.text for r in docs.where("length(text) > 700").orderBy("doc_id").limit(3).collect()]
+    vocabulary = " ".join(good).split()
+    long = " ".join(rng.choice(vocabulary) for _ in range(60_000))
+    assert len(long.encode()) > SLICE_BYTES
+    odd = [(None, good[0] + " and more", None, None, None), (90_001, None, "en", None, 4), (90_002, "", "en", "s", 0),
+           (90_003, " \n\t", None, "s", 3), (90_004, long, "en", "s", None),
+           (90_005, good[1] + " once", "en", "s", 1), (90_005, good[1] + " once", "en", "s", 1),
+           (90_006, good[2], "en", "s", 1), (-5, good[2], "en", "s", 1)]
+    whole = docs.union(spark.createDataFrame(odd, docs.schema)).withColumn("own", F.lit("clash"))
+    whole.write.parquet(str(tmp_path / "documents.parquet"))
+    for name in ("labels", "benchmark"):
+        queries.table(spark, SMALL, name).write.parquet(str(tmp_path / f"{name}.parquet"))
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted((tuple(r)[:4] for r in found), key=str) == plain_stages(spark, str(tmp_path), library)
 
 
 def test_planted_passages_of_51_words_go(spark):
