@@ -31,6 +31,8 @@ from skyledger.llm.text import slices
 QUERY_PIECES = 40_000
 KEPT_PIECES = 600_000
 DUCKDB_MEMORY = "256MB"
+#: Bytes of text worked through at once: fewer make more queries of the same words.
+BYTES = 1 << 20
 
 ENCODE = """
 WITH RECURSIVE state(w, p, tok, done) AS (
@@ -177,7 +179,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text") ->
     def ids(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
             codec, found = _codec(name, pattern), []
-            for part in slices(pa.array(batch, pa.string())):
+            for part in slices(pa.array(batch, pa.string()), BYTES):
                 rows = [part.bytes_of(i).decode() for i in range(len(part))]
                 found += [np.frombuffer(x, "<u4").astype(np.int64) for x in codec.encode(rows)]
             yield pd.Series(found, dtype=object)
@@ -203,7 +205,7 @@ def token_digests(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             codec = _codec(name, pattern)
-            for part in slices(batch.column(1)):
+            for part in slices(batch.column(1), BYTES):
                 texts = [part.bytes_of(i).decode() for i in range(len(part))]
                 ids = codec.encode(texts)
                 sha = lambda rows: [hashlib.sha256(x).hexdigest() for x in rows]
