@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+from oracles.forest import forest, permuted
 from oracles.parts import (
     DELAY_FLAG_PCT,
     LATE15,
@@ -1164,6 +1167,40 @@ SQL["m12_base_permutation_importance"] = SPLIT + f"""
 SELECT f.feature, {rnd("coalesce((SELECT area FROM areas WHERE v = 'none') - area, 0e0)", 9)} AS importance
 FROM (SELECT unnest({SHUFFLED}) AS feature) f LEFT JOIN areas ON v = f.feature"""
 
+# The forest.
+
+FOREST = SPLIT + forest(trees=20, depth=8, min_leaf=50, tried=4, bins=64, seed=42)
+NAMES = "[" + ", ".join(f"'{name}'" for name in SHUFFLED) + "]"
+IMPORTANCE = f"""
+, falls AS (
+    SELECT t, f, SUM(gain * (n0 * k0 + n1 * k1)) AS fall FROM nodes, classes_weighed
+    WHERE gain IS NOT NULL GROUP BY ALL
+), shares AS (
+    SELECT f, fall / SUM(fall) OVER (PARTITION BY t) AS share FROM falls
+), gini AS (
+    SELECT n.name, coalesce(SUM(share) / (SELECT COUNT(DISTINCT t) FROM falls), 0e0) AS importance
+    FROM (SELECT unnest({NAMES}) AS name, unnest(range({len(SHUFFLED)})) AS f) n
+    LEFT JOIN shares USING (f) GROUP BY n.name
+)"""
+SQL["m7_node_table"] = FOREST + f"""
+SELECT t::INTEGER AS tree, node, level, n0, n1, ({NAMES})[f + 1] AS feature, b::INTEGER AS bin,
+    {rnd("gain", 9)} AS gain FROM nodes"""
+SQL["m7_fitted_forest"] = FOREST + IMPORTANCE + f"""
+SELECT 20 AS trees, (SELECT COUNT(*) FROM nodes)::INTEGER AS nodes,
+    {rnd("(SELECT SUM(importance) FROM gini)", 6)} AS importance_sum,
+    (SELECT COUNT(*) FROM placed WHERE NOT is_test) AS train_rows"""
+SQL["m9_feature_importance"] = FOREST + IMPORTANCE + f"""
+SELECT name AS feature, {rnd("importance", 9)} AS importance FROM gini"""
+SQL["m8_scores_by_carrier"] = FOREST + f"""
+SELECT carrier_enc, "month", COUNT(*) AS n, {rnd("AVG(p)", 9)} AS mean_score FROM forest_scored GROUP BY ALL"""
+for part in ("m8_{}metrics", "m8_{}class_report", "m10_{}roc_curve", "m11_{}confusion_matrix"):
+    report = SQL[part.format("base_")].removeprefix(SPLIT)
+    SQL[part.format("")] = FOREST + re.sub(r"\bscored\b", "forest_scored", report)
+SQL["m12_permutation_importance"] = FOREST + permuted(20, 8) + f"""
+SELECT n.name AS feature, {rnd("(SELECT area FROM areas WHERE v = -1) - area", 9)} AS importance
+FROM areas JOIN (SELECT unnest({NAMES}) AS name, unnest(range({len(SHUFFLED)})) AS v) n USING (v)"""
+SQL["m13_saved_metrics"] = SQL["m8_metrics"]
+
 NOT_OVER_FLIGHTS = {
     "n0_classify_questions",
     "n0_classify_composed",

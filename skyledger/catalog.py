@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from skyledger.functions.fixed_values import SAMPLE_QUESTIONS
 from skyledger.functions.numeric import round_to
 from skyledger.operators.connections import connections
+from skyledger.operators.trees import Growth
 from skyledger.plans import (
     advanced,
     bi,
@@ -57,7 +58,7 @@ WINDOWS = [
     ("Spring Break", "1998-03-13", "1998-03-22"),
     ("Memorial Day", "1998-05-22", "1998-05-25"),
 ]
-FOREST = {"trees": 20, "depth": 8}
+FOREST = Growth(trees=20, depth=8)
 
 Query = Callable[[DriverTables], DataFrame]
 
@@ -236,16 +237,17 @@ def _sides(t: DriverTables) -> tuple[DataFrame, DataFrame]:
 
 
 def _forest(t: DriverTables):
-    return _once(t, "forest", lambda: delay_model.train_forest(_sides(t)[0], **FOREST))
+    return _once(t, "forest", lambda: delay_model.grow_forest(_sides(t)[0], FOREST))
 
 
 def _scored(t: DriverTables) -> DataFrame:
     """All test rows as the forest scores them, written once."""
-    return _once(
-        t,
-        "scored",
-        lambda: write_shared(delay_model.score(_forest(t), _sides(t)[1]), "scored")[0],
-    )
+
+    def make() -> DataFrame:
+        scored = delay_model.trees_scorer(_forest(t))(_sides(t)[1])
+        return write_shared(scored.select("label", "prediction", "probability"), "scored")[0]
+
+    return _once(t, "scored", make)
 
 
 def _base_scored(t: DriverTables) -> DataFrame:
@@ -271,27 +273,36 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 def fitted_forest(t: DriverTables) -> DataFrame:
     """Size of the fitted forest, rows it could learn from, and the sum of its importances."""
-    model = _forest(t)
+    forest = _forest(t)
     train, _ = _sides(t)
-    gini = float(model.featureImportances.toArray().sum())
+    gini = delay_model.tree_importance(t.spark, forest).agg(F.sum("importance")).scalar()
     return train.agg(F.count(F.lit(1)).alias("train_rows")).select(
-        F.lit(model.getNumTrees).alias("trees"),
-        F.lit(model.totalNumNodes).alias("nodes"),
-        F.lit(round(gini, 6)).alias("importance_sum"),
+        F.lit(forest.trees).alias("trees"),
+        F.lit(len(forest.node)).alias("nodes"),
+        round_to(gini, 6).alias("importance_sum"),
         "train_rows",
     )
 
 
+def scores_by_carrier(t: DriverTables) -> DataFrame:
+    """Held-out rows and their mean score by carrier and month."""
+    scored = delay_model.trees_scorer(_forest(t))(_sides(t)[1])
+    means = scored.groupBy("carrier_enc", "month").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("probability").alias("mean_score")
+    )
+    return _rounded(means, "mean_score")
+
+
 def saved_metrics(t: DriverTables) -> DataFrame:
     path = work_path(t.spark, "metrics")
     one_row = delay_model.metrics(_scored(t))
     delay_model.save_metrics(one_row, path)
-    return t.spark.read.csv(path, header=True, schema=one_row.schema)
+    return _rounded(t.spark.read.csv(path, header=True, schema=one_row.schema), *one_row.columns)
 
 
 def permutation_importance(t: DriverTables) -> DataFrame:
-    scorer = delay_model.forest_scorer(_forest(t))
-    return delay_model.permutation_importance(scorer, _sides(t)[1])
+    scorer = delay_model.trees_scorer(_forest(t))
+    return _rounded(delay_model.permutation_importance(scorer, _sides(t)[1]), "importance")
 
 
 def base_permutation(t: DriverTables) -> DataFrame:
@@ -495,12 +506,30 @@ QUERIES: dict[str, Query] = {
         delay_model.confusion_matrix(_base_scored(t)), "pct"
     ),
     "m12_base_permutation_importance": base_permutation,
-    "m8_metrics": lambda t: delay_model.metrics(_scored(t)),
-    "m8_class_report": lambda t: delay_model.class_report(_scored(t)),
-    "m9_feature_importance": lambda t: delay_model.feature_importance(t.spark, _forest(t)),
-    "m10_roc_curve": lambda t: delay_model.roc_curve(_scored(t)),
-    "m11_confusion_matrix": lambda t: delay_model.confusion_matrix(_scored(t)),
+    "m7_node_table": lambda t: _rounded(delay_model.node_table(t.spark, _forest(t)), "gain"),
+    "m8_metrics": lambda t: _rounded(
+        delay_model.metrics(_scored(t)), "accuracy", "precision", "recall", "f1", "roc_auc"
+    ),
+    "m8_class_report": lambda t: _rounded(
+        delay_model.class_report(_scored(t)), "precision", "recall", "f1"
+    ),
+    "m8_scores_by_carrier": scores_by_carrier,
+    "m9_feature_importance": lambda t: _rounded(
+        delay_model.tree_importance(t.spark, _forest(t)), "importance"
+    ),
+    "m10_roc_curve": lambda t: _rounded(
+        delay_model.roc_curve(_scored(t)),
+        "threshold",
+        "false_positive_rate",
+        "true_positive_rate",
+    ),
+    "m11_confusion_matrix": lambda t: _rounded(
+        delay_model.confusion_matrix(_scored(t)), "pct"
+    ),
     "m12_permutation_importance": permutation_importance,
+    "m12_attribution_summary": lambda t: _rounded(
+        delay_model.attribution_summary(_sides(t)[1], _forest(t)), "mean_size", "mean"
+    ),
     "m13_saved_metrics": saved_metrics,
     # BI measures and chart reshapes
     "b1_b4_measures_by_carrier": lambda t: bi.bi_measures(t.flights, "carrier_code"),

@@ -1,4 +1,5 @@
-"""Predict delayed flights from schedule columns with a Spark ML random forest.
+"""Predict delayed flights from schedule columns with a random forest: trees grown from grouped
+counts, or Spark ML's.
 
 Nothing known only after departure is used: no actual times, delays or causes.
 """
@@ -19,6 +20,14 @@ from skyledger.operators.running import running_sums
 from skyledger.operators.sampling import row_hash
 from skyledger.operators.scoring import dense_rank_by, over_all
 from skyledger.operators.topk import top_k
+from skyledger.operators.trees import (
+    Forest,
+    Growth,
+    grow,
+    importances,
+    mean_attributions,
+    scores,
+)
 from skyledger.session import write_shared
 from skyledger.sources.sinks import write_table
 
@@ -205,6 +214,48 @@ def score(model: RandomForestClassificationModel, rows: DataFrame) -> DataFrame:
     )
 
 
+def tree_inputs(rows: DataFrame) -> DataFrame:
+    """Features as trees take them: sines and cosines to nine digits, so that equal angles are equal."""
+    cycles = [f for f in FEATURES if f.endswith(("_sin", "_cos"))]
+    return rows.withColumns({f: F.round(f, 9) for f in cycles})
+
+
+def grow_forest(train: DataFrame, growth: Growth = Growth()) -> Forest:
+    """Trees grown from counts over all training rows; both labels weigh the same in total."""
+    return grow(tree_inputs(train.select(*FEATURES, "label", "key")), list(FEATURES), growth)
+
+
+def trees_scorer(forest: Forest) -> Callable[[DataFrame], DataFrame]:
+    """A function that adds ``probability`` and ``prediction`` (above a half)."""
+
+    def add(rows: DataFrame) -> DataFrame:
+        found = tree_inputs(rows).withColumn("probability", scores(forest))
+        return found.withColumn("prediction", (F.col("probability") > 0.5).cast("double"))
+
+    return add
+
+
+def node_table(spark: SparkSession, forest: Forest) -> DataFrame:
+    """The forest's nodes, with the names of the features they split by."""
+    names = F.array(*map(F.lit, FEATURES.values()))
+    return forest.table(spark).withColumn("feature", F.get(names, F.col("feature")))
+
+
+def tree_importance(spark: SparkSession, forest: Forest) -> DataFrame:
+    """Gini importance per feature, from the node table."""
+    found = importances(forest.table(spark), list(FEATURES.values()), forest.weights)
+    return found.orderBy(*desc("importance"), *asc("feature"))
+
+
+def attribution_summary(rows: DataFrame, forest: Forest) -> DataFrame:
+    """Mean size and mean of each feature's Shapley value in the score of all rows."""
+    named = F.create_map(*[F.lit(x) for pair in FEATURES.items() for x in pair])
+    found = mean_attributions(tree_inputs(rows), forest)
+    return found.withColumn("feature", named[F.col("feature")]).orderBy(
+        *desc("mean_size"), *asc("feature")
+    )
+
+
 def confusion_matrix(scored: DataFrame) -> DataFrame:
     """All four cells with counts and percentages, from one pass."""
     cells = [(float(label), float(guess)) for label in (0, 1) for guess in (0, 1)]
@@ -365,28 +416,41 @@ def forest_scorer(model: RandomForestClassificationModel) -> Callable[[DataFrame
     return add
 
 
+def with_next(rows: DataFrame) -> DataFrame:
+    """Add ``next``: the features of the row with the next key, of the first row for the last.
+
+    Rows are dealt by the first three digits of their keys. The first row of each of these at most
+    4,096 parts comes after the last row of the part before. Rows with equal keys are equal.
+    """
+    values = F.struct(*FEATURES)
+    dealt = rows.withColumn("prefix", F.substring("key", 1, 3))
+    heads = dealt.groupBy("prefix").agg(F.min_by(values, "key").alias("head"))
+    ring = Window.partitionBy().orderBy("prefix")
+    first = F.first("head").over(ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    after = heads.select("prefix", F.coalesce(F.lead("head").over(ring), first).alias("after"))
+    following = F.lead(values).over(Window.partitionBy("prefix").orderBy("key"))
+    return (
+        dealt.withColumn("next", following)
+        .join(F.broadcast(after), "prefix")
+        .withColumn("next", F.coalesce("next", "after"))
+        .drop("after", "prefix")
+    )
+
+
 def permutation_importance(
     scorer: Callable[[DataFrame], DataFrame], test: DataFrame
 ) -> DataFrame:
     """Drop in ROC area when one feature is shuffled, for every feature in one job.
 
-    Rows are numbered in the order of their keys, which are hashes; the shuffled value of a
-    feature is the next row's, the first row's for the last. Each row is scored once as it is
-    and once per feature with that feature replaced.
+    Rows stand in a ring in the order of their keys, which are hashes; the shuffled value of a
+    feature is the next row's. Each row is scored once as it is and once per feature with that
+    feature replaced.
     """
     kinds = {f: test.schema[f].dataType for f in FEATURES}
-    ones = test.select(*FEATURES, "label", "key", F.lit(1).alias("one"))
-    numbered = running_sums(ones, [F.col("key").asc()], ["one"]).withColumnRenamed(
-        "one_so_far", "place"
-    )
-    last = numbered.agg(F.max("place")).scalar()
-    nexts = numbered.select(
-        F.when(F.col("place") == 1, last).otherwise(F.col("place") - 1).alias("place"),
-        *[F.col(f).cast("double").alias(f"next_{f}") for f in FEATURES],
+    rows = with_next(test.select("label", "key", *[F.col(f).cast("double") for f in FEATURES]))
+    rows = rows.select(
+        "label", *FEATURES, *[F.col("next")[f].alias(f"next_{f}") for f in FEATURES]
     )
-    rows = numbered.select(
-        "place", "label", *[F.col(f).cast("double").alias(f) for f in FEATURES]
-    ).join(nexts, "place")
 
     def variant(replaced: str | None) -> Column:
         inputs = [F.col(f"next_{f}" if f == replaced else f).alias(f) for f in FEATURES]
