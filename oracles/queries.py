@@ -72,6 +72,9 @@ SQL["s6_s10_derived_columns"] = (
     f" {DERIVED_COLUMNS} FROM flights"
 )
 SQL["s11_s12_parquet_by_month"] = f"SELECT {BASE_COLUMNS}, {DERIVED_COLUMNS} FROM flights"
+SQL["s11_s12_reloaded_month"] = (
+    SQL["s11_s12_parquet_by_month"] + ' WHERE NOT ("month" = 3 AND cancelled = 1)'
+)
 SQL["s18_csv_export_reread"] = f"SELECT {BASE_COLUMNS}, {DERIVED_COLUMNS} FROM flights"
 SQL["s1_s5_raw_csv_files"] = (
     "SELECT * REPLACE (CASE WHEN \"month\" % 3 = 2 THEN NULL ELSE distance END AS distance,"

@@ -43,7 +43,7 @@ from skyledger.sources.driver_tables import (
     write_raw_files,
 )
 from skyledger.sources.schema import SOURCE_COLUMNS
-from skyledger.sources.sinks import read_flights, write_flights, write_table
+from skyledger.sources.sinks import read_flights, replace_months, write_flights, write_table
 
 AIRPORT_MIN_FLIGHTS = 2000
 ROUTE_MIN_FLIGHTS = 100
@@ -102,6 +102,14 @@ def parquet_by_month(t: DriverTables) -> DataFrame:
     return _flags_as_double(read_flights(t.spark, path))
 
 
+def reloaded_month(t: DriverTables) -> DataFrame:
+    """Every March loaded again without its cancelled flights, over a table of all months."""
+    path = work_path(t.spark, "flights")
+    write_flights(t.flights, path)
+    replace_months(t.flights.where("month = 3 AND cancelled = 0"), path)
+    return _flags_as_double(read_flights(t.spark, path))
+
+
 def csv_export_reread(t: DriverTables) -> DataFrame:
     """The whole fact out as CSV and back in through a declared schema."""
     path = work_path(t.spark, "flights-csv")
@@ -317,6 +325,7 @@ QUERIES: dict[str, Query] = {
     "s1_s5_raw_csv_files": raw_csv_files,
     "s6_s10_derived_columns": derived_columns,
     "s11_s12_parquet_by_month": parquet_by_month,
+    "s11_s12_reloaded_month": reloaded_month,
     "s13_airports": lambda t: t.airports,
     "s13_airports_csv_file": airports_csv_file,
     "s14_carriers": lambda t: carrier_dimension(t.flights, t.carriers),

@@ -8,6 +8,11 @@ good on both counts that matter: delay, and time (arriving no later for a first
 leg, leaving no earlier for a last leg).  Any leg left out could be swapped for
 one of those others in every itinerary without a worse total, so the result is
 the same, and what is joined per hub and day is a short staircase per route.
+
+With two legs there is no join. A leg stands twice in one table, as an arrival where it ends and
+as a departure where it begins; equal ones are combined, both sides of a hub and day meet by one
+shuffle of what is left, and the staircases of the departures are a list that each arrival looks
+through.
 """
 
 from __future__ import annotations
@@ -56,6 +61,8 @@ def connections(
         F.coalesce("arr_delay", F.lit(0.0)).alias("added_delay"),
     )
 
+    if max_legs == 2:
+        return _two_legs(legs, origin, min_connect, best)
     first = legs if origin is None else legs.filter(F.col("origin") == origin)
     frontier = first.select(
         "flight_date",
@@ -115,6 +122,67 @@ def connections(
     )
 
 
+def _two_legs(legs: DataFrame, origin: str | None, min_connect: int, best: int) -> DataFrame:
+    """Itineraries of one or two legs. ``time`` rises as a leg gets worse: departures have it negative."""
+
+    def side(hub: str, other: str, inbound: bool, time: Column, cost: Column) -> Column:
+        return F.struct(
+            F.col(hub).alias("hub"), F.col(other).alias("other"), F.lit(inbound).alias("inbound"),
+            time.alias("time"), cost.alias("cost"),
+        )
+
+    unknown = F.lit(float("inf"))
+    sides = F.array(
+        side("dest", "origin", True, F.col("arrives"), F.coalesce("arr_delay", unknown)),
+        side("origin", "dest", False, -F.col("leaves"), F.col("added_delay")),
+    )
+    rows = legs.select("flight_date", F.inline(sides)).filter(F.col("time").isNotNull())
+    if origin is not None:
+        rows = rows.filter(~F.col("inbound") | (F.col("other") == origin))
+    route = ["flight_date", "hub", "inbound", "other"]
+    # Copies are combined before the shuffle; more than ``best`` of one kind cannot matter.
+    counted = rows.groupBy(*route, "time", "cost").agg(F.count(F.lit(1)).alias("n"))
+    copies = F.explode(F.array_repeat(F.lit(0), F.least("n", F.lit(best)).cast("int"))).alias("copy")
+    dealt = counted.repartition("flight_date", "hub").select(*route, "time", "cost", copies)
+    kept = _staircase(dealt.drop("copy"), route, F.col("time").asc(), best)
+
+    leg = F.struct("other", "time", "cost")
+    hubs = kept.groupBy("flight_date", "hub").agg(
+        F.collect_list(F.when(F.col("inbound"), leg)).alias("arrivals"),
+        F.collect_list(F.when(~F.col("inbound"), leg)).alias("departures"),
+    )
+    arrivals = hubs.select("flight_date", "hub", "departures", F.inline("arrivals"))
+
+    def itinerary(last: Column, via: Column, total: Column) -> Column:
+        return F.struct(last.alias("final_dest"), via.alias("via"), total.alias("total"))
+
+    onward = F.transform(
+        F.filter("departures", lambda d: -d["time"] > F.col("time") + F.lit(min_connect)),
+        lambda d: itinerary(d["other"], F.col("hub"), F.col("cost") + d["cost"]),
+    )
+    direct = itinerary(F.col("hub"), F.lit(None).cast("string"), F.col("cost"))
+    found = arrivals.select(
+        "flight_date",
+        F.col("other").alias("start_airport"),
+        F.inline(F.concat(F.array(direct), onward)),
+    )
+    # Of equal totals the direct one is first, then the order of the hubs is that of the paths.
+    in_order = Window.partitionBy(*DAY_START, "final_dest").orderBy(
+        F.col("total").asc(), F.col("via").asc_nulls_first()
+    )
+    ranked = found.withColumn("place", F.row_number().over(in_order)).filter(F.col("place") <= best)
+    through = F.when(F.col("via").isNotNull(), F.concat_ws(" -> ", F.lit(""), "final_dest"))
+    path = F.concat_ws("-", "start_airport", F.coalesce("via", "final_dest"))
+    return ranked.select(
+        *DAY_START,
+        "final_dest",
+        F.concat(path, F.coalesce(through, F.lit(""))).alias("path"),
+        F.when(F.col("via").isNull(), 1).otherwise(2).cast("long").alias("stops"),
+        F.nullif("total", unknown).alias("total_delay"),
+        F.col("place").cast("long").alias("route_rank"),
+    )
+
+
 def _minutes(clock: str) -> Column:
     hours = F.floor(F.col(clock) / 100)
     return (hours * 60 + F.col(clock) - hours * 100).alias(clock)

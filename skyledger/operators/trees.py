@@ -275,14 +275,18 @@ def _prepared(rows: DataFrame, forest: Forest, growth: Growth) -> tuple[DataFram
             )
 
     inputs = [F.col(f).cast("double") for f in forest.features]
+    narrow = spread(rows.select(*inputs, F.col("label").cast("int"), "key"))
     return write_shared(
-        rows.select(*inputs, F.col("label").cast("int"), "key").mapInArrow(
-            pack, "bins binary, draws binary, label int"
-        ),
-        "tree-rows",
+        narrow.mapInArrow(pack, "bins binary, draws binary, label int"), "tree-rows"
     )
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows dealt over all cores if they lie in fewer partitions: a row is a few bytes and much work."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def _may_try(forest: Forest, opened: list[int], tried: int, seed: int) -> np.ndarray:
     """Which features each open node may split by: those with the lowest MD5."""
     n = len(forest.features)
@@ -494,7 +498,7 @@ def mean_attributions(rows: DataFrame, forest: Forest) -> DataFrame:
         )
 
     inputs = [F.col(f).cast("double") for f in features]
-    found = rows.select(*inputs).mapInArrow(sums, "feature string, n bigint, size double, total double")
+    found = spread(rows.select(*inputs)).mapInArrow(sums, "feature string, n bigint, size double, total double")
     n = F.sum("n")
     return found.groupBy("feature").agg(
         F.try_divide(F.sum("size"), n).alias("mean_size"), F.try_divide(F.sum("total"), n).alias("mean")

@@ -7,7 +7,8 @@ Nothing known only after departure is used: no actual times, delays or causes.
 from __future__ import annotations
 
 from collections.abc import Callable
-from math import pi
+from functools import reduce
+from math import floor, pi
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -55,6 +56,11 @@ FIT_ROWS = 200_000
 TEST_SHARE = 0.2
 SEED = 42
 OTHER_AIRPORT = "OTHER"
+# Rows around the cut of the split that are put in order, and equal rows made at once.
+CUT_ROWS, COPIES = 100_000, 10_000
+KEY_DIGITS = 32
+# Sorts after any hexadecimal key.
+PAST_ALL_KEYS = "~"
 # Columns of a modelling row; their hash decides on which side of the split it falls.
 MODELLED = (
     "carrier_code", "origin", "dest", "distance", "hour_of_day", "day_of_week", "month",
@@ -119,34 +125,73 @@ def engineer(rows: DataFrame, keep: int = 50) -> DataFrame:
     return add_cycles(coded).select(*FEATURES, label, "key").dropna()
 
 
-def mark_test(rows: DataFrame, share: float = TEST_SHARE) -> DataFrame:
+def _cuts(rows: DataFrame, share: float, bound: int) -> dict[float, tuple[str, int, int]]:
+    """By label: the digits that the keys around the cut begin with, rows below these, and rows wanted.
+
+    Each round counts the rows that begin with the digits so far by three digits more, at most
+    4,096 counts a label, until at most ``bound`` rows are left or the digits are a whole key.
+    """
+    totals = {r.label: r.n for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    cuts = {label: ("", 0, floor(n * share)) for label, n in totals.items()}
+    todo, length = set(cuts), 0
+    while todo and length < KEY_DIGITS:
+        length += 3
+        within = reduce(Column.__or__, [_at_cut(label, cuts[label][0]) for label in todo])
+        prefix = F.substring("key", 1, length).alias("prefix")
+        counts = rows.filter(within).groupBy("label", prefix).agg(F.count(F.lit(1)).alias("n"))
+        upto = F.sum("n").over(Window.partitionBy("label").orderBy("prefix"))
+        wanted = F.create_map(*[F.lit(x) for k in todo for x in (k, cuts[k][2] - cuts[k][1])])
+        found = counts.withColumn("upto", upto).filter(
+            (F.col("upto") - F.col("n") <= wanted[F.col("label")]) & (F.col("upto") > wanted[F.col("label")])
+        )
+        hits = {r.label: r for r in found.collect()}
+        for label in list(todo):
+            _, before, want = cuts[label]
+            if label not in hits:  # all rows are wanted
+                cuts[label] = (PAST_ALL_KEYS, before, want)
+                todo.remove(label)
+                continue
+            hit = hits[label]
+            cuts[label] = (hit.prefix, before + hit.upto - hit.n, want)
+            if hit.n <= bound:
+                todo.remove(label)
+    return cuts
+
+
+def _at_cut(label: float, prefix: str) -> Column:
+    return (F.col("label") == label) & F.col("key").startswith(prefix)
+
+
+def mark_test(rows: DataFrame, share: float = TEST_SHARE, bound: int = CUT_ROWS) -> DataFrame:
     """Add ``is_test``: of each label the rows with the lowest keys, ``share`` of them exactly.
 
-    Rows are counted by the first three digits of the key, which gives at most 4,096 counts a
-    label. Only the rows of the one prefix in which a label's cut falls are put in order; rows
-    with equal keys are equal.
+    Only rows whose keys begin like the cut's are put in order, ``bound`` of them at most or, if
+    more rows are equal, one with their number. Rows with equal keys are equal.
     """
-    prefix = F.substring("key", 1, 3)
-    counts = rows.groupBy("label", prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
-    label = Window.partitionBy("label")
-    before = label.orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
-    cuts = counts.select(
-        "label",
-        "prefix",
-        "n",
-        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"),
-        F.floor(F.sum("n").over(label) * F.lit(share)).alias("wanted"),
+    cuts = _cuts(rows, share, bound)
+    if not cuts:
+        return rows.withColumn("is_test", F.lit(False))
+    at_cut = reduce(Column.__or__, [_at_cut(label, cut[0]) for label, cut in cuts.items()])
+    below = reduce(
+        Column.__or__,
+        [(F.col("label") == label) & (F.col("key") < cut[0]) for label, cut in cuts.items()],
     )
-    marked = rows.withColumn("prefix", prefix).join(F.broadcast(cuts), ["label", "prefix"])
-    whole = (F.col("before") + F.col("n") <= F.col("wanted")) | (F.col("before") >= F.col("wanted"))
-    place = F.row_number().over(Window.partitionBy("label").orderBy("key"))
-    return (
-        marked.filter(whole)
-        .withColumn("is_test", F.col("before") < F.col("wanted"))
-        .union(
-            marked.filter(~whole).withColumn("is_test", F.col("before") + place <= F.col("wanted"))
-        )
-        .drop("prefix", "n", "before", "wanted")
+    left = F.create_map(*[F.lit(x) for k, (_, before, want) in cuts.items() for x in (k, want - before)])
+    equal = rows.filter(at_cut).groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(
+        Window.partitionBy("label").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
+    )
+    chunk = F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / COPIES))).alias("chunk")
+    last = F.least(F.col("n"), (F.col("chunk") + 1) * COPIES)
+    copies = F.explode(F.sequence(F.col("chunk") * COPIES + 1, last)).alias("copy")
+    ordered = (
+        equal.withColumn("before", upto - F.col("n"))
+        .select("*", chunk)
+        .select("*", copies)
+        .withColumn("is_test", F.col("before") + F.col("copy") <= left[F.col("label")])
+    )
+    return rows.filter(~at_cut).withColumn("is_test", below).union(
+        ordered.select(*rows.columns, "is_test")
     )
 
 

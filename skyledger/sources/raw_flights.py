@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import csv
+import re
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,28 +26,40 @@ DELAYED_FROM_MINUTES = 15
 def read_raw_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Scan raw files as text columns, each file by its own header; nothing is inferred.
 
-    Files are grouped by their first line, and a column that a group lacks is null there.  Finding
-    the first lines is a distributed pass over the text that returns a row a file; the driver sees
-    the different headers and the file names, which it lists for any scan.
+    Files are grouped by their first line, and a column that a group lacks is null there. First
+    lines are read from the start of each file that a scan would list, a few kB a file, and no
+    job runs for them.
     """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.col("value").alias("line"),
-        F.monotonically_increasing_id().alias("place"),
-    )
-    first = (
-        lines.where("block = 0").groupBy("file").agg(F.min_by("line", "place").alias("header"))
-    )
-    groups = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
-    scans = [
-        _scan_with_header(spark, row.files, row.header) for row in groups.orderBy("header").collect()
-    ]
+    groups: dict[str, list[str]] = {}
+    files = sorted(spark.read.text(path).inputFiles())
+    for file, header in zip(files, first_lines(spark, files), strict=True):
+        if header is not None:
+            groups.setdefault(header, []).append(file)
+    scans = [_scan_with_header(spark, groups[header], header) for header in sorted(groups)]
     if not scans:
         return spark.read.csv(path, header=True, inferSchema=False)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
+def first_lines(spark: SparkSession, files: list[str], at_once: int = 16) -> list[str | None]:
+    """The first line of each file, None for an empty one; compressed ones are known by their suffix."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def first_line(file: str) -> str | None:
+        place = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        stream = place.getFileSystem(conf).open(place)
+        try:
+            codec = codecs.getCodec(place)
+            read = codec.createInputStream(stream) if codec else stream
+            return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(read, "UTF-8")).readLine()
+        finally:
+            stream.close()
+
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(first_line, files))
+
+
 def _scan_with_header(spark: SparkSession, files: list[str], header: str) -> DataFrame:
     """Files that share a header line; a blank or repeated name gets its place as a suffix."""
     names: list[str] = []
@@ -53,7 +67,11 @@ def _scan_with_header(spark: SparkSession, files: list[str], header: str) -> Dat
         plain = name.strip().lstrip("\ufeff")
         names.append(plain if plain and plain not in names else f"{plain}_c{place}")
     schema = ", ".join(f"`{name.replace('`', '``')}` string" for name in names)
-    return spark.read.csv(files, header=True, schema=schema)
+    # Listed names are URIs; paths for a reader are plain, and their marks of patterns escaped.
+    jvm = spark._jvm
+    plain = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file)).toString() for file in files]
+    paths = [re.sub(r"([\\{}\[\]*?])", r"\\\1", path) for path in plain]
+    return spark.read.csv(paths, header=True, schema=schema)
 
 
 def clean(raw: DataFrame) -> DataFrame:

@@ -32,6 +32,17 @@ def write_flights(
     rows.write.partitionBy(*partition_by).mode(mode).parquet(path)
 
 
+def replace_months(flights: DataFrame, path: str) -> None:
+    """Write the months that ``flights`` has in place of the same months at ``path``.
+
+    Other folders are neither read nor written. Files are staged beside the table and take the
+    place of the old ones when all tasks are done, so a failed load leaves the table as it was.
+    ``flights`` must not be read from ``path`` itself.
+    """
+    rows = dealt(flights, PARTITION_COLUMNS).write.partitionBy(*PARTITION_COLUMNS)
+    rows.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
 def read_flights(spark: SparkSession, path: str, view: str | None = None) -> DataFrame:
     """Read written flights by their declared schema, optionally registering a view."""
     flights = spark.read.schema(FLIGHTS_SCHEMA).parquet(path).select(*FLIGHTS_SCHEMA.names)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import gzip
 
 import pytest
 
@@ -10,7 +11,7 @@ from skyledger.session import run_sql
 from skyledger.sources import raw_flights
 from skyledger.sources.dimensions import airports_from_csv, calendar_dimension, carrier_dimension
 from skyledger.sources.schema import FLIGHTS_SCHEMA
-from skyledger.sources.sinks import read_flights, write_flights, write_table
+from skyledger.sources.sinks import read_flights, replace_months, write_flights, write_table
 from tests.conftest import rows_of
 
 
@@ -177,3 +178,31 @@ def test_exports(spark, make_flights, carriers, tmp_path):
     assert summary.count() == 13
     with pytest.raises(ValueError, match="Unknown format"):
         write_table(flights, str(tmp_path / "x"), "xlsx")
+
+
+def test_headers_are_read_without_a_job(spark, tmp_path):
+    known = list(RAW_TO_COLUMN)[:4]
+    (tmp_path / "a b%20c.csv").write_text(",".join(known) + "\r\n1,2,3,4\r\n" + "5,6,7,8\r\n" * 50_000)
+    with gzip.open(tmp_path / "b.csv.gz", "wt") as out:
+        out.write(",".join(reversed(known)) + "\n9,8,7,6\n")
+    (tmp_path / "empty.csv").write_text("")
+    sc = spark.sparkContext
+    sc.setJobGroup("headers", "headers")
+    raw = raw_flights.read_raw_csv(spark, str(tmp_path))
+    jobs = sc.statusTracker().getJobIdsForGroup("headers")
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert not jobs
+    rows = {tuple(r) for r in raw.select(*known).distinct().collect()}
+    assert rows == {("1", "2", "3", "4"), ("5", "6", "7", "8"), ("6", "7", "8", "9")}
+
+
+def test_only_the_months_loaded_are_replaced(make_flights, spark, tmp_path):
+    path = tmp_path / "flights"
+    days = [dt.date(2023, m, d) for m in (1, 2, 3) for d in (1, 2)]
+    write_flights(make_flights([{"flight_date": d, "distance": 1} for d in days]), str(path))
+    files = lambda m: sorted(p.name for p in path.glob(f"year=2023/month={m}/*.parquet"))
+    before = {m: files(m) for m in (1, 2, 3)}
+    replace_months(make_flights([{"flight_date": days[2], "distance": 5}, {"flight_date": dt.date(2024, 2, 1), "distance": 7}]), str(path))
+    assert all(files(m) == before[m] for m in (1, 3)) and files(2) != before[2]
+    found = rows_of(read_flights(spark, str(path)).select("year", "month", "distance"))
+    assert sorted(found) == [(2023, 1, 1.0)] * 2 + [(2023, 2, 5.0)] + [(2023, 3, 1.0)] * 2 + [(2024, 2, 7.0)]

@@ -35,6 +35,26 @@ def test_split_is_exact_for_each_label(spark, trained):
     }
 
 
+@pytest.mark.parametrize("share", [0.0, 0.2, 0.61, 1.0])
+@pytest.mark.parametrize("bound", [1, 5, 10**6])
+def test_split_of_keys_that_begin_alike(spark, share, bound):
+    """A hot prefix, a key that a third of the rows have, and a few others."""
+    keys = [f"{'ab' * 13}{i % 40:06x}" for i in range(200)] + ["ab" * 16] * 130 + [f"{i:032x}" for i in range(60)]
+    rows = [(float(i % 7 == 0), k) for i, k in enumerate(keys)]
+    data = spark.createDataFrame(rows, "label double, key string").repartition(5)
+    found = [tuple(r) for r in delay_model.mark_test(data, share, bound).collect()]
+    want = []
+    for label in (0.0, 1.0):
+        own = sorted(k for x, k in rows if x == label)
+        want += [(label, k, i < int(len(own) * share)) for i, k in enumerate(own)]
+    assert sorted(found) == sorted(want)
+
+
+def test_split_of_no_rows(spark):
+    none = spark.createDataFrame([], "label double, key string")
+    assert delay_model.mark_test(none).columns == ["label", "key", "is_test"]
+
+
 def test_fit_rows_are_bounded(trained):
     train, _, _ = trained
     total = train.count()
