@@ -149,6 +149,9 @@ SELECT origin, dest, route, COUNT(*) AS total_flights, {share(LATE15)} AS delay_
     {rnd("AVG(distance)", 0)} AS avg_distance,
     COUNT(DISTINCT carrier_code) AS num_carriers
 FROM flights WHERE cancelled = 0 GROUP BY ALL HAVING COUNT(*) >= 100"""
+SQL["v1_from_states"] = SQL["v1_daily_airport_summary"]
+SQL["v2_from_states"] = SQL["v2_monthly_carrier_performance"]
+SQL["v3_from_states"] = SQL["v3_route_reliability"]
 SQL["s16_view_of_airports"] = SQL["v1_daily_airport_summary"]
 SQL["s16_view_of_carriers"] = SQL["v2_monthly_carrier_performance"]
 SQL["s16_view_of_routes"] = SQL["v3_route_reliability"]

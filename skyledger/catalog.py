@@ -28,6 +28,7 @@ from skyledger.plans import (
     reports,
     rollups,
     service,
+    states,
 )
 from skyledger.session import run_sql, work_path, write_shared
 from skyledger.sources import raw_flights
@@ -301,6 +302,19 @@ def scores_by_carrier(t: DriverTables) -> DataFrame:
     return _rounded(means, "mean_score")
 
 
+def _states(t: DriverTables) -> str:
+    """States of all months, each in two parts; then one month is loaded again, whole."""
+
+    def make() -> str:
+        path = work_path(t.spark, "states")
+        states.load(t.flights.where("day_of_month % 2 = 0"), path)
+        states.load(t.flights.where("day_of_month % 2 = 1 OR day_of_month IS NULL"), path, add=True)
+        states.load(t.flights.where("month = 5"), path)
+        return path
+
+    return _once(t, "states", make)
+
+
 def saved_metrics(t: DriverTables) -> DataFrame:
     path = work_path(t.spark, "metrics")
     one_row = delay_model.metrics(_scored(t))
@@ -353,6 +367,9 @@ QUERIES: dict[str, Query] = {
         t.flights, t.carriers
     ),
     "v3_route_reliability": lambda t: rollups.route_reliability(t.flights),
+    "v1_from_states": lambda t: states.daily_airport_summary(t.spark, _states(t)),
+    "v2_from_states": lambda t: states.monthly_carrier_performance(t.spark, _states(t), t.carriers),
+    "v3_from_states": lambda t: states.route_reliability(t.spark, _states(t)),
     # Quality
     "q1_volume_by_month": lambda t: quality.volume_by_month(t.flights),
     "q2_null_profile": lambda t: quality.null_profile(t.flights),

@@ -11,6 +11,9 @@ from skyledger.operators.lookup import with_carrier
 from skyledger.operators.quantiles import WEIGHT, count_values, quantile, weighted_mean
 
 
+CARRIER_MONTH = ["year", "month", "carrier_code"]
+
+
 def daily_airport_summary(flights: DataFrame) -> DataFrame:
     return flights.groupBy(
         "flight_date", F.col("origin").alias("airport"), "year", "month", "day_of_week"
@@ -28,16 +31,25 @@ def daily_airport_summary(flights: DataFrame) -> DataFrame:
     )
 
 
-def monthly_carrier_performance(flights: DataFrame, carriers: DataFrame) -> DataFrame:
-    keys = ["year", "month", "carrier_code"]
-    counted = count_values(
+def carrier_delay_counts(flights: DataFrame) -> DataFrame:
+    """Flights of each carrier and month by arrival delay, with sums."""
+    return count_values(
         flights,
-        keys,
+        CARRIER_MONTH,
         "arr_delay",
         cancelled=m.cancelled_count(),
         delayed=m.delayed_count(),
         minutes=F.sum("arr_delay_minutes"),
     )
+
+
+def monthly_carrier_performance(flights: DataFrame, carriers: DataFrame) -> DataFrame:
+    return carrier_performance(carrier_delay_counts(flights), carriers)
+
+
+def carrier_performance(counted: DataFrame, carriers: DataFrame) -> DataFrame:
+    """The rollup of carriers and months from ``carrier_delay_counts``."""
+    keys = CARRIER_MONTH
     total = F.sum(WEIGHT)
     late = ratio(F.sum("delayed"), total)
     by_carrier = counted.groupBy(*keys).agg(
