@@ -4,7 +4,7 @@ Every task holds the merge table and the vocabulary in an in-memory DuckDB. Piec
 split pattern finds become rows (word, position, token); a recursive query joins each pair of
 neighbours to the merge table and contracts every word's leftmost pair of lowest rank until
 nothing can be merged. Decoding joins (document, position, id) rows to the vocabulary and
-aggregates the token bytes in order. Texts are worked through in slices of about a megabyte,
+aggregates the token bytes in order. Texts are worked through in slices of about four megabytes,
 and the pieces a worker remembers are bounded, so memory does not grow with the input.
 
 Defined cases: a null or empty text has no tokens, the ids and decoded bytes are empty; any
@@ -31,8 +31,8 @@ from skyledger.llm.text import slices
 QUERY_PIECES = 40_000
 KEPT_PIECES = 600_000
 DUCKDB_MEMORY = "256MB"
-#: Bytes of text worked through at once: fewer make more queries of the same words.
-BYTES = 1 << 20
+#: Bytes of text worked through at once: fewer make more queries, and more of them of the same words.
+BYTES = 1 << 22
 
 ENCODE = """
 WITH RECURSIVE state(w, p, tok, done) AS (
