@@ -3,7 +3,8 @@
 Every task holds the merge table and the vocabulary in an in-memory DuckDB. Pieces that the
 split pattern finds become rows (word, position, token); a recursive query joins each pair of
 neighbours to the merge table and contracts every word's leftmost pair of lowest rank until
-nothing can be merged. Decoding joins (document, position, id) rows to the vocabulary and
+nothing can be merged. In a long piece every pair that is the lowest as far as a token can reach
+contracts in the same round, which gives the same ids. Decoding joins (document, position, id) rows to the vocabulary and
 aggregates the token bytes in order. Texts are worked through in slices of about four megabytes,
 and the pieces a worker remembers are bounded, so memory does not grow with the input.
 
@@ -34,24 +35,70 @@ DUCKDB_MEMORY = "256MB"
 #: Bytes of text worked through at once: fewer make more queries, and more of them of the same words.
 BYTES = 1 << 22
 
+#: Pieces of more bytes contract many pairs in a round, by ``ENCODE_LONG``.
+LONG_PIECE = 512
+
+#: One pair a word and round. Places are dense, so the next token is that of the next place.
 ENCODE = """
+WITH RECURSIVE state(k, tok, done) AS (
+    SELECT (w::BIGINT << 32) | p, tok, false FROM tokens
+    UNION ALL
+    SELECT s.k - (CASE WHEN s.k > b.spot THEN 1 ELSE 0 END),
+           CASE WHEN s.k = b.spot THEN b.merged ELSE s.tok END,
+           b.spot IS NULL
+    FROM (SELECT k, tok FROM state WHERE NOT done) s
+    LEFT JOIN (
+        SELECT w, (w << 32) | (best & 4294967295) AS spot, best >> 32 AS merged
+        FROM (
+            SELECT a.k >> 32 AS w, min((m.id::BIGINT << 32) | (a.k & 4294967295)) AS best
+            FROM state a
+            JOIN state n ON n.k = a.k + 1
+            JOIN merges m ON m.pair = (a.tok::BIGINT << 32) | n.tok
+            WHERE NOT a.done AND NOT n.done
+            GROUP BY ALL
+        )
+    ) b ON b.w = s.k >> 32
+    WHERE b.spot IS NULL OR s.k <> b.spot + 1
+)
+SELECT k >> 32 AS w, list(tok ORDER BY k) AS ids FROM state WHERE done GROUP BY ALL ORDER BY w
+"""
+
+#: Many pairs a round: those of lowest rank among all within {reach} places. A token has at most
+#: {reach} bytes, so none from further away can grow up to such a pair before its turn. Pairs of
+#: one rank in a row contract alternately from the left, once the whole row has its turn.
+ENCODE_LONG = """
 WITH RECURSIVE state(w, p, tok, done) AS (
     SELECT w, p, tok, false FROM tokens
     UNION ALL
-    SELECT w, p, CASE WHEN p = spot THEN merged ELSE tok END, spot IS NULL
+    SELECT w, p, CASE WHEN chosen THEN id ELSE tok END, last
     FROM (
-        SELECT w, p, tok, before, best >> 24 AS merged, best & 16777215 AS spot
+        SELECT *, coalesce(lag(chosen) OVER (PARTITION BY w ORDER BY p), false) AS taken
         FROM (
-            SELECT a.w, a.p, a.tok, a.before,
-                   min((m.id::BIGINT << 24) | a.p) OVER (PARTITION BY a.w) AS best
+            SELECT w, p, tok, id, last,
+                   coalesce(bool_and(id = best) OVER row_of, false)
+                   AND (row_number() OVER (PARTITION BY w, run ORDER BY p)) % 2 = 1 AS chosen
             FROM (
-                SELECT w, p, tok, lead(tok) OVER run AS next, lag(p) OVER run AS before
-                FROM state WHERE NOT done WINDOW run AS (PARTITION BY w ORDER BY p)
-            ) a
-            LEFT JOIN merges m ON m.pair = (a.tok::BIGINT << 32) | a.next
+                SELECT w, p, tok, id,
+                       min(id) OVER (PARTITION BY w ORDER BY p
+                                     ROWS BETWEEN {reach} PRECEDING AND {reach} FOLLOWING) AS best,
+                       max(id) OVER (PARTITION BY w) IS NULL AS last,
+                       sum(starts) OVER (PARTITION BY w ORDER BY p) AS run
+                FROM (
+                    SELECT *, (id IS DISTINCT FROM lag(id) OVER (PARTITION BY w ORDER BY p))::INT
+                              AS starts
+                    FROM (
+                        SELECT w, p, tok,
+                               lead(tok) OVER (PARTITION BY w ORDER BY p) AS next
+                        FROM state WHERE NOT done
+                    ) a
+                    LEFT JOIN merges m
+                    ON m.pair = (a.tok::BIGINT << 32) | a.next AND m.id > greatest(a.tok, a.next)
+                )
+            )
+            WINDOW row_of AS (PARTITION BY w, run)
         )
     )
-    WHERE spot IS NULL OR before IS DISTINCT FROM spot
+    WHERE NOT taken
 )
 SELECT w, list(tok ORDER BY p) AS ids FROM state WHERE done GROUP BY w ORDER BY w
 """
@@ -74,7 +121,8 @@ class Codec:
         lines = (line.split() for line in ranks_file.splitlines() if line)
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in lines}
         self.pattern = regex.compile(pattern)
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": DUCKDB_MEMORY})
+        settings = {"threads": 1, "memory_limit": DUCKDB_MEMORY, "temp_directory": ""}
+        self.con = duckdb.connect(config=settings)
         pairs, ids = [], []
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):
@@ -88,6 +136,7 @@ class Codec:
         known = pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "hex": hexes})
         self._load("vocabulary", known)
         self.single = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
+        self._long_query: str | None = None
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -96,15 +145,32 @@ class Codec:
         self.con.execute(f"CREATE TABLE {name} AS FROM incoming")
         self.con.unregister("incoming")
 
-    def _contract(self, words: list[bytes]) -> Iterator[bytes]:
-        """Ids of each word (little-endian unsigned 32 bits), merged by the recursive query."""
+    def _query_of_long(self) -> str:
+        """``ENCODE_LONG`` if it is exact for these ranks, found out at the first long piece.
+
+        It leaves out merges that rank below a part. If every token comes out of its own bytes
+        without them, such a pair never meets: its bytes were one token before that part was.
+        """
+        if self._long_query is None:
+            query = ENCODE_LONG.format(reach=max(map(len, self.ranks)))
+            tokens = list(self.ranks)
+            own = True
+            for at in range(0, len(tokens), QUERY_PIECES):
+                some = tokens[at : at + QUERY_PIECES]
+                want = (self.ranks[x].to_bytes(4, "little") for x in some)
+                own = own and all(map(bytes.__eq__, self._contract(some, query), want))
+            self._long_query = query if own else ENCODE
+        return self._long_query
+
+    def _contract(self, words: list[bytes], query: str) -> Iterator[bytes]:
+        """Ids of each word (little-endian unsigned 32 bits), merged by a recursive query."""
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         word = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
         place = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         data = np.frombuffer(b"".join(words), np.uint8)
         tokens = pa.table({"w": word, "p": place.astype(np.int32), "tok": self.single[data]})
         self.con.register("tokens", tokens)
-        ids = self.con.sql(ENCODE).to_arrow_table()["ids"].combine_chunks()
+        ids = self.con.sql(query).to_arrow_table()["ids"].combine_chunks()
         self.con.unregister("tokens")
         flat = ids.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes()
         ends = 4 * ids.offsets.to_numpy().astype(np.int64)
@@ -126,9 +192,14 @@ class Codec:
                 self.recent[piece] = self.ranks[data].to_bytes(4, "little")
             else:
                 unknown.append(piece)
-        for at in range(0, len(unknown), QUERY_PIECES):
-            some = unknown[at : at + QUERY_PIECES]
-            self.recent.update(zip(some, self._contract([x.encode() for x in some]), strict=True))
+        long = [x for x in unknown if len(x) > LONG_PIECE]
+        unknown = [x for x in unknown if len(x) <= LONG_PIECE]
+        groups = [(unknown[at : at + QUERY_PIECES], ENCODE) for at in range(0, len(unknown), QUERY_PIECES)]
+        # A long piece is a query of its own.
+        groups += [([x], self._query_of_long()) for x in long]
+        for some, query in groups:
+            ids = self._contract([x.encode() for x in some], query)
+            self.recent.update(zip(some, ids, strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""

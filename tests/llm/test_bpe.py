@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import random
 
 import numpy as np
 import public_tokenizers
@@ -61,3 +62,39 @@ def test_long_text_and_repeated_rows(spark, library):
     rows = bpe.token_digests(docs, PATH, public_tokenizers.PATTERN).collect()
     assert len(rows) == 3
     assert sum(tuple(r[1:]) == expected(library, text) for r in rows) == 2
+
+
+def codec():
+    with open(PATH, "rb") as file:
+        return bpe.Codec(file.read(), public_tokenizers.PATTERN)
+
+
+def test_long_pieces(library):
+    rng = random.Random(4)
+    texts = ["a" * 30_000, "=" * 7001 + "-" * 333 + "=" * 777, " " * 5000 + "x"]
+    texts += ["".join(rng.choice(x) for _ in range(6000)) for x in ["etaoinshrdlu", "aab", "éß東a"]]
+    texts.append("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(100_000)))
+    own = codec()
+    for text, ids in zip(texts, own.encode(texts), strict=True):
+        assert ids == np.array(library.encode_ordinary(text), "<u4").tobytes()
+    assert own._query_of_long() != bpe.ENCODE
+
+
+def test_long_query_on_short_pieces(library, monkeypatch):
+    """Both queries give the same ids, on pieces put together from whole tokens."""
+    monkeypatch.setattr(bpe, "LONG_PIECE", 24)
+    rng, own = random.Random(5), codec()
+    words = [x for x in (t.decode(errors="ignore").strip() for t in own.ranks) if x.isalpha()]
+    texts = ["".join(rng.choice(words) for _ in range(rng.randrange(1, 60))) for _ in range(60)]
+    for text, ids in zip(texts, own.encode(texts), strict=True):
+        assert ids == np.array(library.encode_ordinary(text), "<u4").tobytes()
+
+
+def test_ranks_with_an_unreachable_token_take_one_pair_at_a_time():
+    """``abc`` ranks below its part ``bc``, a merge that the long query leaves out."""
+    tokens = [bytes([i]) for i in range(256)] + [b"abc", b"bc", b"de"]
+    lines = (base64.b64encode(x) + b" " + str(i).encode() for i, x in enumerate(tokens))
+    own = bpe.Codec(b"\n".join(lines), public_tokenizers.PATTERN)
+    assert own._query_of_long() == bpe.ENCODE
+    text = "abcde" * 300
+    assert own.encode([text])[0] == np.array([256, 258] * 300, "<u4").tobytes()
