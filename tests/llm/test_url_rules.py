@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import itertools
+import random
 import re
+import time
 
 from skyledger.llm import queries, url_rules
 from tests.conftest import SMALL
@@ -92,3 +94,35 @@ def test_odd_urls(spark):
     found = sorted((tuple(r) for r in url_rules.judge(frame, labels).collect()), key=str)
     assert found == brute(pages, [(None, 0, 1)])
     assert url_rules.judge(frame.limit(0), labels).count() == 0
+
+
+def test_tokens_that_always_occur_together(spark):
+    """Thirty equal query names on a hundred pages: as rules of the single names, in seconds."""
+    query = "&".join(f"{chr(97 + i % 26)}x{'y' * (i // 26)}={i}" for i in range(30))
+    pages = [(i, f"https://h{i % 7}.org/{'pqr'[i % 3]}/?{query if i < 100 else 'z=1'}") for i in range(1000)]
+    pages += [(2000, "https://other.org/?bx=1"), (2001, "https://other.org/?z=1")]
+    labels = [(i, None, int(i < 100 and i % 10 > 0)) for i in range(1000)]
+    frame = spark.createDataFrame(pages, "page_id long, url string")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    begin = time.perf_counter()
+    verdicts = {r.page_id: r.verdict for r in url_rules.judge(frame, marks).collect()}
+    assert time.perf_counter() - begin < 60
+    # Any of the names alone makes a confident rule; no rule fires without one of them.
+    assert {p for p, v in verdicts.items() if v == "block"} == {*range(100), 2000}
+
+
+def test_classes_against_brute_force(spark):
+    """Names that occur together on some pages and apart on others, several classes to a rule."""
+    rng = random.Random(9)
+    groups = [["a", "b"], ["c", "d", "e"], ["f"], ["g"]]
+    pages, labels = [], []
+    for i in range(120):
+        some = [n for g in groups if rng.random() < 0.5 for n in g]
+        pages.append((i, "https://x.org/?" + "&".join(f"{n}=1" for n in some)))
+        labels.append((i, None, int(("a" in some and "c" in some) or rng.random() < 0.1)))
+    pages += [(500 + i, f"https://y.org/?{n}=2&{m}=3") for i, (n, m) in enumerate(itertools.combinations("abcdefg", 2))]
+    frame = spark.createDataFrame(pages, "page_id long, url string")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    found = sorted((tuple(r) for r in url_rules.judge(frame, marks).collect()), key=str)
+    assert found == brute(pages, labels)
+    assert {r[-1] for r in found} == {"allow", "block"}
