@@ -3,12 +3,16 @@
 Learning counts hashed three-byte grams of the letters of all labelled training documents, in one
 pass of map-side sums; a language is a smoothed multinomial over 2**12 buckets. For each document
 expectation-maximisation estimates the proportions of all languages; then the first one, two, ...
-languages by proportion are fitted by themselves, and the set with the highest penalised likelihood
-is taken (half the logarithm of the effective number of grams for each further language; grams
-overlap, so three count as one). ``lang_pred`` is the language with the largest proportion of that
+languages by proportion are fitted by themselves, and the set grows as long as the penalised
+likelihood rises (half the logarithm of the effective number of grams for each further language;
+grams overlap, so three count as one), whatever its size. ``lang_pred`` is the language with the largest proportion of that
 set, ``score`` the proportion; ``languages`` has the whole set.
 
-Defined cases: null text and texts without a letter of any script are ``und`` with score 0;
+The model has 2**12 numbers a language and goes to every task: at most ``MAX_LANGUAGES`` values of
+``lang``, more than there are living languages, are learned (128 MB), and more are an error.
+
+Defined cases: null text and texts without a letter of any script are ``und`` with score 0; of
+equal proportions the first name wins; very long texts are counted whole, each in a slice of its own;
 null or empty languages are not learned; a null id is held out; without any learned language
 everything is ``und``; rows that repeat come out as often as they come in; columns other than
 doc_id, text and lang are ignored; an empty table gives no rows.
@@ -29,11 +33,12 @@ from skyledger.session import drop_paths, write_shared
 BUCKETS = 1 << 12
 SMOOTHING = 0.5
 ROUNDS = 12
-#: Languages that are tried together in one document, and overlap of grams.
-MOST_LANGUAGES = 4
+#: Grams that count as one, as they overlap.
 OVERLAP = 3
 #: The model is a row of 2**12 numbers for each language; more languages than this are an error.
-MAX_LANGUAGES = 512
+MAX_LANGUAGES = 1 << 13
+#: Languages whose counts come to the driver together.
+FETCHED = 256
 FOLDS, HELD_OUT = 4, 2
 #: Documents of a slice that are fitted together.
 TOGETHER = 256
@@ -94,13 +99,16 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     if len(languages) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} values of lang")
     languages.sort()
-    table = counts.toArrow()
+    log_likely = np.zeros((len(languages), BUCKETS), np.float32)
+    for at in range(0, len(languages), FETCHED):
+        names = np.array(languages[at : at + FETCHED], dtype=object)
+        table = counts.where(F.col("lang").between(names[0], names[-1])).toArrow()
+        seen = np.full((len(names), BUCKETS), SMOOTHING)
+        code = np.searchsorted(names, table["lang"].to_numpy())
+        seen[code, table["bucket"].to_numpy()] += table["n"].to_numpy()
+        log_likely[at : at + FETCHED] = np.log(seen / seen.sum(axis=1, keepdims=True))
     drop_paths(docs.sparkSession, [path])
-    seen = np.full((len(languages), BUCKETS), SMOOTHING)
-    names = np.array(languages, dtype=object)
-    code = np.searchsorted(names, table["lang"].to_numpy())
-    seen[code, table["bucket"].to_numpy()] += table["n"].to_numpy()
-    return languages, np.log(seen / seen.sum(axis=1, keepdims=True))
+    return languages, log_likely
 
 
 def _maximise(counts: np.ndarray, likely: np.ndarray, shares: np.ndarray) -> tuple:
@@ -115,6 +123,7 @@ def _maximise(counts: np.ndarray, likely: np.ndarray, shares: np.ndarray) -> tup
 
 def mixture(counts: np.ndarray, log_likely: np.ndarray) -> np.ndarray:
     """Proportion of each language in each row of bucket counts; languages left out have 0."""
+    log_likely = log_likely.astype(float)
     likely = np.exp(log_likely)
     n = len(likely)
     if not n:
@@ -126,16 +135,18 @@ def mixture(counts: np.ndarray, log_likely: np.ndarray) -> np.ndarray:
     best[rows, order[:, 0]] = 1
     top = (counts @ log_likely.T)[rows, order[:, 0]] / OVERLAP
     penalty = 0.5 * np.log(np.maximum(counts.sum(axis=1) / OVERLAP, 1))
-    for size in range(2, min(n, MOST_LANGUAGES) + 1):
-        tried = np.flatnonzero(shares[rows, order[:, size - 1]] > 0.01)
-        if not len(tried):
+    growing = rows
+    for size in range(2, n + 1):
+        growing = growing[shares[growing, order[growing, size - 1]] > 0]
+        if not len(growing):
             break
-        chosen = np.zeros((len(tried), n))
-        chosen[np.arange(len(tried))[:, None], order[tried, :size]] = 1 / size
-        found, fit = _maximise(counts[tried], likely, chosen)
-        fit = fit / OVERLAP - penalty[tried] * (size - 1)
-        better = fit > top[tried]
-        best[tried[better]], top[tried[better]] = found[better], fit[better]
+        chosen = np.zeros((len(growing), n))
+        chosen[np.arange(len(growing))[:, None], order[growing, :size]] = 1 / size
+        found, fit = _maximise(counts[growing], likely, chosen)
+        fit = fit / OVERLAP - penalty[growing] * (size - 1)
+        better = fit > top[growing]
+        growing = growing[better]
+        best[growing], top[growing] = found[better], fit[better]
     return best
 
 
@@ -152,6 +163,7 @@ def _has_letter(part: Slice) -> np.ndarray:
 def predict(docs: DataFrame, languages: list[str], log_likely: np.ndarray) -> DataFrame:
     """doc_id, lang_pred, score and languages (name and proportion) for each row of ``docs``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
+    model = docs.sparkSession.sparkContext.broadcast(log_likely)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,7 +178,7 @@ def predict(docs: DataFrame, languages: list[str], log_likely: np.ndarray) -> Da
                     cells = (row[a:b] - at) * BUCKETS + bucket[a:b]
                     counts = np.bincount(cells, minlength=n * BUCKETS).reshape(n, BUCKETS)
                     used = np.flatnonzero(counts.any(axis=0))
-                    shares = mixture(counts[:, used].astype(float), log_likely[:, used])
+                    shares = mixture(counts[:, used].astype(float), model.value[:, used])
                     for share, known in zip(shares, letter[at : at + n], strict=True):
                         known = known and bool(languages)
                         own = np.argsort(-share, kind="stable") if known else []
