@@ -4,14 +4,18 @@ Three-word grams of the test items are counted over the whole corpus. Seeds are
 rare there (``RARE``), and in every five consecutive grams of an item the rarest, so that an item
 has seeds all along even where its grams are common, as those of a leaked item are. Documents that hold a seed give passages around it; seeds
 join passages to items, and tasks align each pair word by word, many pairs at once. A pair counts
-if its best local alignment reaches half of what the whole item would score.
+if its best local alignment reaches half of what the whole item would score. Such an alignment
+spans at most twice the item's words, so the reach of a passage around a seed is twice the longest
+item, and no seed's alignments leave its passage. Memory is bounded by cells of the alignment:
+passages are cut after ``PIECE`` reaches, however long a document is, and pairs are batched by length.
 
 The scans test grams against a bitmap of fixed size (see ``prune``), which
 a benchmark of any size can fill: beyond it more chance hits reach the joins, which drop them.
 
 Defined cases: words are compared in lower case (A-Z); null and empty texts hold nothing; items
 of fewer than ``MIN_WORDS`` words are too short to tell a copy from chance and match nothing;
-null ids are ids like others; two texts under one id count as texts of one document; rows that
+null ids are ids like others, and ids are taken as bigint; very long texts are scanned and aligned
+piece by piece; of equal alignments the one that ends first counts; two texts under one id count as texts of one document; rows that
 repeat are reported once; other columns are ignored; with no documents or items nothing matches.
 """
 
@@ -37,8 +41,10 @@ SEED_EVERY = 3
 MIN_WORDS = 8
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
-#: Pairs aligned at once.
-TOGETHER = 256
+#: Words of texts, with padding, that are aligned at once.
+CELLS = 1 << 18
+#: A stretch with seeds all along is cut after so many times the reach, with a reach of overlap.
+PIECE = 8
 
 PASSAGE = "doc_id bigint, text_hash bigint, start bigint, words array<int>, seeds array<bigint>"
 
@@ -151,6 +157,9 @@ def passages(docs: DataFrame, keys: DataFrame, reach: int) -> DataFrame:
                 row = words.row[at]
                 new = np.ones(len(at), bool)
                 new[1:] = (row[1:] != row[:-1]) | (at[1:] - at[:-1] > 2 * reach)
+                chain = np.flatnonzero(new)
+                piece = (at - np.repeat(at[chain], np.diff([*chain, len(at)]))) // (PIECE * reach)
+                new[1:] |= piece[1:] != piece[:-1]
                 first = np.flatnonzero(new)
                 last = np.append(first[1:], len(at))[: len(first)] - 1
                 owner = row[first]
@@ -209,9 +218,11 @@ def _scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = [np.array(x) for x in batch.column(3).to_numpy(zero_copy_only=False)]
         items = [np.array(x) for x in batch.column(5).to_numpy(zero_copy_only=False)]
         score, end = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
-        order = np.argsort([len(x) for x in texts], kind="stable")
-        for at in range(0, len(order), TOGETHER):
-            some = order[at : at + TOGETHER]
+        order = np.argsort([len(x) for x in texts], kind="stable")[::-1]
+        at = 0
+        while at < len(order):
+            some = order[at : at + max(1, CELLS // max(1, len(texts[order[at]])))]
+            at += len(some)
             best, last = align([items[i] for i in some], [texts[i] for i in some])
             score[some] = best / (MATCH * np.array([len(items[i]) for i in some]))
             end[some] = last
@@ -237,7 +248,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     known, seeds_path = write_shared(seeds(docs, items), "seeds")
     longest = items.agg(F.max("n_words")).first()[0] or 0
     near, near_path = write_shared(
-        passages(docs, known.select("gram"), longest + longest // 4 + GRAM), "passages"
+        passages(docs, known.select("gram"), 2 * longest + GRAM), "passages"
     )
     own = ["doc_id", "text_hash", "start"]
     pairs = (

@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 
 from skyledger.llm import decontaminate as dc
 from skyledger.llm import queries
@@ -100,3 +102,39 @@ def test_common_grams_and_odd_rows(spark):
     left = dc.drop_contaminated(frame, bench)
     assert left.columns == frame.columns
     assert sorted(r.doc_id for r in left.collect()) == [100, 101, 102, 103]
+
+
+def test_long_texts_piece_by_piece(spark):
+    """Seeds all along a text of 200,000 words, and copies across the places where it is cut."""
+    rng = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(2000)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.randrange(15, 60)))) for i in range(6)]
+    reach = 2 * max(len(words(t)) for _, t in items) + dc.GRAM
+    text = []
+    while len(text) < 200_000:  # three words of an item every few words, never a whole copy
+        copy = words(items[rng.randrange(6)][1])
+        at = rng.randrange(len(copy) - 3)
+        text += copy[at : at + 3] + rng.choices(vocabulary, k=12)
+    spread = list(text)
+    for i in range(5):  # the sixth item has no copy
+        at = (40 * (i + 1) * dc.PIECE * reach) - 20
+        spread[at : at + 1] = words(items[i][1])
+    docs = [(1, " ".join(text)), (2, " ".join(spread)), (3, "none of it")]
+    got = run(spark, docs, items)
+    assert [g[:2] for g in got] == [(2, i) for i in range(5)] and {g[2] for g in got} == {1.0}
+
+
+def test_cells_bound_the_memory():
+    item, text = np.arange(40), np.arange(200_000) % 977
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1] * 12), pa.array([2] * 12), pa.array([0] * 12),
+         pa.array([text] * 12, pa.list_(pa.int32())), pa.array(range(12)),
+         pa.array([item] * 12, pa.list_(pa.int32()))],
+        names=["doc_id", "text_hash", "start", "words", "item_key", "item_words"],
+    )
+    tracemalloc.start()
+    [found] = dc._scores(iter([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found["score"].to_pylist() == [1.0] * 12 and set(found["end_word"].to_pylist()) == {40}
+    assert peak < 100e6
