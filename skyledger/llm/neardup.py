@@ -15,15 +15,21 @@ Equal sets are one class first, so copies cost one row. Pairs under a key are no
 2. keys whose members are still in several clusters are compared in blocks of bounded size
    inside tasks, and a block returns a spanning forest of what is near, not its pairs. Now two
    documents with near signatures are always in one cluster;
-3. texts meet once for each cluster, in blocks again; tasks compare full sets through an inverted
-   index and return a spanning forest of the true links, whose components are the result.
-
-Rows that move are in proportion to documents and keys, but for groups of several blocks: each row
-goes to every block of its group, whole text included in step 3, so these rows grow with the square
-of the group. The comparisons inside a block are in numpy; they also grow with the square of a group of near copies that are all different, because any
-two of them can be the one link between two components.
-
-Defined cases: a document without words or with null text has no shingles and is linked with
+3. texts meet in their cluster; tasks compare full sets through an inverted index and return a
+   spanning forest of the true links, whose components are the result. First each text goes to one
+   block of its cluster, and the cluster's smallest member to all of them, so a large group of near
+   copies of one text becomes one component by rows in proportion to it;
+4. only clusters of several blocks that still are in several components meet in all pairs of blocks,
+   where what is joined already is not looked at again.
+
+Rows that move are in proportion to documents and keys, but for step 4 and for keys of several
+blocks in step 2: there each row goes to every block of its group, so these rows grow with the square
+of a group that holds texts near in signature and not linked. The comparisons inside a block
+are in numpy; they also grow with the square of a group of near copies that are all different, because
+any two of them can be the one link between two components. A block of texts is bounded by members
+and by shingles: a very long text is a block of its own.
+
+Defined cases: ids are taken as bigint; a document without words or with null text has no shingles and is linked with
 nothing; a null id is linked with nothing, its ``component_id`` is null and it is kept;
 rows that repeat an id and text come out as often as they come in, and two texts under one id
 count as texts of one document; other columns are ignored; an empty table gives no rows.
@@ -35,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.graph import components
@@ -57,9 +63,11 @@ SYMBOLS = 64
 CHUNK = 4
 MAX_DIFFERENT = 31
 PERCENT = 75
-#: Members of a key, and texts of a cluster, that meet at once: at most about twice as many.
+#: Members of a key, texts of a cluster, and their shingles, that meet at once: at most about twice
+#: as many.
 KEY_BLOCK = 4096
 BLOCK = 1024
+BLOCK_SHINGLES = 1 << 20
 
 _XOR, _MUL = constants(SYMBOLS, 11), constants(SYMBOLS, 12)
 _SET_A, _SET_B = constants(2, 13)
@@ -222,19 +230,19 @@ def _close_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def _links_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spanning forests of the links, on full sets, of each (label, i, j)."""
+    """Spanning forests of the links between trees, on full sets, of each (label, i, j)."""
     for table, starts in _whole_groups(batches, ["label", "i", "j"]):
         sets: list[np.ndarray] = []
         for part in slices(table["text"]):
             row, value = shingles(part)
             sets += np.split(value, np.searchsorted(row, np.arange(1, len(part))))
-        node, side = table["node"].to_numpy(), table["side"].to_numpy()
+        node, side, tree = (table[c].to_numpy() for c in ("node", "side", "tree"))
         crossed = table["i"].to_numpy() != table["j"].to_numpy()
         a, b = [], []
         for at, to in zip(starts, [*starts[1:], table.num_rows], strict=True):
             own = sets[at:to]
             sizes = np.array([len(x) for x in own])
-            forest = _Forest(np.arange(len(own)))
+            forest = _Forest(tree[at:to])
             known, code = np.unique(np.concatenate(own), return_inverse=True)
             member = np.repeat(np.arange(len(own)), sizes)
             order = np.argsort(code, kind="stable")
@@ -258,17 +266,27 @@ def _links_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield _edge_batch(a, b)
 
 
-def _in_blocks(rows: DataFrame, key: str, blocks: Column) -> DataFrame:
-    """Rows dealt to the pairs (i, j) of blocks of their group, sorted for ``_whole_groups``."""
-    return (
-        rows.withColumn("blocks", blocks)
-        .withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+def _in_blocks(rows: DataFrame, key: str) -> DataFrame:
+    """Rows dealt to the pairs (i, j) of the ``blocks`` of their group, for ``_whole_groups``."""
+    dealt = (
+        rows.withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumns({"i": F.least("side", "other"), "j": F.greatest("side", "other")})
-        .drop("other", "blocks")
-        .repartition(key, "i", "j")
-        .sortWithinPartitions(key, "i", "j", "node")
     )
+    return _sorted_blocks(dealt.drop("other", "blocks"), key)
+
+
+def _around_leaders(rows: DataFrame, key: str) -> DataFrame:
+    """Rows dealt to one of the ``blocks`` of their group each, its leader (node = key) to all."""
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    own = F.array(F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    side = F.explode(F.when(F.col("node") == F.col(key), every).otherwise(own))
+    dealt = rows.withColumn("side", side).withColumns({"i": F.col("side"), "j": F.col("side")})
+    return _sorted_blocks(dealt.drop("blocks"), key)
+
+
+def _sorted_blocks(dealt: DataFrame, key: str) -> DataFrame:
+    return dealt.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j", "node")
 
 
 def _clusters(shared: DataFrame, reps: DataFrame) -> DataFrame:
@@ -302,7 +320,7 @@ def _clusters(shared: DataFrame, reps: DataFrame) -> DataFrame:
     )
     rows = named.join(mixed, "key").join(measured, "node")
     rest, rest_path = write_shared(
-        _in_blocks(rows, "key", F.ceil(F.col("n") / KEY_BLOCK).cast("int"))
+        _in_blocks(rows.withColumn("blocks", F.ceil(F.col("n") / KEY_BLOCK).cast("int")), "key")
         .select("key", "i", "j", "side", "node", "label", "n_shingles", "signature")
         .mapInArrow(_close_in_blocks, "a bigint, b bigint")
         .distinct(),
@@ -314,6 +332,45 @@ def _clusters(shared: DataFrame, reps: DataFrame) -> DataFrame:
     return labels
 
 
+def _linked(
+    clusters: DataFrame, measured: DataFrame, texts: DataFrame
+) -> tuple[DataFrame, list[str]]:
+    """(node, label) of the components by full sets, and the tables that were written for them."""
+    blocks = F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)
+    sizes = (
+        clusters.join(measured, "node")
+        .groupBy("label")
+        .agg(F.ceil(blocks).cast("int").alias("blocks"))
+    )
+
+    def links(dealt: DataFrame) -> DataFrame:
+        return dealt.select("label", "i", "j", "side", "node", "tree", "text").mapInArrow(
+            _links_in_blocks, "a bigint, b bigint"
+        )
+
+    members = clusters.join(sizes, "label")
+    own_text = F.col("node") == F.col("doc_id")
+    rows = members.withColumn("tree", F.col("node")).join(texts, own_text)
+    found, found_path = write_shared(links(_around_leaders(rows, "label")), "links")
+    labels = components(found)
+    trees = (
+        members.where("blocks > 1")
+        .join(labels.withColumnRenamed("label", "tree"), "node", "left")
+        .withColumn("tree", F.coalesce("tree", "node"))
+    )
+    apart = (
+        trees.groupBy("label")
+        .agg(F.min("tree").alias("lo"), F.max("tree").alias("hi"))
+        .where("lo < hi")
+        .select("label")
+    )
+    rest, rest_path = write_shared(trees.join(apart, "label"), "apart")
+    if rest.isEmpty():
+        return labels, [found_path, rest_path]
+    more, more_path = write_shared(links(_in_blocks(rest.join(texts, own_text), "label")), "links")
+    return components(found.union(more)), [found_path, rest_path, more_path]
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
@@ -341,18 +398,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     shared, shared_path = write_shared(keys.join(leaders, "key"), "shared-keys")
     clusters = _clusters(shared, reps)
-    sizes = clusters.groupBy("label").count()
     bitmap, bitmap_path = key_bitmap(clusters, F.xxhash64("node"))
     texts = may_have(docs, F.xxhash64("doc_id"), bitmap).hint("merge")
-    rows = clusters.join(sizes, "label").join(texts, F.col("node") == F.col("doc_id"))
-    links, links_path = write_shared(
-        _in_blocks(rows, "label", F.ceil(F.col("count") / BLOCK).cast("int"))
-        .select("label", "i", "j", "side", "node", "text")
-        .mapInArrow(_links_in_blocks, "a bigint, b bigint"),
-        "links",
-    )
-    labels = components(links)
-    drop_paths(spark, [shared_path, bitmap_path, links_path])
+    labels, made = _linked(clusters, reps.select("node", "n_shingles"), texts)
+    drop_paths(spark, [shared_path, bitmap_path, *made])
     named = (
         reps.select("node", *same)
         .join(labels, "node", "left")

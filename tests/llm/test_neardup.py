@@ -100,6 +100,48 @@ def test_group_on_both_sides_of_the_threshold(spark, monkeypatch):
     assert run(spark, rows) == brute(rows)
 
 
+def test_rows_dealt_grow_in_proportion(spark, monkeypatch):
+    """A large group of near copies of one text: no pairs of blocks, one row a text and leader."""
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(200)]
+    rows = [(i, " ".join([*base, f"own{rng.random()}"])) for i in range(600)]
+    monkeypatch.setattr(neardup, "BLOCK", 30)
+    sizes = []
+    around, pairs = neardup._around_leaders, neardup._in_blocks
+
+    def counted(deal):
+        def run(dealt, key):
+            if key != "label":
+                return deal(dealt, key)
+            sizes.append((deal.__name__, deal(dealt, key).count()))
+            return deal(dealt, key)
+
+        return run
+
+    monkeypatch.setattr(neardup, "_around_leaders", counted(around))
+    monkeypatch.setattr(neardup, "_in_blocks", counted(pairs))
+    assert {r[2] for r in run(spark, rows)} == {0}
+    assert sizes == [("_around_leaders", 600 + 19)]
+
+
+def test_blocks_bounded_by_shingles(spark, monkeypatch):
+    rng = random.Random(10)
+    base = [f"b{i}" for i in range(300)]
+    rows = [(i, " ".join(edited(rng, base, rng.random() * 0.05))) for i in range(60)]
+    most = []
+    inner = neardup._around_leaders
+
+    def measured(dealt, key):
+        found = inner(dealt, key)
+        most.append(found.groupBy("label", "i").count().agg({"count": "max"}).first()[0])
+        return found
+
+    monkeypatch.setattr(neardup, "BLOCK_SHINGLES", 3000)
+    monkeypatch.setattr(neardup, "_around_leaders", measured)
+    assert run(spark, rows) == brute(rows)
+    assert most[0] <= 25
+
+
 def test_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, " \n\t "), (4, "one"), (5, "ONE"), (6, "one two"), (None, "one"),
             (8, "one"), (8, "one"), (9, "É é"), (10, "é é"), (11, "a b c d e"), (12, "a b c d"),
