@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 
+
+from skyledger.plans import delay_model
 from skyledger.session import small_methods
 from skyledger.sources import driver_tables
 from skyledger.sources.driver_tables import DriverTables
@@ -43,3 +46,16 @@ def test_line_items_are_shuffled_once(spark):
     depth = {c: next(line.index("Join") for line in lines if "Join" in line and c in line)
              for c in ("o_custkey", "l_orderkey")}
     assert depth["o_custkey"] > depth["l_orderkey"]
+
+
+def test_features_need_no_shuffle_of_rows(spark, make_flights):
+    flights = make_flights([
+        {"flight_date": dt.date(2020, 1, 1 + i % 9), "arr_delay": i % 40, "origin": f"A{i % 7}", "dest": f"B{i % 5}",
+         "carrier_code": f"C{i % 3}", "crs_dep_time": 100.0 * (i % 24), "distance": 300.0 + i}
+        for i in range(60)
+    ])
+    made = delay_model.engineer(delay_model.modelling_rows(flights))
+    assert "Exchange hashpartitioning" not in made._jdf.queryExecution().executedPlan().toString()
+    assert made.count() == 60
+    marked = delay_model.mark_test(made)
+    assert marked.where("is_test").count() == sum(int(r["count"] * 0.2) for r in made.groupBy("label").count().collect())
