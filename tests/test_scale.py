@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 
+from skyledger.operators import trees
 from skyledger.plans import delay_model
 from skyledger.session import small_methods
 from skyledger.sources import driver_tables
@@ -59,3 +63,56 @@ def test_features_need_no_shuffle_of_rows(spark, make_flights):
     assert made.count() == 60
     marked = delay_model.mark_test(made)
     assert marked.where("is_test").count() == sum(int(r["count"] * 0.2) for r in made.groupBy("label").count().collect())
+
+
+def test_cycles_round_as_round_does(spark):
+    periods = {"hour_of_day": 24, "day_of_week": 7, "month": 12}
+    rows = spark.range(25).select(*[(F.col("id") % (p + 1)).cast("int").alias(c) for c, p in periods.items()])
+    cycles = delay_model.add_cycles(rows)
+    names = [c for c in cycles.columns if c.endswith(("_sin", "_cos"))]
+    plain = cycles.select(*[F.round(c, 9).alias(c) for c in names])
+    own = cycles.select(*names)
+    own = delay_model.tree_inputs(own).select(*names)
+    assert own.collect() == plain.collect()
+
+
+def test_bytes_of_slices():
+    x = np.arange(60, dtype=np.uint8).reshape(12, 5)
+    packed = trees._packed(x)
+    assert (trees._unpacked(packed.slice(3, 6), 5) == x[3:9]).all()
+    assert trees._unpacked(packed.slice(3, 0), 5).shape == (0, 5)
+    assert packed.to_pylist() == [row.tobytes() for row in x]
+
+
+def test_counts_that_are_held_or_not(spark, monkeypatch):
+    """The rows that a task returns do not grow with its chunks, and the counts are the same."""
+    n = 400
+    bins, draws = np.arange(n * 2, dtype=np.uint8).reshape(n, 2) % 4, np.ones((n, 1), np.uint8)
+    label = pa.array(np.arange(n, dtype=np.int32) % 2)
+    batch = pa.RecordBatch.from_arrays([trees._packed(bins), trees._packed(draws), label], names=["bins", "draws", "label"])
+    forest = trees.Forest(["a", "b"], [np.arange(3.0)] * 2, (1000, 1000), 1)
+    forest.add(0, 1, 0, n // 2, n // 2)
+    kept = {}
+
+    class Rows:
+        def mapInArrow(self, count, schema):
+            kept["count"] = count
+            return spark.createDataFrame([], schema)
+
+    monkeypatch.setattr(trees, "CHUNK", 10)
+    pieces = [batch.slice(i, 10) for i in range(0, n, 10)]
+
+    def counted():
+        trees._counts(Rows(), forest, [0], trees.Growth(trees=1, tried=2))
+        return [r for b in kept["count"](iter(pieces)) for r in b.to_pylist()]
+
+    held = counted()
+    monkeypatch.setattr(trees, "HELD", 0)
+    passed = counted()
+    assert len(held) <= 2 * 4 < len(passed)
+    total = {}
+    for r in passed:
+        key = (r["open"], r["feature"], r["bin"])
+        total[key] = tuple(a + b for a, b in zip(total.get(key, (0, 0)), (r["n0"], r["n1"])))
+    assert {(r["open"], r["feature"], r["bin"]): (r["n0"], r["n1"]) for r in held} == total
+    assert sum(a + b for a, b in total.values()) == 2 * n
