@@ -11,18 +11,23 @@ the same, and what is joined per hub and day is a short staircase per route.
 
 With two legs there is no join. A leg stands twice in one table, as an arrival where it ends and
 as a departure where it begins; equal ones are combined, both sides of a hub and day meet by one
-shuffle of what is left, and the staircases of the departures are a list that each arrival looks
-through.
+shuffle of what is left, and of the pairs there only the ``best`` for each start and destination
+move on: others over the same hub have the same path and no better total.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DAY_START = ["flight_date", "start_airport"]
+#: Pairs of arrivals and departures that a task holds at once.
+PAIRS = 1 << 20
 
 
 def connections(
@@ -146,25 +151,12 @@ def _two_legs(legs: DataFrame, origin: str | None, min_connect: int, best: int)
     dealt = counted.repartition("flight_date", "hub").select(*route, "time", "cost", copies)
     kept = _staircase(dealt.drop("copy"), route, F.col("time").asc(), best)
 
-    leg = F.struct("other", "time", "cost")
-    hubs = kept.groupBy("flight_date", "hub").agg(
-        F.collect_list(F.when(F.col("inbound"), leg)).alias("arrivals"),
-        F.collect_list(F.when(~F.col("inbound"), leg)).alias("departures"),
-    )
-    arrivals = hubs.select("flight_date", "hub", "departures", F.inline("arrivals"))
-
-    def itinerary(last: Column, via: Column, total: Column) -> Column:
-        return F.struct(last.alias("final_dest"), via.alias("via"), total.alias("total"))
+    def meet(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _hub_pairs(key, pa.Table.from_batches(list(batches)), min_connect, best)
 
-    onward = F.transform(
-        F.filter("departures", lambda d: -d["time"] > F.col("time") + F.lit(min_connect)),
-        lambda d: itinerary(d["other"], F.col("hub"), F.col("cost") + d["cost"]),
-    )
-    direct = itinerary(F.col("hub"), F.lit(None).cast("string"), F.col("cost"))
-    found = arrivals.select(
-        "flight_date",
-        F.col("other").alias("start_airport"),
-        F.inline(F.concat(F.array(direct), onward)),
+    hubs = kept.select("flight_date", "hub", "other", "inbound", "time", "cost")
+    found = hubs.groupBy("flight_date", "hub").applyInArrow(
+        meet, "flight_date date, start_airport string, final_dest string, via string, total double"
     )
     # Of equal totals the direct one is first, then the order of the hubs is that of the paths.
     in_order = Window.partitionBy(*DAY_START, "final_dest").orderBy(
@@ -183,6 +175,45 @@ def _two_legs(legs: DataFrame, origin: str | None, min_connect: int, best: int)
     )
 
 
+def _hub_pairs(
+    key: tuple[pa.Scalar, ...], legs: pa.Table, min_connect: int, best: int
+) -> Iterator[pa.RecordBatch]:
+    """The ``best`` itineraries for each start and destination that end at a hub or change there."""
+    day, hub = (k.as_py() for k in key)
+    names = legs["other"].combine_chunks().dictionary_encode()
+    other = names.indices.to_numpy().astype(np.int64)
+    inbound = legs["inbound"].to_numpy().astype(bool)
+    time, cost = (legs[c].to_numpy().astype(float) for c in ("time", "cost"))
+    leaves, onward, dest = -time[~inbound], cost[~inbound], other[~inbound]
+    arrivals = np.flatnonzero(inbound)
+    arrivals = arrivals[np.argsort(other[arrivals], kind="stable")]
+    n = len(names.dictionary)
+
+    def rows(start: np.ndarray, last: np.ndarray | None, total: np.ndarray) -> pa.RecordBatch:
+        pair = start if last is None else start * n + last
+        order = np.lexsort((total, pair))
+        # A row is one of the best if the one so many places before it is of another pair.
+        ahead = pair[order]
+        kept = order[np.concatenate([np.ones(min(best, len(order)), bool), ahead[best:] != ahead[:-best]])]
+        alike = [hub] * len(kept)
+        ends = alike if last is None else names.dictionary.take(pa.array(last[kept]))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([day] * len(kept), pa.date32()), names.dictionary.take(pa.array(start[kept])),
+             pa.array(ends, pa.string()), pa.array([None] * len(kept) if last is None else alike, pa.string()),
+             pa.array(total[kept])],
+            names=[*DAY_START, "final_dest", "via", "total"],
+        )
+
+    if len(arrivals):
+        yield rows(other[arrivals], None, cost[arrivals])
+    step = max(1, PAIRS // max(1, len(leaves)))
+    for at in range(0, len(arrivals), step):
+        some = arrivals[at : at + step]
+        first, second = np.nonzero(leaves > time[some][:, None] + min_connect)
+        if len(first):
+            yield rows(other[some][first], dest[second], cost[some][first] + onward[second])
+
+
 def _minutes(clock: str) -> Column:
     hours = F.floor(F.col(clock) / 100)
     return (hours * 60 + F.col(clock) - hours * 100).alias(clock)

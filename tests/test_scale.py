@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from skyledger.operators import trees
+from skyledger.operators import connections, trees
 from skyledger.plans import delay_model
 from skyledger.session import small_methods
 from skyledger.sources import driver_tables
@@ -116,3 +116,28 @@ def test_counts_that_are_held_or_not(spark, monkeypatch):
         total[key] = tuple(a + b for a, b in zip(total.get(key, (0, 0)), (r["n0"], r["n1"])))
     assert {(r["open"], r["feature"], r["bin"]): (r["n0"], r["n1"]) for r in held} == total
     assert sum(a + b for a, b in total.values()) == 2 * n
+
+
+def test_a_hub_passes_on_the_best_only(monkeypatch):
+    monkeypatch.setattr(connections, "PAIRS", 64)
+    rng = np.random.default_rng(5)
+    legs = [
+        {"other": f"X{i % 3}", "inbound": i % 2 == 0, "time": float(rng.integers(0, 1440)) * (1 if i % 2 == 0 else -1),
+         "cost": float("inf") if i == 4 else float(rng.integers(0, 60))}
+        for i in range(90)
+    ]
+    key = (pa.scalar(dt.date(2020, 1, 1), pa.date32()), pa.scalar("HUB"))
+    found, direct = {}, {}
+    for batch in connections._hub_pairs(key, pa.Table.from_pylist(legs), 60, 3):
+        assert batch.num_rows <= 3 * 9
+        for r in batch.to_pylist():
+            side = direct if r["via"] is None else found
+            side.setdefault((r["start_airport"], r["final_dest"]), []).append(r["total"])
+    pairs = {}
+    for a in (x for x in legs if x["inbound"]):
+        for d in (x for x in legs if not x["inbound"]):
+            if -d["time"] > a["time"] + 60:
+                pairs.setdefault((a["other"], d["other"]), []).append(a["cost"] + d["cost"])
+    assert {k: sorted(v)[:3] for k, v in found.items()} == {k: sorted(v)[:3] for k, v in pairs.items()}
+    costs = {s: sorted(x["cost"] for x in legs if x["inbound"] and x["other"] == s)[:3] for s in ("X0", "X1", "X2")}
+    assert {k[0]: sorted(v) for k, v in direct.items()} == costs
