@@ -5,8 +5,9 @@ split pattern finds become rows (word, position, token); a recursive query joins
 neighbours to the merge table and contracts every word's leftmost pair of lowest rank until
 nothing can be merged. In a long piece every pair that is the lowest as far as a token can reach
 contracts in the same round, which gives the same ids. Decoding joins (document, position, id) rows to the vocabulary and
-aggregates the token bytes in order. Texts are worked through in slices of about four megabytes,
-and the pieces a worker remembers are bounded, so memory does not grow with the input.
+aggregates the token bytes in order. Texts are worked through in slices of about a megabyte, and
+the pieces a worker remembers are bounded, so memory does not grow with the input. Spark keeps a
+worker for the tasks of later steps, so what it holds here counts beside theirs as well.
 
 Defined cases: a null or empty text has no tokens, the ids and decoded bytes are empty; any
 text decodes to its own UTF-8 bytes; repeated rows come out as often as they come in; other
@@ -30,10 +31,10 @@ from skyledger.llm.text import slices
 
 #: Pieces given to one recursive query, and pieces a worker remembers (two generations).
 QUERY_PIECES = 40_000
-KEPT_PIECES = 600_000
+KEPT_PIECES = 200_000
 DUCKDB_MEMORY = "256MB"
-#: Bytes of text worked through at once: fewer make more queries, and more of them of the same words.
-BYTES = 1 << 22
+#: Bytes of text worked through at once: fewer make more queries, more take more memory.
+BYTES = 1 << 20
 
 #: Pieces of more bytes contract many pairs in a round, by ``ENCODE_LONG``.
 LONG_PIECE = 512

@@ -3,13 +3,16 @@ from __future__ import annotations
 import base64
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
 from skyledger.llm import bpe, queries
+from skyledger.llm.text import slices
 from tests.conftest import SMALL
 
 PATH = public_tokenizers.path(queries.RANKS)
@@ -98,3 +101,18 @@ def test_ranks_with_an_unreachable_token_take_one_pair_at_a_time():
     assert own._query_of_long() == bpe.ENCODE
     text = "abcde" * 300
     assert own.encode([text])[0] == np.array([256, 258] * 300, "<u4").tobytes()
+
+
+def test_pieces_that_never_repeat_stay_within_a_worker(monkeypatch):
+    with open(PATH, "rb") as file:
+        codec = bpe.Codec(file.read(), public_tokenizers.PATTERN)
+    monkeypatch.setattr(codec, "_contract", lambda words, query: (x[:8] * 2 for x in words))
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8))
+    texts = pa.array([" ".join(word() for _ in range(10_000)) for _ in range(150)])
+    tracemalloc.start()
+    for part in slices(texts, bpe.BYTES):
+        codec.encode([part.bytes_of(i).decode() for i in range(len(part))])
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 150e6
